@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +21,15 @@ class Scope:
     `as_of` is the current month, handed in so that a run can be repeated. `defaults` stand in for absent columns.
     """
 
-    df: DataFrame
+    schema: T.StructType
     as_of: str | None = None
     defaults: Mapping[str, Any] = field(default_factory=dict)
 
     def has(self, name: str) -> bool:
-        return name in self.df.columns
+        return name in self.schema.names
 
     def dtype(self, name: str) -> T.DataType:
-        return self.df.schema[name].dataType
+        return self.schema[name].dataType
 
     def raw(self, name: str) -> Column:
         if not self.has(name) and name in self.defaults:
@@ -88,8 +88,18 @@ class Rule:
         return replace(self, **changes)
 
 
-def rule_table(spark, rules: Sequence[Rule]) -> DataFrame:
+METADATA = {
+    "rule_id": "Rule_ID",
+    "name": "Rule_Name",
+    "dimension": "DQ_Dimension",
+    "cde": "CDE_Affected",
+    "description": "Description",
+    "severity": "Severity",
+    "remediation": "Remediation_Action",
+}
+
+
+def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """Rule metadata as a table with one row per rule."""
-    fields = ("rule_id", "name", "dimension", "cde", "description", "severity", "remediation")
-    schema = ", ".join(f"{name} string" for name in fields)
-    return spark.createDataFrame([tuple(getattr(r, name) for name in fields) for r in rules], schema)
+    schema = ", ".join(f"{name} string" for name in METADATA.values())
+    return spark.createDataFrame([tuple(getattr(r, name) for name in METADATA) for r in rules], schema)

@@ -74,15 +74,16 @@ class Run:
         self.lenient = lenient
         self.strict_pass = strict_pass
         self.as_of = as_of
+        self.schema = df.schema
         self._stats = dict(stats or {})
         if not lenient:
-            absent = sorted({c for r in self.rules for c in r.check.columns if c not in df.columns})
+            absent = sorted({c for r in self.rules for c in r.check.columns} - set(self.schema.names))
             if absent:
                 raise ValueError(f"columns not in the table: {', '.join(absent)}")
 
     def _scope(self, rule: Rule) -> Scope:
         defaults = getattr(rule.check, "defaults", {}) if self.lenient else {}
-        return Scope(self.df, self.as_of, defaults)
+        return Scope(self.schema, self.as_of, defaults)
 
     def _runs(self, rule: Rule) -> bool:
         return rule.check.runnable(self._scope(rule))
@@ -107,7 +108,7 @@ class Run:
         for rule in self.rules:
             if isinstance(rule.check, SigmaOutlier) and self._runs(rule) and rule.check.by not in self._stats:
                 groups.setdefault(rule.check.by, []).append(rule.check)
-        scope = Scope(self.df)
+        scope = Scope(self.schema)
         fresh = {by: group_stats(self.df, scope, by, checks).materialized() for by, checks in groups.items()}
         return {**self._stats, **fresh}
 
@@ -127,63 +128,52 @@ class Run:
                 rows = attach(rows, rule.check.facts(self.df, self._scope(rule)).materialized())
         return rows
 
+    @cached_property
+    def rule_table(self) -> DataFrame:
+        return rule_table(self.df.sparkSession, self.rules)
+
     def scorecard(self) -> DataFrame:
         """One row per rule."""
         parts = []
-        local = [r for r in self.rules if r in self.row_rules or not self._runs(r)]
+        local = [r for r in self.rules if not isinstance(r.check, GroupCheck) or not self._runs(r)]
         if local:
             counts = self.with_stats().agg(
-                F.count(F.lit(1)).alias("_total"),
-                *[F.count_if(self.mask(r)).alias(f"_f{i}") for i, r in enumerate(local)],
+                F.count(F.lit(1)).alias("total"), *[F.count_if(self.mask(r)).alias(f"f{i}") for i, r in enumerate(local)]
             )
-            lines = [self._line(r, F.col("_total"), F.col(f"_f{i}")) for i, r in enumerate(local)]
-            parts.append(counts.select(F.inline(F.array(*lines))))
+            pairs = ", ".join(f"'{r.rule_id}', f{i}" for i, r in enumerate(local))
+            parts.append(counts.selectExpr("total", f"stack({len(local)}, {pairs}) AS (Rule_ID, failed)"))
         for rule in self.group_rules:
             if self._runs(rule):
                 tally = rule.check.tally(self.df, self._scope(rule))
-                parts.append(tally.select(F.inline(F.array(self._line(rule, F.col("total"), F.col("failed"))))))
+                parts.append(tally.selectExpr("total", f"'{rule.rule_id}' AS Rule_ID", "failed"))
         counts = parts[0]
         for part in parts[1:]:
             counts = counts.unionByName(part)
-        return finish_scorecard(counts, self.strict_pass)
-
-    @staticmethod
-    def _line(rule: Rule, total: Column, failed: Column) -> Column:
-        return F.struct(
-            F.lit(rule.rule_id).alias("Rule_ID"),
-            F.lit(rule.name).alias("Rule_Name"),
-            F.lit(rule.dimension).alias("DQ_Dimension"),
-            F.lit(rule.cde).alias("CDE_Affected"),
-            F.lit(rule.description).alias("Description"),
-            F.lit(rule.severity).alias("Severity"),
-            total.alias("Total_Records"),
-            failed.alias("Records_Failed"),
-            F.lit(rule.remediation).alias("Remediation_Action"),
-        )
+        # One row per rule on both sides, so the broadcast has a known size.
+        counts = counts.withColumnsRenamed({"total": "Total_Records", "failed": "Records_Failed"})
+        return finish_scorecard(counts.join(F.broadcast(self.rule_table), "Rule_ID"), self.strict_pass)
 
     def annotated(self) -> DataFrame:
         """The table with `_failed_rules`, the ids of the rules each row fails, in pack order."""
         ids = F.array_compact(F.array(*[F.when(self.mask(r), F.lit(r.rule_id)) for r in self.rules]))
-        return self.prepared.select(*[F.col(f"`{c}`") for c in self.df.columns], ids.alias(FAILED))
+        return self.prepared.select(*[F.col(f"`{c}`") for c in self.schema.names], ids.alias(FAILED))
 
     def exceptions(self) -> DataFrame:
         """One row per record and failed rule: the record, then the eight columns about the failure."""
+        record = [f"`{c}`" for c in self.schema.names]
         failing = self.annotated().filter(F.size(FAILED) > 0)
-        rows = failing.select(*[F.col(f"`{c}`") for c in self.df.columns], F.explode(FAILED).alias("_rule_id"))
-        about = rule_table(self.df.sparkSession, self.rules).select(
-            F.col("rule_id").alias("_rule_id"),
-            F.col("name").alias("_rule_name"),
-            F.col("dimension").alias("_dimension"),
-            F.col("cde").alias("_cde"),
-            F.col("severity").alias("_severity"),
-            F.col("description").alias("_failure_reason"),
-            F.col("remediation").alias("_remediation"),
-        )
+        rows = failing.selectExpr(*record, f"explode({FAILED}) AS Rule_ID")
         # As many rows as the pack has rules, so the broadcast has a known size.
-        joined = rows.join(F.broadcast(about), "_rule_id")
-        return joined.select(*[F.col(f"`{c}`") for c in self.df.columns], *about.columns).withColumn(
-            "_flagged_at", F.lit(self.run_ts).cast("string")
-        )
+        return rows.join(F.broadcast(self.rule_table), "Rule_ID").selectExpr(
+            *record,
+            "Rule_ID AS _rule_id",
+            "Rule_Name AS _rule_name",
+            "DQ_Dimension AS _dimension",
+            "CDE_Affected AS _cde",
+            "Severity AS _severity",
+            "Description AS _failure_reason",
+            "Remediation_Action AS _remediation",
+        ).withColumn("_flagged_at", F.lit(self.run_ts).cast("string"))
 
     def failing_rows(self, rule_id: str) -> DataFrame:
         """The rows that fail one rule, read with the filter pushed into the scan where its form allows."""

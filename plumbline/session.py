@@ -7,16 +7,31 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Runtime settings for large packs. Rules over one row are compiled into one method; beyond 8,000 bytes of bytecode the
+# JVM would interpret it, so Spark is told to compile expression by expression from there on.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that someone else made."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark. On a cluster, use the session the cluster gives."""
-    return (
+    return configure(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("plumbline")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
