@@ -104,11 +104,14 @@ def invalid_values(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
     bad = [(field, cond) for section, field, _, cond, _ in _value_checks(Scope(df.schema), contract) if section == "valid_values"]
     if not bad:
         return df.sparkSession.createDataFrame([], "field string, value string, records long")
+    any_bad = F.lit(False)
+    for _, cond in bad:
+        any_bad = any_bad | F.coalesce(cond, F.lit(False))
     lines = [
         F.when(cond, F.struct(F.lit(field).alias("field"), F.col(f"`{field}`").cast("string").alias("value")))
         for field, cond in bad
     ]
-    values = df.select(F.inline(F.array_compact(F.array(*lines))))
+    values = df.filter(any_bad).select(F.inline(F.array(*lines))).filter("field IS NOT NULL")
     return values.groupBy("field", "value").agg(F.count(F.lit(1)).alias("records"))
 
 

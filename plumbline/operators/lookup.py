@@ -9,14 +9,14 @@ nothing, stay out of the shuffle as well. No row is salted at random, so a lost
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.session import materialize
 
-MAX_ROWS = 100_000
+MAX_ROWS = 500_000
 MAX_BYTES = 32 << 20
 HEAVY = 1024
 
@@ -33,15 +33,19 @@ class Facts:
     values: tuple[str, ...]
     weight: str = "_n"
     null_safe: bool = False
+    size: dict[str, int] | None = None
 
     def materialized(self) -> Facts:
-        return Facts(materialize(self.df), self.keys, self.values, self.weight, self.null_safe)
-
-
-def _fits(facts: Facts, max_rows: int, max_bytes: int) -> bool:
-    width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in facts.keys), F.lit(64))
-    size = facts.df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+        """The facts written to the shared folder, and measured while they are written."""
+        seen = Observation()
+        width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in self.keys), F.lit(64))
+        measured = self.df.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum(self.weight), F.lit(0)).alias("weight"),
+        )
+        return replace(self, df=materialize(measured), size=seen.get)
 
 
 def _on(facts: Facts) -> list[Column]:
@@ -54,14 +58,15 @@ def _side(df: DataFrame, facts: Facts, values: Sequence[str]) -> DataFrame:
 
 
 def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """rows left join facts on the keys, adding the value columns. `facts.df` should be materialized."""
+    """rows left join facts on the keys, adding the value columns."""
+    if facts.size is None:
+        facts = facts.materialized()
     wanted = [*rows.columns, *facts.values]
-    if _fits(facts, max_rows, max_bytes):
+    if facts.size["rows"] <= max_rows and facts.size["bytes"] <= max_bytes:
         small = F.broadcast(_side(facts.df, facts, facts.values))
         return rows.join(small, _on(facts), "left").select(*wanted)
 
-    total = facts.df.agg(F.sum(facts.weight)).first()[0]
-    is_heavy = F.col(facts.weight) * HEAVY > F.lit(total)
+    is_heavy = F.col(facts.weight) * HEAVY > F.lit(facts.size["weight"])
     heavy = F.broadcast(_side(facts.df.filter(is_heavy), facts, [*facts.values, F.lit(True).alias("_heavy")]))
     light = _side(facts.df.filter(~is_heavy), facts, facts.values)
 

@@ -101,11 +101,11 @@ def exact_quantiles(
 def _select(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
     if not targets:
         return {}
-    lines = [
-        F.when(t.within(), F.struct(F.lit(i).alias("t"), F.col(f"`{t.column}`").alias("v")))
-        for i, t in enumerate(targets)
-    ]
-    values = df.select(F.inline(F.array_compact(F.array(*lines))))
+    lines, wanted = [], F.lit(False)
+    for i, t in enumerate(targets):
+        wanted = wanted | F.coalesce(t.within(), F.lit(False))
+        lines.append(F.when(t.within(), F.struct(F.lit(i).alias("t"), F.col(f"`{t.column}`").alias("v"))))
+    values = df.filter(wanted).select(F.inline(F.array(*lines))).filter("t IS NOT NULL")
     counted = values.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(W.partitionBy("t").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
     first = F.element_at(F.array(*[F.lit(t.rank - t.below).cast("long") for t in targets]), F.col("t") + 1)

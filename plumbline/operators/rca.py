@@ -16,22 +16,17 @@ def root_causes(
     partial counts."""
     keys = dict(keys or {})
     names = exceptions.columns
-    lines = [
-        F.when(
-            F.col("_rule_id") == rule_id,
-            F.struct(
-                F.lit(name).alias("breakdown"),
-                F.lit(rule_id).alias("rule_id"),
-                (keys[key] if key in keys else F.col(f"`{key}`")).cast("string").alias("key"),
-            ),
-        )
-        for name, rule_id, key in breakdowns
-        if key in keys or key in names
-    ]
-    used = sorted({rule_id for _, rule_id, _ in breakdowns})
-    picked = exceptions.filter(F.col("_rule_id").isin(used)).select(F.inline(F.array_compact(F.array(*lines))))
+    usable = [(name, rule_id, key) for name, rule_id, key in breakdowns if key in keys or key in names]
+    # One row per breakdown: a rule can have several.
+    wanted = exceptions.sparkSession.createDataFrame(usable, "breakdown string, rule_id string, key_name string")
+    value = F.lit(None).cast("string")
+    for key in sorted({key for *_, key in usable}):
+        column = keys[key] if key in keys else F.col(f"`{key}`")
+        value = F.when(F.col("key_name") == key, column.cast("string")).otherwise(value)
+    picked = exceptions.join(F.broadcast(wanted), F.col("_rule_id") == F.col("rule_id"))
     return (
-        picked.filter(F.col("key").isNotNull())
+        picked.select("breakdown", "rule_id", value.alias("key"))
+        .filter(F.col("key").isNotNull())
         .groupBy("breakdown", "rule_id", "key")
         .agg(F.count(F.lit(1)).alias("failures"))
     )

@@ -40,15 +40,17 @@ def remediate(df: DataFrame, rules: Sequence[Rule], steps: Sequence, run_date: s
     second = Run(corrected, [by_id[s.rule_id] for s in flags], as_of=as_of)
     hits: list[tuple[str, str, Column]] = [(s.rule_id, s.text, F.col(was[s.rule_id])) for s in fixes]
     hits += [(s.rule_id, s.text, second.mask(by_id[s.rule_id])) for s in flags]
-    ids = F.array_compact(F.array(*[F.when(hit, F.lit(rule_id)) for rule_id, _, hit in hits]))
-    texts = F.array_compact(F.array(*[F.when(hit, F.lit(text)) for _, text, hit in hits]))
-    out = second.prepared.select(*columns, ids.alias(FLAGS), texts.alias("_texts"))
-
-    # Only the first step assigns its text; every later one appends " | text", also where nothing came before.
-    joined = F.array_join("_texts", " | ")
-    starts_plain = F.array_contains(FLAGS, steps[0].rule_id) if fixes else F.lit(False)
-    text = F.when(F.size("_texts") == 0, CLEAN).when(starts_plain, joined).otherwise(F.concat(F.lit(" | "), joined))
-    return out.withColumn(FLAG, text).withColumn("_remediation_date", F.lit(run_date)).drop("_texts")
+    ids = F.concat_ws(",", *[F.when(hit, F.lit(rule_id)) for rule_id, _, hit in hits])
+    # The first step assigns its text; every later one appends " | text", also where nothing came before.
+    texts = [F.when(hit, F.lit(text if i == 0 and fixes else f" | {text}")) for i, (_, text, hit) in enumerate(hits)]
+    rows = second.prepared.select(*columns, ids.alias("_ids"), F.concat_ws("", *texts).alias("_text"))
+    none = F.col("_ids") == ""
+    return rows.select(
+        *columns,
+        F.when(none, F.array().cast("array<string>")).otherwise(F.split("_ids", ",")).alias(FLAGS),
+        F.when(none, CLEAN).otherwise(F.col("_text")).alias(FLAG),
+        F.lit(run_date).alias("_remediation_date"),
+    )
 
 
 def remediation_summary(remediated: DataFrame, steps: Sequence) -> DataFrame:

@@ -75,6 +75,8 @@ class Run:
         self.strict_pass = strict_pass
         self.as_of = as_of
         self.schema = df.schema
+        if any("," in r.rule_id for r in self.rules):
+            raise ValueError("rule ids must not contain a comma")
         self._stats = dict(stats or {})
         if not lenient:
             absent = sorted({c for r in self.rules for c in r.check.columns} - set(self.schema.names))
@@ -153,16 +155,22 @@ class Run:
         counts = counts.withColumnsRenamed({"total": "Total_Records", "failed": "Records_Failed"})
         return finish_scorecard(counts.join(F.broadcast(self.rule_table), "Rule_ID"), self.strict_pass)
 
+    def _joined_ids(self) -> Column:
+        # Built as text and split afterwards: unlike a filtered array, this stays in generated code with all the masks.
+        return F.concat_ws(",", *[F.when(self.mask(r), F.lit(r.rule_id)) for r in self.rules])
+
     def annotated(self) -> DataFrame:
         """The table with `_failed_rules`, the ids of the rules each row fails, in pack order."""
-        ids = F.array_compact(F.array(*[F.when(self.mask(r), F.lit(r.rule_id)) for r in self.rules]))
-        return self.prepared.select(*[F.col(f"`{c}`") for c in self.schema.names], ids.alias(FAILED))
+        record = [F.col(f"`{c}`") for c in self.schema.names]
+        rows = self.prepared.select(*record, self._joined_ids().alias("_ids"))
+        ids = F.when(F.col("_ids") == "", F.array().cast("array<string>")).otherwise(F.split("_ids", ","))
+        return rows.select(*record, ids.alias(FAILED))
 
     def exceptions(self) -> DataFrame:
         """One row per record and failed rule: the record, then the eight columns about the failure."""
         record = [f"`{c}`" for c in self.schema.names]
-        failing = self.annotated().filter(F.size(FAILED) > 0)
-        rows = failing.selectExpr(*record, f"explode({FAILED}) AS Rule_ID")
+        rows = self.prepared.select(*[F.col(c) for c in record], self._joined_ids().alias("_ids"))
+        rows = rows.filter("_ids <> ''").selectExpr(*record, "explode(split(_ids, ',')) AS Rule_ID")
         # As many rows as the pack has rules, so the broadcast has a known size.
         return rows.join(F.broadcast(self.rule_table), "Rule_ID").selectExpr(
             *record,
