@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.lookup import HEAVY, Facts
 from plumbline.operators.rule import Check, GroupCheck, Scope
-from plumbline.session import materialize
 
 COMPARISONS: dict[str, Callable] = {
     "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "=": operator.eq, "<>": operator.ne,
@@ -293,12 +292,11 @@ class InReference(GroupCheck):
         return values.join(known, F.col("_v") == F.col("_r"), "left").select("_v", "_n", missing.alias("_missing"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
-        counts = materialize(self.counts(df, scope))
-        total = counts.agg(F.sum("_n")).first()[0] or 0
+        counted = Facts(self.counts(df, scope), ("_v",), ("_missing",), null_safe=True).materialized()
         # Heavy values stay in the facts even when they are known, as attach() needs them to spread their rows.
-        kept = counts.filter(F.col("_missing") | (F.col("_n") * HEAVY > F.lit(total)))
+        heavy = F.col("_n") * HEAVY > F.lit(counted.size["weight"])
         flag = F.when(F.col("_missing"), F.lit(True)).alias(self.flag)
-        kept = kept.select(F.col("_v").alias(self.column), "_n", flag)
+        kept = counted.df.filter(F.col("_missing") | heavy).select(F.col("_v").alias(self.column), "_n", flag)
         return Facts(kept, (self.column,), (self.flag,), null_safe=True)
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
