@@ -35,6 +35,9 @@ class Facts:
     null_safe: bool = False
     size: dict[str, int] | None = None
 
+    def fits(self, max_rows: int, max_bytes: int) -> bool:
+        return self.size["rows"] <= max_rows and self.size["bytes"] <= max_bytes
+
     def materialized(self) -> Facts:
         """The facts written to the shared folder, and measured while they are written."""
         seen = Observation()
@@ -62,7 +65,7 @@ def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: i
     if facts.size is None:
         facts = facts.materialized()
     wanted = [*rows.columns, *facts.values]
-    if facts.size["rows"] <= max_rows and facts.size["bytes"] <= max_bytes:
+    if facts.fits(max_rows, max_bytes):
         small = F.broadcast(_side(facts.df, facts, facts.values))
         return rows.join(small, _on(facts), "left").select(*wanted)
 
@@ -78,3 +81,18 @@ def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: i
     far = rows.filter(~unmatched).join(heavy, _on(facts), "left_anti")
     far = far.join(light, _on(facts), "left")
     return near.select(*wanted).unionByName(far.select(*wanted))
+
+
+def attach_all(
+    rows: DataFrame, many: Sequence[Facts], max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """Attach several facts. Each one too large to broadcast reads its input twice; so from the second such one on the
+    rows are written out in between, and the work grows with the number of facts instead of doubling with each."""
+    measured = [f if f.size else f.materialized() for f in many]
+    large = [f for f in measured if not f.fits(max_rows, max_bytes)]
+    for i, facts in enumerate(large):
+        rows = attach(materialize(rows) if i else rows, facts, max_rows, max_bytes)
+    for facts in measured:
+        if facts not in large:
+            rows = attach(rows, facts, max_rows, max_bytes)
+    return rows

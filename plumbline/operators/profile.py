@@ -34,30 +34,36 @@ def _is_number(dtype: T.DataType) -> bool:
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (column, value, number, n): how often each non-null value occurs. `number` carries numeric order."""
+    """Rows (place, value, number, n): how often each non-null value of the column at that place in `columns` occurs.
+    `number` carries numeric order."""
     schema = df.schema
-    lines = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"`{c}`").cast("string").alias("value"),
-            (F.col(f"`{c}`").cast("double") if _is_number(schema[c].dataType) else F.lit(None).cast("double")).alias(
-                "number"
-            ),
+    lines = []
+    for i, c in enumerate(columns):
+        col = F.col(f"`{c}`")
+        number = col if _is_number(schema[c].dataType) else F.lit(None)
+        lines.append(
+            F.struct(
+                F.lit(i).alias("place"), col.cast("string").alias("value"), number.cast("double").alias("number")
+            )
         )
-        for c in columns
-    ]
     values = df.select(F.inline(F.array(*lines))).filter("value IS NOT NULL")
-    return values.groupBy("column", "value", "number").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("place", "value", "number").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _distincts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("number"), F.col("value")))
-    return (
-        value_frequencies(df, columns)
-        .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("distinct_values"), best.alias("best"))
-        .select("column", "distinct_values", F.col("best.value").alias("top"), (-F.col("best.n")).alias("top_n"))
+    """One row per column: distinct values, the most frequent value, its count. One aggregate without grouping keys, as
+    a smallest-of-text aggregate with keys would sort all the values first."""
+    best = F.struct((-F.col("n")).alias("n"), F.col("number"), F.col("value"))
+    here = [F.col("place") == i for i in range(len(columns))]
+    found = value_frequencies(df, columns).agg(
+        *[F.count_if(cond).alias(f"d{i}") for i, cond in enumerate(here)],
+        *[F.min(F.when(cond, best)).alias(f"b{i}") for i, cond in enumerate(here)],
+    )
+    lines = ", ".join(
+        f"named_struct('Column', '{c}', 'distinct_values', d{i}, 'top', b{i}.value, 'top_n', -b{i}.n)"
+        for i, c in enumerate(columns)
     )
+    return found.selectExpr(f"inline(array({lines}))")
 
 
 def column_profile(
@@ -120,7 +126,7 @@ def column_profile(
     facts = table.agg(*aggs).selectExpr("total", f"inline(array({', '.join(lines)}))")
     # One row per column on both sides.
     joined = facts.join(
-        F.broadcast(_distincts(table, columns)).withColumnRenamed("column", "Column"), "Column", "left"
+        F.broadcast(_distincts(table, columns)), "Column", "left"
     )
     total, nulls = F.col("total"), F.col("nulls")
     distinct = F.coalesce(F.col("distinct_values"), F.lit(0))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.ladders import status
 from plumbline.functions.rates import basis_points, share
 from plumbline.operators.checks import SigmaOutlier, Unique
-from plumbline.operators.lookup import Facts, attach
+from plumbline.operators.lookup import Facts, attach, attach_all
 from plumbline.operators.rule import GroupCheck, Rule, Scope, rule_table
 from plumbline.session import materialize
 
@@ -114,21 +114,19 @@ class Run:
         fresh = {by: group_stats(self.df, scope, by, checks).materialized() for by, checks in groups.items()}
         return {**self._stats, **fresh}
 
+    def _stat_facts(self, rules: Sequence[Rule]) -> list[Facts]:
+        wanted = {r.check.by for r in rules if isinstance(r.check, SigmaOutlier) and self._runs(r)}
+        return [self.stats[by] for by in sorted(wanted)]
+
     def with_stats(self, rules: Sequence[Rule] | None = None) -> DataFrame:
-        rows = self.df
-        wanted = {r.check.by for r in rules or self.rules if isinstance(r.check, SigmaOutlier) and self._runs(r)}
-        for by in sorted(wanted):
-            rows = attach(rows, self.stats[by])
-        return rows
+        """The rows with the group statistics their rules compare with."""
+        return attach_all(self.df, self._stat_facts(rules or self.rules))
 
     @cached_property
     def prepared(self) -> DataFrame:
         """The rows with everything the checks look up: group statistics, copy counts, unknown references."""
-        rows = self.with_stats()
-        for rule in self.group_rules:
-            if self._runs(rule):
-                rows = attach(rows, rule.check.facts(self.df, self._scope(rule)).materialized())
-        return rows
+        facts = [r.check.facts(self.df, self._scope(r)) for r in self.group_rules if self._runs(r)]
+        return attach_all(self.df, [*self._stat_facts(self.rules), *facts])
 
     @cached_property
     def rule_table(self) -> DataFrame:
@@ -190,7 +188,7 @@ class Run:
             return self.df.limit(0)
         rows = self.with_stats([rule])
         if isinstance(rule.check, GroupCheck):
-            rows = attach(rows, rule.check.facts(self.df, self._scope(rule)).materialized())
+            rows = attach(rows, rule.check.facts(self.df, self._scope(rule)))
         return rows.filter(rule.check.fails(self._scope(rule)))
 
     def rule(self, rule_id: str) -> Rule:

@@ -439,6 +439,8 @@ ORACLE: dict[str, str] = {
     "rule_scorecard": f"WITH {SCORE} {SCORECARD.format('sc')}",
     "strict_scorecard": strict(),
     "lineitem_scorecard": f"WITH {LINE_FLAGS}, {scored(LINE_RULES, 'lf')} {SCORECARD.format('sc')}",
+    "stream_scorecard": f"WITH {LINE_FLAGS}, {scored([r for r in LINE_RULES if r.rule_id not in ('LI-007', 'LI-010')], 'lf')} "
+    + SCORECARD.format("sc"),
     "lineitem_failures_per_line": f"WITH {LINE_FLAGS} SELECT {' + '.join(f'CAST(f{i[-3:]} AS INT)' for i in LINE_FAILS)} "
     "AS rules_failed, count(*) AS lines FROM lf GROUP BY 1",
     "conversation_scorecard": f"""WITH cf AS (SELECT *, role IS NULL OR role NOT IN ('user', 'assistant') AS a,

@@ -28,10 +28,13 @@ def rule(rule_id: str, name: str, dimension: str, cde: str, check, severity: str
     return Rule(rule_id, name, dimension, cde, f"{name} on {cde}.", severity, "Review flagged records.", check)
 
 
-def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_month(lines: DataFrame) -> DataFrame:
     """lineitem with its ship month as text."""
-    month = F.substring(F.col("l_shipdate").cast("string"), 1, 7)
-    return table(spark, sf_dir, "lineitem").withColumn("ship_month", month)
+    return lines.withColumn("ship_month", F.substring(F.col("l_shipdate").cast("string"), 1, 7))
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_month(table(spark, sf_dir, "lineitem"))
 
 
 def lineitem_rules(spark: SparkSession, sf_dir: str) -> list[Rule]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,10 @@ from plumbline.plans import housing as pack
 from plumbline.plans import packs
 from plumbline.plans.fixture import housing, table
 from plumbline.plans.housing_contract import DOMAIN_CHECKS, contract
-from plumbline.session import configure
+from plumbline.session import configure, shared_dir
 from plumbline.sources.outputs import export_columns
 from plumbline.sources.tables import with_record_id
+from plumbline.streaming.monitor import score_stream, scorecard_so_far, snapshot
 
 AS_OF = "2026-12"
 RUN_TS = "2026-12-01 00:00"
@@ -477,3 +479,26 @@ def lineage_impact(spark, sf_dir):
         housing_run(spark, sf_dir).scorecard(), edges.select(F.col("cde").alias("CDE")).distinct()
     ).select(F.col("CDE").alias("cde"), "Failures")
     return hops.join(F.broadcast(found), "cde")
+
+
+# Streaming.
+
+
+@query
+def stream_scorecard(spark, sf_dir):
+    """lineitem read as a stream of files and scored by batch; the scorecards of all batches together."""
+    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    group = ("LI-007", "LI-010")
+    rules = [r for r in packs.lineitem_rules(spark, sf_dir) if r.rule_id not in group]
+    lines = table(spark, sf_dir, "lineitem")
+    stream = spark.readStream.schema(lines.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    score_stream(
+        packs.with_month(stream),
+        rules,
+        path,
+        as_of="2001-06",
+        stats=snapshot(packs.lineitem(spark, sf_dir), rules),
+        with_exceptions=False,
+        availableNow=True,
+    ).awaitTermination()
+    return scorecard_so_far(spark, path)

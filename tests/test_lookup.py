@@ -52,6 +52,7 @@ def test_rules_give_the_same_beyond_the_broadcast_limit(spark, sf_dir, monkeypat
 
     small = results()
     monkeypatch.setattr(attach, "__defaults__", (0, 0))
+    monkeypatch.setattr(lookup.attach_all, "__defaults__", (0, 0))
     assert results() == small
 
 
