@@ -253,7 +253,7 @@ class Unique(GroupCheck):
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
         groups = self.groups(df, scope).filter("_n > 1").withColumn(self.flag, F.col("_n"))
-        return Facts(groups, tuple(self.present(scope)), (self.flag,), null_safe=True)
+        return Facts(groups, tuple(self.present(scope)), (self.flag,))
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
         copies = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
@@ -292,12 +292,12 @@ class InReference(GroupCheck):
         return values.join(known, F.col("_v") == F.col("_r"), "left").select("_v", "_n", missing.alias("_missing"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
-        counted = Facts(self.counts(df, scope), ("_v",), ("_missing",), null_safe=True).materialized()
+        counted = Facts(self.counts(df, scope), ("_v",), ("_missing",)).materialized()
         # Heavy values stay in the facts even when they are known, as attach() needs them to spread their rows.
         heavy = F.col("_n") * HEAVY > F.lit(counted.size["weight"])
         flag = F.when(F.col("_missing"), F.lit(True)).alias(self.flag)
         kept = counted.df.filter(F.col("_missing") | heavy).select(F.col("_v").alias(self.column), "_n", flag)
-        return Facts(kept, (self.column,), (self.flag,), null_safe=True)
+        return Facts(kept, (self.column,), (self.flag,))
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
         return self.counts(df, scope).agg(

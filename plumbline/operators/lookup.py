@@ -1,9 +1,8 @@
 """Join rows to a table of facts that is unique per key, whatever the size of the facts and the skew of the rows.
 
-Small facts (counted and weighed first) are broadcast. Larger ones are split: a key that holds more than 1/1024 of the
-rows can occur at most 1,023 times in the facts, so those keys always fit a broadcast, and their rows never shuffle. The
-other rows, none of whose keys is heavy, meet the rest of the facts in a shuffle join. Rows with a NULL key, which match
-nothing, stay out of the shuffle as well. No row is salted at random, so a lost task recomputes the same rows.
+Facts are measured while they are written. Small ones are broadcast. Larger ones meet the rows in one shuffle join, if no
+key holds more than 1/1024 of the rows. Otherwise the heavy keys, of which there can be at most 1,023, are broadcast and
+their rows never shuffle; only the others do. No row is salted at random, so a lost task recomputes the same rows.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from plumbline.session import materialize
+from plumbline.session import materialize, write_rows
 
 MAX_ROWS = 500_000
 MAX_BYTES = 32 << 20
@@ -23,7 +22,7 @@ HEAVY = 1024
 
 @dataclass(frozen=True)
 class Facts:
-    """Facts about the keys of a table. `weight` counts the rows of the table that carry the key.
+    """Facts about the keys of a table, NULL being a key like any other. `weight` counts the rows that carry the key.
 
     Every key that holds more than 1/1024 of the rows must be present, or its rows would meet in one shuffle partition.
     """
@@ -32,12 +31,8 @@ class Facts:
     keys: tuple[str, ...]
     values: tuple[str, ...]
     weight: str = "_n"
-    null_safe: bool = False
     size: dict[str, int] | None = None
 
-    def fits(self, max_rows: int, max_bytes: int) -> bool:
-        return self.size["rows"] <= max_rows and self.size["bytes"] <= max_bytes
-
     def materialized(self) -> Facts:
         """The facts written to the shared folder, and measured while they are written."""
         seen = Observation()
@@ -47,17 +42,22 @@ class Facts:
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
             F.coalesce(F.sum(self.weight), F.lit(0)).alias("weight"),
+            F.coalesce(F.max(self.weight), F.lit(0)).alias("heaviest"),
         )
         return replace(self, df=materialize(measured), size=seen.get)
 
+    def fits(self, max_rows: int, max_bytes: int) -> bool:
+        return self.size["rows"] <= max_rows and self.size["bytes"] <= max_bytes
 
-def _on(facts: Facts) -> list[Column]:
-    pairs = [(F.col(f"`{key}`"), F.col(f"_k{i}")) for i, key in enumerate(facts.keys)]
-    return [a.eqNullSafe(b) if facts.null_safe else a == b for a, b in pairs]
+    def has_heavy_keys(self) -> bool:
+        return self.size["heaviest"] * HEAVY > self.size["weight"]
 
+    def _on(self) -> list[Column]:
+        return [F.col(f"`{key}`").eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(self.keys)]
 
-def _side(df: DataFrame, facts: Facts, values: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(facts.keys)], *values)
+    def _side(self, where: Column | None = None, *extra: Column) -> DataFrame:
+        df = self.df if where is None else self.df.filter(where)
+        return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)], *self.values, *extra)
 
 
 def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -66,33 +66,26 @@ def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: i
         facts = facts.materialized()
     wanted = [*rows.columns, *facts.values]
     if facts.fits(max_rows, max_bytes):
-        small = F.broadcast(_side(facts.df, facts, facts.values))
-        return rows.join(small, _on(facts), "left").select(*wanted)
-
+        return rows.join(F.broadcast(facts._side()), facts._on(), "left").select(*wanted)
+    if not facts.has_heavy_keys():
+        return rows.join(facts._side(), facts._on(), "left").select(*wanted)
     is_heavy = F.col(facts.weight) * HEAVY > F.lit(facts.size["weight"])
-    heavy = F.broadcast(_side(facts.df.filter(is_heavy), facts, [*facts.values, F.lit(True).alias("_heavy")]))
-    light = _side(facts.df.filter(~is_heavy), facts, facts.values)
-
-    unmatched = F.lit(False)
-    if not facts.null_safe:
-        for key in facts.keys:
-            unmatched = unmatched | F.col(f"`{key}`").isNull()
-    near = rows.join(heavy, _on(facts), "left").filter(F.col("_heavy").isNotNull() | unmatched)
-    far = rows.filter(~unmatched).join(heavy, _on(facts), "left_anti")
-    far = far.join(light, _on(facts), "left")
+    heavy = F.broadcast(facts._side(is_heavy))
+    near = rows.join(heavy, facts._on())
+    far = rows.join(heavy, facts._on(), "left_anti").join(facts._side(~is_heavy), facts._on(), "left")
     return near.select(*wanted).unionByName(far.select(*wanted))
 
 
 def attach_all(
     rows: DataFrame, many: Sequence[Facts], max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
-    """Attach several facts. Each one too large to broadcast reads its input twice; so from the second such one on the
-    rows are written out in between, and the work grows with the number of facts instead of doubling with each."""
+    """Attach several facts. A split into heavy and other rows reads its input twice; so before every further split the
+    rows are written out, and the work grows with the number of facts instead of doubling with each."""
     measured = [f if f.size else f.materialized() for f in many]
-    large = [f for f in measured if not f.fits(max_rows, max_bytes)]
-    for i, facts in enumerate(large):
-        rows = attach(materialize(rows) if i else rows, facts, max_rows, max_bytes)
+    split = [f for f in measured if not f.fits(max_rows, max_bytes) and f.has_heavy_keys()]
+    for i, facts in enumerate(split):
+        rows = attach(write_rows(rows) if i else rows, facts, max_rows, max_bytes)
     for facts in measured:
-        if facts not in large:
+        if facts not in split:
             rows = attach(rows, facts, max_rows, max_bytes)
     return rows

@@ -38,13 +38,15 @@ def finish_scorecard(counts: DataFrame, strict_pass: bool = False) -> DataFrame:
 
 def group_stats(df: DataFrame, scope: Scope, by: str, checks: Sequence[SigmaOutlier]) -> Facts:
     """Mean and sample deviation of every metric asked of one grouping, in one aggregation."""
+    # Rows without a group keep their place in the counts, but get no statistics to be compared with.
+    grouped = F.col(by).isNotNull()
     wanted = {}
     for check in checks:
         value = scope.col(check.column).cast("double")
-        wanted[check.mean] = F.avg(value).alias(check.mean)
-        wanted[check.std] = F.stddev_samp(value).alias(check.std)
-    stats = df.groupBy(scope.col(by).alias(by)).agg(F.count(F.lit(1)).alias("_n"), *wanted.values())
-    return Facts(stats.filter(F.col(by).isNotNull()), (by,), tuple(wanted))
+        wanted[check.mean] = F.when(grouped, F.avg(value)).alias(check.mean)
+        wanted[check.std] = F.when(grouped, F.stddev_samp(value)).alias(check.std)
+    stats = df.withColumn(by, scope.col(by)).groupBy(by).agg(F.count(F.lit(1)).alias("_n"), *wanted.values())
+    return Facts(stats, (by,), tuple(wanted))
 
 
 class Run:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.plans.housing import GEO_CODES
 
-MONTH = "substr(cast(o_orderdate AS string), 1, 7)"
+MONTH = "concat(cast(year(o_orderdate) AS string), '-', lpad(cast(month(o_orderdate) AS string), 2, '0'))"
 
 
 def _nth(index: str, values) -> str:

@@ -30,7 +30,9 @@ def rule(rule_id: str, name: str, dimension: str, cde: str, check, severity: str
 
 def with_month(lines: DataFrame) -> DataFrame:
     """lineitem with its ship month as text."""
-    return lines.withColumn("ship_month", F.substring(F.col("l_shipdate").cast("string"), 1, 7))
+    # Built from its parts, which is much faster than cutting the text form of a timestamp.
+    month = F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
+    return lines.withColumn("ship_month", F.concat_ws("-", F.year("l_shipdate").cast("string"), month))
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

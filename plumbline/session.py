@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder once and go on from there, so that it is neither computed twice nor lost."""
+    """Checkpoint a table of facts, so that it is neither computed twice nor lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def write_rows(df: DataFrame) -> DataFrame:
+    """The same for a table of rows: written to the shared folder as Parquet and read back from there, so that later
+    steps read only the columns they need."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.nulls import drop_nan
-from plumbline.session import materialize
+from plumbline.session import write_rows
 
 RECORD_ID = "_record_id"
 
@@ -106,7 +106,7 @@ def with_record_id(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         parts = [F.col(f"`{k}`") for k in keys]
         return df.withColumn(RECORD_ID, parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts)))
     columns = [f"`{c}`" for c in df.columns]
-    placed = materialize(df.select(*columns, F.monotonically_increasing_id().alias("_place")))
+    placed = write_rows(df.select(*columns, F.monotonically_increasing_id().alias("_place")))
     # The upper bits of the place are the partition, the lower 33 the row within it.
     part = F.shiftright("_place", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
