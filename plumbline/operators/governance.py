@@ -58,10 +58,10 @@ def _tokens(column: str) -> Column:
     return F.explode(F.transform(F.split(F.col(column), "[+/]"), lambda t: F.trim(t)))
 
 
-def routes(rule_table: DataFrame, assignments: DataFrame) -> DataFrame:
+def routes(rule_table: DataFrame, assignments: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Which assignments each rule belongs to: (Rule_ID, CDE and the other assignment columns). Elements written together
     ("A + B", "A / B") match on each part; a rule reaches an assignment once."""
-    rules = rule_table.select("Rule_ID", _tokens("CDE_Affected").alias("_part"))
+    rules = rule_table.select("Rule_ID", *keep, _tokens("CDE_Affected").alias("_part"))
     parts = assignments.select("*", _tokens("CDE").alias("_part"))
     return rules.join(F.broadcast(parts), "_part").drop("_part").distinct()
 
@@ -73,11 +73,13 @@ def route_exceptions(exceptions: DataFrame, rule_table: DataFrame, assignments:
     return exceptions.join(F.broadcast(by_rule), "_rule_id")
 
 
-def steward_load(exceptions: DataFrame, rule_table: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Exceptions per assignment and rule, counted before they meet the assignments."""
-    counts = exceptions.groupBy(F.col("_rule_id").alias("Rule_ID")).agg(F.count(F.lit(1)).alias("Failures"))
-    routed = routes(rule_table, assignments).join(F.broadcast(counts), "Rule_ID")
-    return routed.select("Rule_ID", "CDE", "Data_Owner", "Data_Steward", "Data_Custodian", "Review_Cycle", "Failures")
+def steward_load(scorecard: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Failures per assignment and rule. The scorecard has the counts already; no exception is touched."""
+    counts = scorecard.filter("Records_Failed > 0").select("Rule_ID", "CDE_Affected", "Records_Failed")
+    routed = routes(counts, assignments, keep=["Records_Failed"])
+    return routed.select(
+        "Rule_ID", "CDE", "Data_Owner", "Data_Steward", "Data_Custodian", "Review_Cycle", F.col("Records_Failed").alias("Failures")
+    )
 
 
 @dataclass(frozen=True)

@@ -166,6 +166,11 @@ class Run:
         ids = F.when(F.col("_ids") == "", F.array().cast("array<string>")).otherwise(F.split("_ids", ","))
         return rows.select(*record, ids.alias(FAILED))
 
+    def only(self, rule_ids: Sequence[str]) -> Run:
+        """The run of some of the rules, for results that need no others."""
+        some = [r for r in self.rules if r.rule_id in set(rule_ids)]
+        return Run(self.df, some, self.as_of, self.run_ts, self.lenient, self.strict_pass, self._stats)
+
     def exceptions(self) -> DataFrame:
         """One row per record and failed rule: the record, then the eight columns about the failure."""
         record = [f"`{c}`" for c in self.schema.names]

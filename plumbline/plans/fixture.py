@@ -6,9 +6,18 @@ The text is portable SQL, so that Spark and the checking engine build the same r
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from plumbline.plans.housing import GEO_CODES
+from plumbline.session import shared_dir
+
+WIDE_COLUMNS = (
+    "DATA_SOURCE", "REPORTING_AGENCY", "LAST_UPDATED", "SURVEY_METHOD", "GEOGRAPHY_TYPE", "UOM", "SCALAR_FACTOR",
+    "DECIMALS",
+)
 
 MONTH = "concat(cast(year(o_orderdate) AS string), '-', lpad(cast(month(o_orderdate) AS string), 2, '0'))"
 
@@ -60,6 +69,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
 def housing(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    text = housing_sql("{orders}", "{customer}", wide)
-    return spark.sql(text, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+    """The fixture as a stored table. A run goes over its table several times (statistics, rules, grain), so the join
+    behind this one is done once per application and its result kept in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        text = housing_sql("{orders}", "{customer}", wide=True)
+        joined = spark.sql(text, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+        path = f"{shared_dir(spark)}/housing-{uuid.uuid4().hex}"
+        joined.write.parquet(path)
+        _WRITTEN[key] = path, joined.schema
+    path, schema = _WRITTEN[key]
+    stored = spark.read.schema(schema).parquet(path)
+    return stored if wide else stored.drop(*WIDE_COLUMNS)

@@ -262,9 +262,8 @@ def business_rules(spark, sf_dir):
 
 
 def _causes(spark, sf_dir):
-    return rca.root_causes(
-        housing_run(spark, sf_dir).exceptions(), pack.ROOT_CAUSES, {"year": F.substring("REF_DATE", 1, 4)}
-    )
+    run = housing_run(spark, sf_dir).only([rule_id for _, rule_id, _ in pack.ROOT_CAUSES])
+    return rca.root_causes(run.exceptions(), pack.ROOT_CAUSES, {"year": F.substring("REF_DATE", 1, 4)})
 
 
 @query
@@ -434,8 +433,7 @@ def escalation(spark, sf_dir):
 
 @query
 def steward_load(spark, sf_dir):
-    run = housing_run(spark, sf_dir)
-    return governance.steward_load(run.exceptions(), run.rule_table, _assignments(spark))
+    return governance.steward_load(housing_run(spark, sf_dir).scorecard(), _assignments(spark))
 
 
 @query

@@ -23,7 +23,7 @@ def test_routing_and_load(spark):
     df = housing_rows(spark, {"HOUSING_STARTS": -1.0}, {"GEO_CODE": "XX"}, {"STATUS": "?"}, {})
     run = Run(df, pack.rules(), as_of="2026-12")
     assign = spark.createDataFrame(gov.ASSIGNMENTS, gov.ASSIGNMENT_SCHEMA)
-    load = {(r["Rule_ID"], r["CDE"]): r["Failures"] for r in g.steward_load(run.exceptions(), run.rule_table, assign).collect()}
+    load = {(r["Rule_ID"], r["CDE"]): r["Failures"] for r in g.steward_load(run.scorecard(), assign).collect()}
     assert load == {("DQ-002", "HOUSING_STARTS"): 1, ("DQ-006", "GEO / GEO_CODE"): 1, ("DQ-015", "GEO / GEO_CODE"): 1}
     assert g.route_exceptions(run.exceptions(), run.rule_table, assign).count() == 3
 
