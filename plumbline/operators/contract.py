@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions.ladders import sla_status
+from plumbline.functions.rates import mean_rate, to_basis_points
 from plumbline.operators.rule import Scope
 
 # The patterns of the known formats. Fields with another format are not checked.
@@ -165,6 +166,49 @@ def sla_checks(scorecard: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
     )
 
 
+def _tiers(scorecard: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
+    """Scorecard rows of the rules the contract knows, with the tier it puts them in."""
+    rules = [(r["ruleId"], int(r["tier"])) for r in contract["quality"]["rules"]]
+    wanted = scorecard.sparkSession.createDataFrame(rules, "Rule_ID string, tier int")
+    # Both sides have one row per rule.
+    return scorecard.join(F.broadcast(wanted), "Rule_ID")
+
+
+def tier_levels(scorecard: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
+    """Each rule judged by the thresholds of its tier, whatever its own are."""
+    limits = contract["quality"]["tiers"]
+
+    def limit(kind: str) -> Column:
+        expr = F.lit(None).cast("double")
+        for name, tier in limits.items():
+            expr = F.when(F.col("tier") == int(name.removeprefix("tier")), float(tier[kind])).otherwise(expr)
+        return expr
+
+    level = sla_status(F.col("Pass_Rate_Pct"), limit("warnThreshold"), limit("criticalThreshold"))
+    return _tiers(scorecard, contract).select("Rule_ID", "tier", "Pass_Rate_Pct", level.alias("level"))
+
+
+def dimension_levels(scorecard: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
+    """Mean pass rate per dimension and tier, judged by the thresholds the contract sets for them."""
+    limits = [
+        (d["dimension"], int(name.removeprefix("tier")), float(d[name]["warn"]), float(d[name]["critical"]))
+        for d in contract["quality"]["dimensions"]
+        for name in d
+        if name.startswith("tier")
+    ]
+    wanted = scorecard.sparkSession.createDataFrame(limits, "dimension string, tier int, warn double, critical double")
+    means = (
+        _tiers(scorecard, contract)
+        .groupBy(F.lower("DQ_Dimension").alias("dimension"), "tier")
+        .agg(F.count(F.lit(1)).alias("rules"), F.sum(to_basis_points(F.col("Pass_Rate_Pct"))).alias("_bp"))
+        .withColumn("avg_pass_rate", mean_rate(F.col("_bp"), F.col("rules")))
+    )
+    level = sla_status(F.col("avg_pass_rate"), F.col("warn"), F.col("critical"))
+    # A few rows on both sides.
+    joined = means.join(F.broadcast(wanted), ["dimension", "tier"])
+    return joined.select("dimension", "tier", "rules", "avg_pass_rate", level.alias("level"))
+
+
 def validate(df: DataFrame, contract: Mapping[str, Any], scorecard: DataFrame | None = None) -> DataFrame:
     """All checks as rows (section, check, status, detail, violations). Service levels are judged by the scorecard given,
     fresh or read back."""

@@ -52,11 +52,18 @@ SERVICE_LEVELS = (
     ("DQ-015", "GEO+GEO_CODE", 1, 100.0, 97.0),
 )
 
-# Thresholds by tier. Each rule carries its own, so these only document the tiers.
+# Thresholds by tier, and by dimension and tier.
 TIERS = {
     "tier1": {"warnThreshold": 99.0, "criticalThreshold": 97.0},
     "tier2": {"warnThreshold": 97.0, "criticalThreshold": 95.0},
 }
+DIMENSION_LEVELS = [
+    {"dimension": "completeness", "tier1": {"warn": 99.0, "critical": 97.0}, "tier2": {"warn": 97.0, "critical": 95.0}},
+    {"dimension": "validity", "tier1": {"warn": 99.0, "critical": 97.0}, "tier2": {"warn": 97.0, "critical": 95.0}},
+    {"dimension": "uniqueness", "tier1": {"warn": 99.0, "critical": 97.0}},
+    {"dimension": "accuracy", "tier1": {"warn": 99.0, "critical": 97.0}},
+    {"dimension": "consistency", "tier1": {"warn": 99.0, "critical": 97.0}},
+]
 
 
 def contract(columns: tuple[str, ...] | None = None) -> dict[str, Any]:
@@ -66,7 +73,8 @@ def contract(columns: tuple[str, ...] | None = None) -> dict[str, Any]:
         for rule, field, tier, warn, critical in SERVICE_LEVELS
     ]
     fields = [f for f in FIELDS if columns is None or f["name"] in columns]
-    return {"schema": {"type": "table", "fields": fields}, "quality": {"tiers": TIERS, "rules": levels}}
+    quality = {"tiers": TIERS, "dimensions": DIMENSION_LEVELS, "rules": levels}
+    return {"schema": {"type": "table", "fields": fields}, "quality": quality}
 
 
 # The eight domain checks of the profile.

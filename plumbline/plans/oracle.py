@@ -319,6 +319,11 @@ def contract_sql(source: str, have: set[str], extra: list[str], sla: str) -> str
     return union(out)
 
 
+def level(rate: str, warn: int, critical: int) -> str:
+    return f"CASE WHEN {rate} >= {warn} THEN 'PASS' WHEN {rate} >= {critical} THEN 'WARN' ELSE 'FAIL' END"
+
+
+TIER_OF = "tiers AS (SELECT * FROM (VALUES " + ", ".join(f"({q(r)}, {t})" for r, _, t, *_ in SERVICE_LEVELS) + ") AS v(Rule_ID, tier))"
 ALL_FIELDS = {f["name"] for f in FIELDS}
 HS_FIELDS = ALL_FIELDS & {
     "REF_DATE", "GEO", "GEO_CODE", "DWELLING_TYPE", "INTENDED_MARKET", "HOUSING_STARTS", "AVERAGE_PRICE_CAD", "STATUS",
@@ -548,6 +553,11 @@ ORACLE: dict[str, str] = {
         for f in FIELDS
         if f.get("validValues")
     ),
+    "tier_levels": f"""WITH {SCORE}, {TIER_OF} SELECT Rule_ID, tier, Pass_Rate_Pct, CASE WHEN tier = 1 THEN {level("Pass_Rate_Pct", 99, 97)}
+      ELSE {level("Pass_Rate_Pct", 97, 95)} END AS level FROM sc JOIN tiers USING (Rule_ID)""",
+    "dimension_levels": f"""WITH {SCORE}, {TIER_OF}, m AS (SELECT lower(DQ_Dimension) AS dimension, tier, count(*) AS rules,
+      {mean()} AS avg_pass_rate FROM sc JOIN tiers USING (Rule_ID) GROUP BY 1, 2)
+      SELECT *, CASE WHEN tier = 1 THEN {level("avg_pass_rate", 99, 97)} ELSE {level("avg_pass_rate", 97, 95)} END AS level FROM m""",
     "profile_housing": f"WITH {HS} {profile('hs', HS_TYPES, pack.CRITICAL_DATA_ELEMENTS)}",
     "profile_events": profile(
         "events", {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}

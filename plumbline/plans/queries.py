@@ -330,6 +330,16 @@ def contract_invalid_values(spark, sf_dir):
     return contracts.invalid_values(full_housing(spark, sf_dir), contract())
 
 
+@query
+def tier_levels(spark, sf_dir):
+    return contracts.tier_levels(housing_run(spark, sf_dir).scorecard(), contract())
+
+
+@query
+def dimension_levels(spark, sf_dir):
+    return contracts.dimension_levels(housing_run(spark, sf_dir).scorecard(), contract())
+
+
 # Profile. Quartiles are shown with four places, where interpolation between two-place values is exact.
 
 

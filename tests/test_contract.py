@@ -91,3 +91,15 @@ def test_contract_files(spark, tmp_path):
     (tmp_path / "c.yaml").write_text(yaml.safe_dump(contract()))
     (tmp_path / "c.json").write_text(json.dumps(contract()))
     assert read_contract(spark, str(tmp_path / "c.yaml")) == contract() == read_contract(spark, str(tmp_path / "c.json"))
+
+
+def test_levels_by_tier_and_dimension(published):  # noqa: F811
+    tiers = {name: r["level"] for name, r in by(k.tier_levels(published, contract()), "Rule_ID").items()}
+    # Held to the thresholds of tier 1 alone, only these five fall short.
+    assert sorted(name for name, level in tiers.items() if level == "WARN") == ["DQ-001", "DQ-002", "DQ-003", "DQ-004", "DQ-014"]
+    assert tiers["DQ-012"] == "PASS" and len(tiers) == 15
+    rows = k.dimension_levels(published, contract()).collect()
+    levels = {(r["dimension"], r["tier"]): (r["rules"], r["avg_pass_rate"], r["level"]) for r in rows}
+    assert levels[("completeness", 1)] == (2, 98.44, "WARN")
+    assert levels[("validity", 1)] == (8, 99.51, "PASS") and levels[("validity", 2)] == (1, 100.0, "PASS")
+    assert len(levels) == 6
