@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.lookup import HEAVY, Facts
 from plumbline.operators.rule import Check, GroupCheck, Scope
@@ -229,9 +230,13 @@ class SigmaOutlier(Check):
 
 @dataclass(frozen=True)
 class Unique(GroupCheck):
-    """Fails every row whose key occurs more than once; nulls count as equal."""
+    """Fails every row whose key occurs more than once; nulls count as equal.
+
+    With `digest`, text keys are compared by their SHA-256, so that long texts are neither shuffled nor broadcast.
+    """
 
     keys: tuple[str, ...]
+    digest: bool = False
 
     @property
     def columns(self):
@@ -247,13 +252,20 @@ class Unique(GroupCheck):
     def present(self, scope: Scope) -> list[str]:
         return [k for k in self.keys if scope.has(k)]
 
+    def key(self, name: str, scope: Scope) -> Column:
+        if self.digest and isinstance(scope.dtype(name), T.StringType):
+            return F.sha2(scope.col(name), 256)
+        return scope.col(name)
+
     def groups(self, df: DataFrame, scope: Scope) -> DataFrame:
         keys = self.present(scope)
-        return df.select(*[scope.col(k).alias(k) for k in keys]).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = df.select(*[self.key(k, scope).alias(k) for k in keys])
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
         groups = self.groups(df, scope).filter("_n > 1").withColumn(self.flag, F.col("_n"))
-        return Facts(groups, tuple(self.present(scope)), (self.flag,))
+        keys = self.present(scope)
+        return Facts(groups, tuple(keys), (self.flag,), row_keys=tuple(self.key(k, scope) for k in keys))
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
         copies = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
@@ -360,5 +372,5 @@ def sigma_outlier(column: str, by: str, **options: Any) -> SigmaOutlier:
     return SigmaOutlier(column, by, **options)
 
 
-def unique(*keys: str) -> Unique:
-    return Unique(tuple(keys))
+def unique(*keys: str, digest: bool = False) -> Unique:
+    return Unique(tuple(keys), digest)

@@ -1,6 +1,6 @@
 """Join rows to a table of facts that is unique per key, whatever the size of the facts and the skew of the rows.
 
-Facts are measured while they are written. Small ones are broadcast. Larger ones meet the rows in one shuffle join, if no
+Facts are written to the shared folder and measured. Small ones are broadcast. Larger ones meet the rows in one shuffle join, if no
 key holds more than 1/1024 of the rows. Otherwise the heavy keys, of which there can be at most 1,023, are broadcast and
 their rows never shuffle; only the others do. No row is salted at random, so a lost task recomputes the same rows.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.session import materialize, write_rows
@@ -18,11 +18,13 @@ from plumbline.session import materialize, write_rows
 MAX_ROWS = 500_000
 MAX_BYTES = 32 << 20
 HEAVY = 1024
+HEAVY_BYTES = 128 << 20
 
 
 @dataclass(frozen=True)
 class Facts:
     """Facts about the keys of a table, NULL being a key like any other. `weight` counts the rows that carry the key.
+    `row_keys` are the expressions that give the keys on the side of the rows, if they are not columns of the same name.
 
     Every key that holds more than 1/1024 of the rows must be present, or its rows would meet in one shuffle partition.
     """
@@ -31,20 +33,28 @@ class Facts:
     keys: tuple[str, ...]
     values: tuple[str, ...]
     weight: str = "_n"
+    row_keys: tuple[Column, ...] | None = None
     size: dict[str, int] | None = None
 
     def materialized(self) -> Facts:
-        """The facts written to the shared folder, and measured while they are written."""
-        seen = Observation()
-        width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in self.keys), F.lit(64))
-        measured = self.df.observe(
-            seen,
+        """The facts written to the shared folder, and measured there."""
+        written = materialize(self.df)
+        size = written.agg(
             F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum(self._width()), F.lit(0)).alias("bytes"),
             F.coalesce(F.sum(self.weight), F.lit(0)).alias("weight"),
             F.coalesce(F.max(self.weight), F.lit(0)).alias("heaviest"),
         )
-        return replace(self, df=materialize(measured), size=seen.get)
+        return replace(self, df=written, size=size.first().asDict())
+
+    def _width(self) -> Column:
+        return sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in self.keys), F.lit(64))
+
+    def is_heavy(self) -> Column:
+        return F.col(self.weight) * HEAVY > F.lit(self.size["weight"])
+
+    def heavy_bytes(self) -> int:
+        return self.df.filter(self.is_heavy()).agg(F.coalesce(F.sum(self._width()), F.lit(0))).first()[0]
 
     def fits(self, max_rows: int, max_bytes: int) -> bool:
         return self.size["rows"] <= max_rows and self.size["bytes"] <= max_bytes
@@ -53,7 +63,8 @@ class Facts:
         return self.size["heaviest"] * HEAVY > self.size["weight"]
 
     def _on(self) -> list[Column]:
-        return [F.col(f"`{key}`").eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(self.keys)]
+        rows = self.row_keys or tuple(F.col(f"`{key}`") for key in self.keys)
+        return [row.eqNullSafe(F.col(f"_k{i}")) for i, row in enumerate(rows)]
 
     def _side(self, where: Column | None = None, *extra: Column) -> DataFrame:
         df = self.df if where is None else self.df.filter(where)
@@ -67,12 +78,12 @@ def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: i
     wanted = [*rows.columns, *facts.values]
     if facts.fits(max_rows, max_bytes):
         return rows.join(F.broadcast(facts._side()), facts._on(), "left").select(*wanted)
-    if not facts.has_heavy_keys():
+    if not facts.has_heavy_keys() or facts.heavy_bytes() > HEAVY_BYTES:
+        # Heavy keys too long to broadcast are left to Spark's own splitting of skewed partitions.
         return rows.join(facts._side(), facts._on(), "left").select(*wanted)
-    is_heavy = F.col(facts.weight) * HEAVY > F.lit(facts.size["weight"])
-    heavy = F.broadcast(facts._side(is_heavy))
+    heavy = F.broadcast(facts._side(facts.is_heavy()))
     near = rows.join(heavy, facts._on())
-    far = rows.join(heavy, facts._on(), "left_anti").join(facts._side(~is_heavy), facts._on(), "left")
+    far = rows.join(heavy, facts._on(), "left_anti").join(facts._side(~facts.is_heavy()), facts._on(), "left")
     return near.select(*wanted).unionByName(far.select(*wanted))
 
 

@@ -261,7 +261,7 @@ class Run:
         for r in self.row_rules:
             other = other | self.mask(r)
         keys = rule.check.present(scope)
-        rows = self.with_stats().select(*[scope.col(k).alias(k) for k in keys], other.alias("_other"))
+        rows = self.with_stats().select(*[rule.check.key(k, scope).alias(k) for k in keys], other.alias("_other"))
         groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_other").alias("_m"))
         failed = F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(F.col("_m")))
         return groups.agg(

@@ -576,7 +576,7 @@ ORACLE: dict[str, str] = {
       SELECT {q(DATASET)} AS Dataset, {q(RUN_DATE)} AS Profile_Date, t AS Total_Records, {len(CODES)} AS Total_Columns,
         {len(pack.CRITICAL_DATA_ELEMENTS)} AS CDE_Count, c / CAST(100 AS DOUBLE) AS Completeness_Score,
         v / CAST(100 AS DOUBLE) AS Validity_Score, u / CAST(100 AS DOUBLE) AS Uniqueness_Score, overall AS Overall_DQ_Score,
-        {grade("overall")} AS Overall_Grade, cells AS Total_Null_Cells, holes AS Columns_With_Nulls, run AS Domain_Checks_Run,
+        {grade("overall")} AS Overall_Grade, cells AS Total_Null_Cells, holes AS Columns_With_Nulls, CAST(run AS INT) AS Domain_Checks_Run,
         bad AS Domain_Checks_Failed FROM o""",
     "rule_list": f"""WITH {SCORE} SELECT Rule_ID, Rule_Name, DQ_Dimension, Severity, Pass_Rate_Pct, Records_Failed, Status
       FROM sc WHERE DQ_Dimension = 'Validity' AND Status = 'WARN'""",

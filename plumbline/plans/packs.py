@@ -111,7 +111,7 @@ def order_rules() -> list[Rule]:
 def document_rules(spark: SparkSession, sf_dir: str) -> list[Rule]:
     return [
         rule("DO-001", "Document is labelled", "Consistency", "doc_id", in_reference("doc_id", table(spark, sf_dir, "labels"), "doc_id")),
-        rule("DO-002", "Text occurs once", "Uniqueness", "text", unique("text")),
+        rule("DO-002", "Text occurs once", "Uniqueness", "text", unique("text", digest=True)),
     ]
 
 
@@ -126,5 +126,5 @@ def turn_rules() -> list[Rule]:
     return [
         rule("CO-001", "Role domain", "Validity", "role", in_domain("role", ["user", "assistant"])),
         rule("CO-002", "Turn grain", "Uniqueness", "conv_id+turn", unique("conv_id", "turn")),
-        rule("CO-003", "Reply occurs once", "Uniqueness", "text", unique("text")),
+        rule("CO-003", "Reply occurs once", "Uniqueness", "text", unique("text", digest=True)),
     ]

@@ -71,3 +71,27 @@ def test_hot_group_of_copies(spark):
     run = Run(rows, [packs.rule("U", "unique", "Uniqueness", "t", c.unique("t"))])
     assert run.scorecard().first()["Records_Failed"] == 1000
     assert run.failing_rows("U").count() == 1000
+
+
+def test_long_heavy_keys_are_not_broadcast(spark, monkeypatch):
+    rows = skewed(spark)
+    facts = facts_of(rows)
+    expected = sorted(attach(rows, facts).collect(), key=str)
+    monkeypatch.setattr(lookup, "HEAVY_BYTES", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plain = attach(rows, facts, max_rows=0)
+        assert joins(plain) == {"BroadcastHashJoin": 0, "SortMergeJoin": 1}
+        assert sorted(plain.collect(), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_digests_find_the_same_copies(spark):
+    rows = [(i, t) for i, t in enumerate(["a" * 50000, "b", "a" * 50000, None, "", None, "b ", "ä"])]
+    df = spark.createDataFrame(rows, "i int, t string")
+    for digest in (False, True):
+        run = Run(df, [packs.rule("U", "unique", "Uniqueness", "t", c.unique("t", digest=digest))])
+        assert sorted(r["i"] for r in run.failing_rows("U").collect()) == [0, 2, 3, 5]
+        assert run.unique_failed().first()["failed_records"] == 4
+        assert run.scorecard().first()["Records_Failed"] == 4
