@@ -99,25 +99,28 @@ def exact_quantiles(
 
 
 def _select(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
+    """Count the values inside the brackets and read off the wanted ranks. Targets with one bracket share its counts."""
     if not targets:
         return {}
+    holders = {(t.column, t.low, t.high): t for t in targets}
+    places = {bracket: i for i, bracket in enumerate(holders)}
     lines, wanted = [], F.lit(False)
-    for i, t in enumerate(targets):
+    for bracket, t in holders.items():
         wanted = wanted | F.coalesce(t.within(), F.lit(False))
-        lines.append(F.when(t.within(), F.struct(F.lit(i).alias("t"), F.col(f"`{t.column}`").alias("v"))))
-    values = df.filter(wanted).select(F.inline(F.array(*lines))).filter("t IS NOT NULL")
-    counted = values.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(W.partitionBy("t").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    first = F.element_at(F.array(*[F.lit(t.rank - t.below).cast("long") for t in targets]), F.col("t") + 1)
-    ranked = counted.withColumn("upto", upto).withColumn("r", first)
+        line = F.struct(F.lit(places[bracket]).alias("b"), F.col(f"`{t.column}`").alias("v"))
+        lines.append(F.when(t.within(), line))
+    values = df.filter(wanted).select(F.inline(F.array(*lines))).filter("b IS NOT NULL")
+    counted = values.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
     # x[r] is the first value with more than r values up to it; x[r + 1] likewise.
-    picked = ranked.groupBy("t").agg(
-        F.min(F.when(F.col("upto") > F.col("r"), F.col("v"))).alias("x0"),
-        F.min(F.when(F.col("upto") > F.col("r") + 1, F.col("v"))).alias("x1"),
-    )
+    picks = []
+    for i, t in enumerate(targets):
+        here, rank = F.col("b") == places[(t.column, t.low, t.high)], t.rank - t.below
+        for name, r in (("x", rank), ("y", rank + 1)):
+            picks.append(F.min(F.when(here & (F.col("upto") > r), F.col("v"))).alias(f"{name}{i}"))
+    row = counted.withColumn("upto", upto).agg(*picks).first()
     out = {}
-    for row in picked.collect():  # one short row per target
-        t = targets[row["t"]]
-        x0 = row["x0"]
-        out[(t.column, t.prob)] = x0 if t.fraction == 0 else x0 + (row["x1"] - x0) * t.fraction
+    for i, t in enumerate(targets):
+        x, y = row[f"x{i}"], row[f"y{i}"]
+        out[(t.column, t.prob)] = x if t.fraction == 0 else x + (y - x) * t.fraction
     return out
