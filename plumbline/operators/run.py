@@ -18,7 +18,6 @@ from plumbline.functions.rates import basis_points, share
 from plumbline.operators.checks import SigmaOutlier, Unique
 from plumbline.operators.lookup import Facts, attach, attach_all
 from plumbline.operators.rule import GroupCheck, Rule, Scope, rule_table
-from plumbline.session import materialize
 
 SCORECARD_COLUMNS = (
     "Rule_ID", "Rule_Name", "DQ_Dimension", "CDE_Affected", "Description", "Severity", "Total_Records",
@@ -282,4 +281,4 @@ def annotate(df: DataFrame, rules: Sequence[Rule], **options) -> DataFrame:
     return Run(df, rules, **options).annotated()
 
 
-__all__ = ["Run", "annotate", "exceptions", "finish_scorecard", "group_stats", "materialize", "scorecard"]
+__all__ = ["Run", "annotate", "exceptions", "finish_scorecard", "group_stats", "scorecard"]
