@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +22,35 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
+#: Hexadecimal digits that name a slice of a hash order.
+SLICE = 3
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, which may not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Settings for rows that hold whole texts: few of them at a time go to Python."""
+    """A session with this package on its executors, and settings for rows that hold whole texts: few at a time go to Python."""
     configure(spark)
+    _ship(spark)
     spark.conf.set(BATCH, "1000")
     return spark
 
@@ -69,11 +93,11 @@ def running_total(df: DataFrame, groups: list[str], order: list[Column], fine: C
     """Adds the sum of `value` over the rows of the same groups that come before a row, in the order of `fine` (a string of
     hexadecimal digits spread evenly, such as md5) and then `order`.
 
-    The first four digits cut a group into 65,536 slices. Their sums are added up by a window over at most that many rows;
-    within a slice a second window has 1/65,536 of the group's rows. No task holds a whole group.
+    The first three digits cut a group into 4,096 slices. Their sums are added up by a window over at most that many rows;
+    within a slice a second window has 1/4,096 of the group's rows. No task holds a whole group.
     """
     cut, at, before = (free_name(df, f"{name}_{x}") for x in ("slice", "at", "ahead"))
-    rows = df.withColumns({at: fine, cut: F.substring(fine, 1, 4)})
+    rows = df.withColumns({at: fine, cut: F.substring(fine, 1, SLICE)})
     keys = [F.col(g) for g in groups]
     sums = rows.groupBy(*keys, cut).agg(F.sum(value).alias(before))
     ahead = Window.partitionBy(*groups).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)

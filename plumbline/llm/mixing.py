@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import WORD, free_name, settle
+from plumbline.llm.common import SLICE, WORD, settle
 
 SEED = "mix-1"
 #: Facts about so many sources at most are broadcast; more of them meet the rows in a shuffle join.
@@ -99,9 +99,9 @@ def source_plan(rows: DataFrame, weights: DataFrame | None = None, epochs: int =
         other = other.select(F.col("source").alias("of"), *take)
         return one.join(other, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
 
-    slices = rows.withColumn("slice", F.substring("place", 1, 4)).groupBy("source", "slice").agg(F.sum("size").alias("n"))
+    slices = rows.withColumn("slice", F.substring("place", 1, SLICE)).groupBy("source", "slice").agg(F.sum("size").alias("n"))
     slices = edge(beside(slices, sums, "rest"), "slice", "rest").select("source", F.col("slice").alias("at"), F.col("left").alias("slice_left"))
-    near = beside(rows, slices, "at", "slice_left").filter(F.substring("place", 1, 4) == F.col("at"))
+    near = beside(rows, slices, "at", "slice_left").filter(F.substring("place", 1, SLICE) == F.col("at"))
     near = near.groupBy("source", "slice_left", "place").agg(F.sum("size").alias("n"))
     edges = edge(near, "place", "slice_left").select("source", F.col("place").alias("edge"), F.col("n").alias("edge_size"), F.col("left").alias("edge_left"))
     return settle(beside(sums, edges, "edge", "edge_size", "edge_left").drop("rest", "weight"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, secrets, sharding
+from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,19 @@ def op2_secret_ownership(spark, sf_dir):
     return secrets.digest(secrets.scan(docs.select("doc_id", "text", F.col("source").alias("owner"), repo.alias("repo"))))
 
 
+@query
+def op3_fertility_rules(spark, sf_dir):
+    return fertility.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_grace_hash(spark, sf_dir):
+    return grace.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_grace_hash"] = grace.EXACT_SQL
+
+
 @query
 def op6_water_filling(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -39,6 +52,11 @@ def op6_water_filling(spark, sf_dir):
 ORACLE["op6_water_filling"] = mixing.mix_sql()
 
 
+@query
+def op7_pairwise_ranking(spark, sf_dir):
+    return ranker.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_min_cost_resharding(spark, sf_dir):
     """From ten shards by source, of uneven sizes, to eight of even sizes."""
