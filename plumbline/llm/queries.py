@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding
+from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, warc
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op8_min_cost_resharding(spark, sf_dir):
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )
+
+
+@query
+def op10_boundary_chain(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
