@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, warc
+from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, viterbi, warc
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def op8_min_cost_resharding(spark, sf_dir):
     )
 
 
+@query
+def op9_streaming_viterbi(spark, sf_dir):
+    return viterbi.encoded(table(spark, sf_dir, "documents"), fertility.vocabulary_path())
+
+
 @query
 def op10_boundary_chain(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
