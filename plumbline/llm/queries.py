@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, viterbi, warc
+from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, substrings, viterbi, warc
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,13 @@ def op4_grace_hash(spark, sf_dir):
 ORACLE["op4_grace_hash"] = grace.EXACT_SQL
 
 
+@query
+def op5_level_doubling(spark, sf_dir):
+    """Longer windows than the least remove no further word, so the levels end there."""
+    docs = table(spark, sf_dir, "documents")
+    return substrings.without_repeats(docs, longest=substrings.MIN_WORDS).drop("longest", "kept_text")
+
+
 @query
 def op6_water_filling(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
