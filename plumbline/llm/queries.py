@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, mixing, ranker, secrets, sharding, substrings, viterbi, warc
+from plumbline.llm import fertility, grace, jaccard, mixing, ranker, secrets, sharding, substrings, viterbi, warc
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_secret_ownership(spark, sf_dir):
     """A document's source is its owner, and the source in one language a repository."""
