@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.llm.common import settle
 from plumbline.llm.components import components
@@ -333,3 +334,39 @@ class NearDuplicates:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_shingles, component_id."""
     return NearDuplicates(docs).documents().select("doc_id", "n_shingles", "component_id")
+
+
+def near_duplicates_sql(n: int = N) -> str:
+    """The same over `documents` in SQL, with all pairs and all paths."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS list FROM documents),
+each AS (SELECT doc_id, len(list) AS words, unnest(list) AS word, generate_subscripts(list, 1) AS pos FROM listed),
+grams AS (
+  SELECT doc_id, words, string_agg(word, ' ') OVER w AS gram, count(*) OVER w AS n FROM each
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, gram FROM grams WHERE n = {n} OR n = words),
+sizes AS (SELECT doc_id, count(*) AS size FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * shared >= 75 * (s.size + t.size - shared)),
+steps AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sizes UNION SELECT r.x, s.y FROM reach r JOIN steps s ON r.y = s.x)
+SELECT d.doc_id, coalesce(s.size, 0) AS n_shingles, coalesce(min(r.y), d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, s.size"""
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of every component the row with the smallest doc_id, and of equal ones any, with all columns; rows with the empty set
+    all stay."""
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = NearDuplicates(docs.select("doc_id", "text")).documents()
+    last = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    first = rows.filter("label is not null").groupBy("label").agg(F.min(F.struct(last, "key")).alias("least")).select("least.key")
+    stay = first.withColumn("bare", F.lit(False)).union(rows.filter("label is null").select("key", F.lit(True)).distinct())
+    stay = settle(stay.withColumnRenamed("key", "of"))
+    kept = work.withColumn("key", F.xxhash64("doc.doc_id", "doc.text")).join(stay, F.col("key") == F.col("of"))
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    kept = kept.withColumn("turn", turn).filter("bare or turn = 1")
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -138,12 +138,9 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, epochs: int = 3, se
     plan = source_plan(rows, weights, epochs)
     work = work.withColumns({"source": F.col("doc.source"), "size": word_count(F.col("doc.text"))})
     work = with_taken(work, plan, "source", draw(F.col("doc.doc_id"), seed), F.col("size"))
-    again = F.when(F.col("extra") > 0, 1).otherwise(0)
-    work = work.withColumn("turn", F.explode(F.sequence(F.lit(1), (F.col("whole") + again).cast("int")))).filter(
-        F.col("turn") <= F.col("whole") + again
-    )
+    work = work.withColumn("times", (F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)).cast("int")).filter("times > 0")
+    work = work.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
     part = (F.col("turn") > F.col("whole")) & (F.col("extra") < F.col("size"))
-    # regexp_replace and split see a text of a boundary document only
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0)), 1, F.col("extra").cast("int")), " ")
     columns = {c: F.col(f"doc.`{c}`") for c in docs.columns}
     columns["text"] = F.when(part, cut).otherwise(F.col("doc.text"))

@@ -28,6 +28,9 @@ def op1_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op1_ngram_jaccard"] = jaccard.near_duplicates_sql()
+
+
 @query
 def op2_secret_ownership(spark, sf_dir):
     """A document's source is its owner, and the source in one language a repository."""
@@ -36,6 +39,9 @@ def op2_secret_ownership(spark, sf_dir):
     return secrets.digest(secrets.scan(docs.select("doc_id", "text", F.col("source").alias("owner"), repo.alias("repo"))))
 
 
+ORACLE["op2_secret_ownership"] = secrets.scan_sql()
+
+
 @query
 def op3_fertility_rules(spark, sf_dir):
     return fertility.quality_rules(table(spark, sf_dir, "documents"))
@@ -56,6 +62,9 @@ def op5_level_doubling(spark, sf_dir):
     return substrings.without_repeats(docs, longest=substrings.MIN_WORDS).drop("longest", "kept_text")
 
 
+ORACLE["op5_level_doubling"] = substrings.repeats_sql()
+
+
 @query
 def op6_water_filling(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -88,3 +97,6 @@ def op9_streaming_viterbi(spark, sf_dir):
 @query
 def op10_boundary_chain(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+ORACLE["op10_boundary_chain"] = warc.round_trip_sql()

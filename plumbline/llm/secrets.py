@@ -35,6 +35,7 @@ BASE = (
 #: Bare tokens: of these characters, so long at least, with letters and digits and so many different characters.
 TOKEN = ("bare", "([A-Za-z0-9+/_-]{20,})", 1, 20)
 LEAST_DISTINCT = 8
+PLACEHOLDER = "(?i)example|sample|dummy|placeholder|changeme|xxxx"
 #: A value with more owners than this is copied, not owned.
 MOST_OWNERS = 2
 #: Runs of so many code points can hold a match of the pattern for `hex`; the scan keeps only these, so that short words cost nothing.
@@ -43,8 +44,8 @@ HEX_RUN = "([0-9a-f]{32,})"
 
 def looks_live(value: Column) -> Column:
     """Letters, digits and enough different characters; no word that marks a placeholder."""
-    varied = F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DISTINCT
-    return value.rlike("[A-Za-z]") & value.rlike("[0-9]") & varied & ~value.rlike("(?i)example|sample|dummy|placeholder|changeme|xxxx")
+    varied = F.size(F.array_distinct(F.regexp_extract_all(value, F.lit("."), F.lit(0)))) >= LEAST_DISTINCT
+    return value.rlike("[A-Za-z]") & value.rlike("[0-9]") & varied & ~value.rlike(PLACEHOLDER)
 
 
 def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -142,3 +143,39 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.encode(F.coalesce(_written(base), empty), "utf-8"), 256).alias("base_sha256"),
         F.coalesce(_written(F.col("spans")), empty).alias("spans"),
     )
+
+
+def scan_sql(most_owners: int = MOST_OWNERS) -> str:
+    """The digest over `documents` in SQL, a document's source being its owner and the source in one language a repository."""
+    scans = []
+    for rank, (kind, pattern, group, least) in enumerate((*BASE, TOKEN)):
+        p = "'" + (HEX_RUN if kind == "hex" else pattern).replace("'", "''") + "'"
+        scans.append(
+            f"SELECT doc_id, owner, repo, '{kind}' AS kind, {rank} AS rank, {least} AS least, regexp_extract_all(text, {p}, 0) AS matches, "
+            f"regexp_extract_all(text, {p}, {group}) AS vals, string_split_regex(text, {p}) AS gaps FROM docs WHERE regexp_matches(text, {p})"
+        )
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repo FROM documents),
+found AS ({" UNION ALL ".join(scans)}),
+places AS (SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM found),
+spans AS (
+  SELECT doc_id, owner, repo, kind, rank, vals[i] AS val, length(matches[i]) AS width, least,
+         list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(matches[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM places),
+good AS (SELECT *, start + width AS stop FROM spans WHERE length(val) >= least),
+facts AS (
+  SELECT val, count(DISTINCT owner) AS owners,
+         regexp_matches(val, '[A-Za-z]') AND regexp_matches(val, '[0-9]') AND len(list_distinct(regexp_extract_all(val, '.'))) >= {LEAST_DISTINCT}
+         AND NOT regexp_matches(val, '{PLACEHOLDER}') AS live FROM good GROUP BY val),
+listed AS (
+  SELECT doc_id, kind, rank, start, stop FROM good WHERE rank < {len(BASE)}
+  UNION SELECT doc_id, 'owned', {len(BASE)}, stop - length(val), stop FROM good JOIN facts USING (val) WHERE owners <= {most_owners} AND live),
+texts AS (
+  SELECT doc_id, sum((kind = 'assign')::INT) AS n_assign, sum((kind = 'access')::INT) AS n_access, sum((kind = 'hex')::INT) AS n_hex,
+         string_agg(concat_ws(':', kind, CAST(start AS BIGINT), CAST(stop AS BIGINT)), ',' ORDER BY start, rank, stop) FILTER (rank < {len(BASE)}) AS base,
+         string_agg(concat_ws(':', kind, CAST(start AS BIGINT), CAST(stop AS BIGINT)), ',' ORDER BY start, rank, stop) AS spans
+  FROM listed GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN texts t ON d.doc_id = t.doc_id"""

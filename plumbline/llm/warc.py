@@ -185,3 +185,18 @@ def round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload")), path, least_bytes)
     return read_archives(spark, path)
+
+
+def round_trip_sql() -> str:
+    """The records of `pages` in SQL."""
+    digits = " || ".join(
+        f"substr('{BASE32}', CAST((CAST('0x' || substr(digest, {5 * i + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INT) + 1, 1)"
+        for i in range(8)
+        for shift in (15, 10, 5, 0)
+    )
+    return f"""
+WITH data AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+best AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS best FROM data)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, {digits} AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to
+FROM best"""
