@@ -9,7 +9,7 @@ dropped; what remains is counted exactly on whole sets.
 Documents with the same set are one; only sets are compared. An n-gram that more than `COMMON` sets share is common. Pairs
 that share n-grams which are not common are all counted. For common ones every set is paired with one pivot only, which
 joins the copies of a large group to one component without naming their pairs. What that may miss, two sets of different
-components that share many common n-grams and too few others, is looked for in `_by_common`. A task of the scan does the
+components that share many common n-grams and too few others, is found in `_by_common` by blocks. A task of the scan does the
 same among its own documents first, so that an n-gram of a third of all documents arrives a few times per task.
 
 No link between different sets is lost; links inside a component that is found already are not needed for its label.
@@ -44,6 +44,9 @@ MEMBERS = "doc_id long, key long, sid long, n long"
 DEALT = "part long, gram long, sid long, n int, weight int, pivot long"
 COUNTED = "a long, b long, na int, nb int, rare int, starred int, gram long"
 SETS = "sid long, grams array<long>"
+LINKS = "a long, b long"
+#: Elements of the sets in a block, and n-grams that are multiplied at a time.
+BLOCK_GRAMS, FRAGMENT = 250_000, 2048
 
 # A pair is similar when 100 * |x & y| >= 75 * |x | y|, that is 7 * |x & y| >= 3 * (|x| + |y|). Then at most a fourth of
 # either set is not shared, and neither is smaller than 3/4 of the other.
@@ -245,6 +248,45 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(sid), pa.ListArray.from_arrays(ends, pa.array(grams.view(np.int64)))], names=["sid", "grams"])
 
 
+def _block_links(rows: pa.Table) -> pa.Table:
+    """Of the sets of two blocks (or of one, twice): links that join all sets which similar pairs of two labels connect."""
+    i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+    block, sid, label = (rows[c].to_numpy() for c in ("block", "sid", "label"))
+    lists = rows["grams"].combine_chunks()
+    n = np.diff(lists.offsets.to_numpy())
+    size = len(n)
+    grams, owner = lists.flatten().to_numpy(), np.repeat(np.arange(size), n)
+    _, gram, often = np.unique(grams, return_inverse=True, return_counts=True)
+    order = np.argsort(gram, kind="stable")
+    order = order[often[gram[order]] > 1]
+    gram, owner = gram[order], owner[order]
+    edge = np.concatenate([[True], gram[1:] != gram[:-1]])[: len(gram)]
+    column = np.cumsum(edge) - 1
+    shared = np.zeros((size, size), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, FRAGMENT):
+        a, b = np.searchsorted(column, [first, first + FRAGMENT])
+        part = np.zeros((size, FRAGMENT), np.float32)
+        part[owner[a:b], column[a:b] - first] = 1
+        shared += part @ part.T
+    near = 7 * shared >= 3 * (n[:, None] + n[None, :])
+    near &= label[:, None] != label[None, :]
+    if i != j:
+        near &= block[:, None] != block[None, :]
+    links = []
+    left = near.any(1)
+    while left.any():
+        front = np.flatnonzero(left)[:1]
+        left[front] = False
+        while len(front):
+            reach = near[front] & left
+            found = np.flatnonzero(reach.any(0))
+            links.append((sid[front[reach[:, found].argmax(0)]], sid[found]))
+            left[found] = False
+            front = found
+    a, b = (np.concatenate(x) for x in zip(*links, strict=True)) if links else (np.zeros(0, np.int64),) * 2
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
 def _similar(shared: Column) -> Column:
     return 7 * shared >= 3 * (F.col("na") + F.col("nb"))
 
@@ -264,7 +306,7 @@ class NearDuplicates:
         labels = components(links)
         more = self._by_common(labels)
         if more is not None:
-            links = settle(links.union(self._checked(more)))
+            links = settle(links.union(more))
             labels = components(links)
         self.links, self.labels = links, labels
 
@@ -289,37 +331,48 @@ class NearDuplicates:
         worth = (F.col("starred") > 0) & (2 * (F.col("rare") + F.col("starred")) >= F.least(emitted_column(F.col("na")), emitted_column(F.col("nb"))))
         return settle(pairs.filter(sized & (possible | worth)).select("a", "b", "na", "nb"))
 
+    def _whole(self, sids: DataFrame) -> DataFrame:
+        """The whole sets of some (sid), from one document of each."""
+        keys = self.members.groupBy("sid").agg(F.min("key").alias("of")).join(sids, "sid", "left_semi").select("of")
+        rows = self.rows.join(settle(keys), F.col("key") == F.col("of"), "left_semi").dropDuplicates(["key"])
+        return settle(rows.select("text").mapInArrow(_whole_sets, SETS))
+
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that are similar, by whole sets."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        keys = self.members.groupBy("sid").agg(F.min("key").alias("of")).join(wanted, "sid", "left_semi").select("of")
-        rows = self.rows.join(settle(keys), F.col("key") == F.col("of"), "left_semi").dropDuplicates(["key"])
-        whole = settle(rows.select("text").mapInArrow(_whole_sets, SETS))
+        whole = self._whole(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
         left = whole.select(F.col("sid").alias("a_of"), F.col("grams").alias("a_grams"))
         right = whole.select(F.col("sid").alias("b_of"), F.col("grams").alias("b_grams"))
         both = pairs.join(left, F.col("a") == F.col("a_of")).join(right, F.col("b") == F.col("b_of"))
         return settle(both.filter(_similar(F.size(F.array_intersect("a_grams", "b_grams")))).select("a", "b"))
 
     def _by_common(self, labels: DataFrame) -> DataFrame | None:
-        """Pairs of different components that share so many common n-grams that they may be similar by them alone; None if
-        there is no set with so many."""
-        marks = self.marks.select("sid", "gram", "n")
+        """Links between components whose sets share common n-grams only, among those dealt out; None if no two sets share
+        that many.
+
+        An n-gram's pivot is the smallest set that has it, so sets that share many n-grams share a pivot. A set joins the
+        groups of its pivots, smallest first, but for those that together have fewer of its n-grams than it must share. A
+        group is cut into blocks by size, and each pair of blocks is one task that multiplies their sets, fragment by
+        fragment, and names the links of a spanning forest only."""
         least = spare_column(F.ceil(F.col("n") * 3 / 4).cast("long"))
-        heavy = marks.groupBy("sid").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("common")).filter(F.col("common") >= least)
-        rows = marks.join(heavy.select("sid"), "sid", "left_semi")
-        rows = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-        rows = settle(rows)
-        mixed = rows.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("gram")
-        rows = settle(rows.join(mixed, "gram", "left_semi"))
-        if rows.isEmpty():
+        heavy = self.marks.groupBy("sid").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("common"), F.first(least).alias("need"))
+        heavy = heavy.filter("common >= need").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+        heavy = heavy.select("sid", "n", "need", F.coalesce("label", "sid").alias("label"))
+        rows = settle(self.marks.select("sid", "gram").join(heavy, "sid"))
+        pivots = rows.groupBy("gram").agg(F.min("sid").alias("pivot"))
+        own = rows.join(pivots, "gram").groupBy("pivot", "sid", "n", "need", "label").agg(F.count(F.lit(1)).alias("grams"))
+        own = settle(own)
+        groups = own.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        onward = Window.partitionBy("sid").orderBy("sets", "pivot").rowsBetween(0, Window.unboundedFollowing)
+        own = own.join(groups, "pivot").withColumn("onward", F.sum("grams").over(onward)).filter("onward >= need and lo < hi")
+        own = settle(own.select("pivot", "sid", "n", "label"))
+        if own.isEmpty():
             return None
-        one = rows.select("gram", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        two = rows.select("gram", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        sized = (4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na"))
-        pairs = one.join(two, "gram").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & sized)
-        pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-        enough = F.least(spare_column(F.col("na")), spare_column(F.col("nb")))
-        return settle(pairs.filter(F.col("shared") >= enough).select("a", "b", "na", "nb"))
+        blocks = own.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
+        dealt = own.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "label")
+        dealt = dealt.join(self._whole(own.select("sid").distinct()), "sid")
+        return settle(dealt.groupBy("pivot", "i", "j").applyInArrow(_block_links, LINKS))
 
     def documents(self) -> DataFrame:
         """Per row: doc_id, n_shingles, component_id, and its place in its component (0: the smallest doc_id)."""
