@@ -15,8 +15,10 @@ def _div(a: Column, b: Column) -> Column:
 
 
 def basis_points(part: Column, total: Column) -> Column:
-    """round(100 * part / total, 2) as a whole number of hundredths; 0 for an empty table."""
-    return F.when(total > 0, _div(part * 20000 + total, total * 2)).otherwise(F.lit(0))
+    """round(100 * part / total, 2) as a whole number of hundredths; 0 for an empty table. Counts of cells times 20,000 may
+    exceed a long."""
+    wide = part.cast("decimal(30,0)") * 20000 + total
+    return F.when(total > 0, _div(wide, total.cast("decimal(30,0)") * 2)).otherwise(F.lit(0))
 
 
 def percent(part: Column, total: Column) -> Column:

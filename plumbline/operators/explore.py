@@ -70,6 +70,12 @@ def page_count(n_rows: int, size: int = PAGE_SIZE) -> int:
     return max(1, -(-n_rows // size))
 
 
+def pages(df: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    """One row: the number of pages, one at least, and of rows."""
+    counted = df.agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select(F.greatest(F.lit(1), F.ceil(F.col("rows") / size)).cast("long").alias("pages"), "rows")
+
+
 def page(df: DataFrame, order: Sequence[str], number: int, size: int = PAGE_SIZE) -> DataFrame:
     """Page `number` (from 1) in the given order. Spark keeps only the rows up to that page, so this suits early pages."""
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
@@ -84,11 +90,42 @@ def page_after(df: DataFrame, order: Sequence[str], last: Sequence, size: int =
     return df.filter((F.col(order[0]) >= last[0]) & beyond).orderBy(*order).limit(size)
 
 
+def executive_view(
+    scorecard: DataFrame, summary: DataFrame, by_dimension: DataFrame, by_cde: DataFrame, unique_failed: DataFrame
+) -> DataFrame:
+    """All parts of the executive view as rows (section, name, rate, records, grade): the overall score, clean records,
+    rules by status, dimensions, rules, critical elements, and the recommended action. All tables are a few rows."""
+
+    def part(df: DataFrame, section: str, name: str, rate: str | None, records: str | None, mark: str | None) -> DataFrame:
+        pick = lambda c, kind: (F.lit(None) if c is None else F.col(c)).cast(kind)
+        return df.select(
+            F.lit(section).alias("section"),
+            F.col(name).cast("string").alias("name"),
+            pick(rate, "double").alias("rate"),
+            pick(records, "long").alias("records"),
+            pick(mark, "string").alias("grade"),
+        )
+
+    clean = unique_failed.select(
+        F.lit("Clean records").alias("name"), "clean_pct", (F.col("total_records") - F.col("failed_records")).alias("clean")
+    )
+    by_status = scorecard.groupBy("Status").agg(F.count(F.lit(1)).alias("n"))
+    parts = [
+        part(summary, "overall", "Dataset", "Overall_DQ_Score_Pct", "Total_Rule_Failures", "Overall_Grade"),
+        part(clean, "clean", "name", "clean_pct", "clean", None),
+        part(by_status, "status", "Status", None, "n", None),
+        part(by_dimension, "dimension", "DQ_Dimension", "Avg_Pass_Rate", "Total_Failed", "Dimension_Grade"),
+        part(scorecard, "rule", "Rule_ID", "Pass_Rate_Pct", "Records_Failed", "Status"),
+        part(by_cde, "element", "CDE", "Avg_Pass_Rate", "Total_Failed_Records", "CDE_Grade"),
+        part(summary, "action", "Recommended_Action", None, None, None),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def executive(summary: DataFrame, unique_failed: DataFrame) -> DataFrame:
     """The one-row head of the executive view: the summary with the share of records that fail no rule."""
-    return summary.withColumns(
-        {
-            "Unique_Failed_Records": unique_failed.select("failed_records").scalar(),
-            "Clean_Records_Pct": unique_failed.select("clean_pct").scalar(),
-        }
-    )
+    found = unique_failed.select(F.col("failed_records").alias("Unique_Failed_Records"), F.col("clean_pct").alias("Clean_Records_Pct"))
+    return summary.join(F.broadcast(found))  # one row each

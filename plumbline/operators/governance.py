@@ -28,9 +28,14 @@ ESCALATION = (
 
 
 def _band() -> Column:
-    """The place of a rule's failure rate in ESCALATION, compared in whole numbers."""
-    failed, total = F.col("Records_Failed") * 100, F.col("Total_Records")
-    return F.when(failed > total * 15, 3).when(failed >= total * 5, 2).when(failed >= total, 1).otherwise(0)
+    """The place of a rule's failure rate in ESCALATION, compared in whole numbers. A band begins at its percentage, the last
+    one beyond it."""
+    failed, total = F.col("Records_Failed").cast("decimal(38,0)") * 100, F.col("Total_Records").cast("decimal(38,0)")
+    place = F.lit(0)
+    for i, (_, begin, *_) in enumerate(ESCALATION[1:], 1):
+        reached = failed > total * begin if i == len(ESCALATION) - 1 else failed >= total * begin
+        place = F.when(reached, i).otherwise(place)
+    return place
 
 
 def escalation(scorecard: DataFrame) -> DataFrame:
@@ -172,16 +177,18 @@ def type_family(spark_type: str) -> str:
     return spark_type
 
 
-def trace(edges: DataFrame, roots: DataFrame, max_depth: int = 20) -> DataFrame:
+def trace(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All upstream hops of the root fields. `edges`: (cde, src_system, src_field, dst_system, dst_field), `roots`: (cde,
     system, field). Rows (cde, hop, src_system, src_field, dst_system, dst_field). One join per hop, until none is new;
-    an edge is walked once per element, so cycles end."""
+    an edge is walked once per element, so cycles end. `max_depth` asks for fewer hops."""
     spark = edges.sparkSession
     columns = ["cde", "src_system", "src_field", "dst_system", "dst_field"]
     edges = materialize(edges.select(*columns).distinct())
     frontier = roots.select("cde", F.col("system").alias("at_system"), F.col("field").alias("at_field")).distinct()
     found = spark.createDataFrame([], "cde string, hop int, src_system string, src_field string, dst_system string, dst_field string")
-    for hop in range(1, max_depth + 1):
+    hop = 0
+    while max_depth is None or hop < max_depth:
+        hop += 1
         step = edges.join(
             frontier.withColumnRenamed("cde", "at_cde"),
             (F.col("cde") == F.col("at_cde"))

@@ -1,6 +1,6 @@
-"""Governance tables for the housing pack. Fixed values throughout: elements, owners, thresholds, declared types.
+"""Governance tables for the housing pack. Elements, owners, thresholds, declared types.
 
-Lineage systems carry plain names; a site hands in its own edge table with its own.
+The lineage edges are a sample of their own, with plain names for systems; a site hands in its own edge table.
 """
 
 from __future__ import annotations
@@ -77,6 +77,7 @@ EDGES = [
     ("HOUSING_STARTS", "Permit Offices", "PERMIT_CONSTRUCTION_START_DATE", "Staging", "HOUSING_STARTS"),
     ("HOUSING_STARTS", "Staging", "HOUSING_STARTS", "Public Repository", "HOUSING_STARTS"),
     ("AVERAGE_PRICE_CAD", "Price Survey", "TRANSACTION_PRICE_CAD", "Staging", "AVERAGE_PRICE_CAD"),
+    ("GEO", "Geographic Reference", "PROV_TERR_NAME", "Staging", "GEO"),
     ("GEO_CODE", "Geographic Reference", "PROV_TERR_CODE", "Staging", "GEO_CODE"),
     ("REF_DATE", "Market Survey", "SURVEY_PERIOD_YEAR + SURVEY_PERIOD_MONTH", "Staging", "REF_DATE"),
     ("DWELLING_TYPE", "Permit Registry", "STRUCTURE_TYPE_CODE", "Staging", "DWELLING_TYPE"),
@@ -86,6 +87,7 @@ ROOT_SCHEMA = "cde string, system string, field string"
 ROOTS = [
     ("HOUSING_STARTS", "Public Repository", "HOUSING_STARTS"),
     ("AVERAGE_PRICE_CAD", "Staging", "AVERAGE_PRICE_CAD"),
+    ("GEO", "Staging", "GEO"),
     ("GEO_CODE", "Staging", "GEO_CODE"),
     ("REF_DATE", "Staging", "REF_DATE"),
     ("DWELLING_TYPE", "Staging", "DWELLING_TYPE"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plumbline.plans import governance_data as gov
+from plumbline.plans import io_queries  # noqa: F401  registers its queries
 from plumbline.plans import housing as pack
 from plumbline.plans import packs
 from plumbline.plans.fixture import housing_sql
@@ -293,8 +294,8 @@ def contract_sql(source: str, have: set[str], extra: list[str], sla: str) -> str
         if f.get("validValues"):
             bad = f"{name} NOT IN {listed(f['validValues'])}"
             values = (
-                f"(SELECT 'Invalid values found: [''' || string_agg(v, ''', ''' ORDER BY v) || ''']' "
-                f"FROM (SELECT DISTINCT {name} AS v FROM {source} WHERE {bad}))"
+                f"(SELECT 'Invalid values found: ' || count(DISTINCT {name}) || ' distinct in ' || count(*) || ' record(s)' "
+                f"FROM {source} WHERE {bad})"
             )
             out.append(line("valid_values", f"{name} values within defined domain", bad, values))
         if "minimum" in f:
@@ -409,6 +410,20 @@ def conformance_sql() -> str:
     return union(out)
 
 
+def executive_sql() -> str:
+    """Rows (section, name, rate, records, grade) of all parts of the executive view."""
+    clean = tenths("uf.total_records - failed_records", "uf.total_records")
+    owner = ", ".join(f"({q(i)}, {q(cde)})" for cde, ids in pack.CDE_RULES.items() for i in ids)
+    return f"""SELECT 'overall' AS section, Dataset AS name, Overall_DQ_Score_Pct AS rate, Total_Rule_Failures AS records, Overall_Grade AS grade FROM summ
+      UNION ALL SELECT 'clean', 'Clean records', {clean}, uf.total_records - failed_records, NULL FROM uf
+      UNION ALL SELECT 'status', Status, NULL, count(*), NULL FROM sc GROUP BY Status
+      UNION ALL SELECT 'dimension', DQ_Dimension, {mean()}, CAST(sum(Records_Failed) AS BIGINT), {grade(mean())} FROM sc GROUP BY DQ_Dimension
+      UNION ALL SELECT 'rule', Rule_ID, Pass_Rate_Pct, Records_Failed, Status FROM sc
+      UNION ALL SELECT 'element', CDE, {mean()}, CAST(sum(Records_Failed) AS BIGINT), {grade(mean(), (("A", 100), ("B", 95)))}
+        FROM sc JOIN (VALUES {owner}) AS v(Rule_ID, CDE) USING (Rule_ID) GROUP BY CDE
+      UNION ALL SELECT 'action', Recommended_Action, NULL, NULL, NULL FROM summ"""
+
+
 TOKENS = "tok AS (SELECT Rule_ID, Status, Records_Failed, trim(unnest(string_split_regex(CDE_Affected, '[+/]'))) AS part FROM sc)"
 ASSIGN = (
     "asg AS (SELECT *, trim(unnest(string_split_regex(CDE, '[+/]'))) AS part FROM (VALUES "
@@ -589,7 +604,7 @@ ORACLE: dict[str, str] = {
     "exception_page": f"{EX} SELECT {SHOWN} FROM ex ORDER BY record_key, _rule_id LIMIT 100 OFFSET 200",
     "exception_page_after": f"""{EX} SELECT {SHOWN} FROM ex WHERE record_key > 500 OR (record_key = 500 AND _rule_id > 'DQ-010')
       ORDER BY record_key, _rule_id LIMIT 100""",
-    "record_ids": "SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS _record_id FROM orders",
+    "record_ids": "SELECT *, row_number() OVER (ORDER BY o_orderkey) AS _record_id FROM orders",
     "escalation": f"""WITH {SCORE}, r AS (SELECT *, Records_Failed AS f, Total_Records AS t FROM sc WHERE Records_Failed > 0)
       SELECT Rule_ID, CDE_Affected, Records_Failed, {pct("f", "t")} AS Failure_Rate_Pct, Issue_Severity, First_Responder,
       Resolution_Target, Escalate_To FROM r JOIN {BAND_ROWS} ON b = {BANDS}""",
@@ -608,8 +623,40 @@ ORACLE: dict[str, str] = {
       SELECT "Column" AS "column", Null_Count FROM c WHERE "Column" <> 'record_key' AND "Column" NOT IN (SELECT x FROM ruled)""",
     "lineage_impact": f"""WITH RECURSIVE {SCORE}, {TOKENS}, e AS (SELECT * FROM {EDGES}),
       hops AS (SELECT e.*, 1 AS hop FROM e JOIN {ROOTS.replace("AS v", "AS r")} ON e.cde = r.cde AND ds = sys AND df = fld
-        UNION ALL SELECT e.*, hop + 1 FROM hops h JOIN e ON e.cde = h.cde AND e.ds = h.ss AND e.df = h.sf WHERE hop < 20),
+        UNION ALL SELECT e.*, hop + 1 FROM hops h JOIN e ON e.cde = h.cde AND e.ds = h.ss AND e.df = h.sf),
       n AS (SELECT part, CAST(sum(Records_Failed) AS BIGINT) AS Failures FROM tok GROUP BY part)
       SELECT cde, CAST(hop AS INT) AS hop, ss AS src_system, sf AS src_field, ds AS dst_system, df AS dst_field, Failures
       FROM hops JOIN n ON cde = part""",
+    "csv_round_trip": "SELECT * FROM customer",
+    "column_gate": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
+    "template_filled": f"WITH {HS} SELECT DWELLING_TYPE, count(*) AS records, sum(HOUSING_STARTS) AS starts FROM hs GROUP BY 1",
+    "record_ids_folder": "SELECT *, row_number() OVER (ORDER BY o_orderkey) AS _record_id FROM orders",
+    "outputs_rerun": f"""WITH {HS}, n AS (SELECT count(*) AS t FROM hs WHERE HOUSING_STARTS >= 0)
+      SELECT Rule_ID, t AS Total_Records, CAST(0 AS BIGINT) AS Records_Failed, CAST(0 AS BIGINT) AS Exceptions_Left
+      FROM n, (VALUES ('DQ-001'), ('DQ-002')) AS v(Rule_ID)""",
+    "score_history": f"""WITH n AS (SELECT year(o_orderdate) AS y, count(*) AS t, count(*) FILTER (WHERE o_totalprice > 400000) AS f FROM orders GROUP BY 1),
+      r AS (SELECT 'OR-001' AS Rule_ID, y || '-12-31' AS run_date, {pct("(t - f)", "t")} AS Pass_Rate_Pct FROM n),
+      p AS (SELECT *, lag(Pass_Rate_Pct) OVER (ORDER BY run_date) AS Previous_Rate_Pct FROM r)
+      SELECT *, round(Pass_Rate_Pct - Previous_Rate_Pct, 2) AS Change_Pct FROM p""",
+    "contract_many_invalid": union(
+        f"""SELECT 'valid_values' AS section, '{c} values within defined domain' AS "check", CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+        CASE WHEN n > 0 THEN 'Invalid values found: ' || kinds || ' distinct in ' || n || ' record(s)' ELSE '' END AS detail, n AS violations
+        FROM (SELECT count(*) AS n, count(DISTINCT v) AS kinds FROM (SELECT {value} AS v FROM part) WHERE v <> '{good}')"""
+        for c, value, good in (("p_name", "p_name || '-' || p_partkey", "cold widget"), ("p_brand", "p_brand", "Brand#1"))
+    ),
+    "lineage_chain": """SELECT CAST((SELECT max(n_nationkey) FROM nation) - n_nationkey AS INT) AS hop, CAST(n_nationkey AS VARCHAR) AS src_system,
+      CAST(n_nationkey + 1 AS VARCHAR) AS dst_system FROM nation WHERE n_nationkey < (SELECT max(n_nationkey) FROM nation)""",
+    "exception_pages": f"{EX} SELECT CAST(greatest(1, (count(*) + 99) // 100) AS BIGINT) AS pages, count(*) AS rows FROM ex",
+    "executive_view": f"""WITH {SCORE}, {SUMMARY}, {UNIQUE} {executive_sql()}""",
 }
+
+for _name, _same in (
+    ("contract_from_file", "contract_checks"),
+    ("steward_load_from_file", "steward_load"),
+    ("outputs_remediated", "remediated"),
+    ("outputs_exceptions", "exceptions"),
+    ("outputs_scorecard", "rule_scorecard"),
+    ("outputs_summary", "summary"),
+    ("outputs_by_dimension", "by_dimension"),
+):
+    ORACLE[_name] = ORACLE[_same]

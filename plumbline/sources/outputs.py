@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,20 +29,24 @@ def write_outputs(
     remediated: DataFrame,
     exceptions: DataFrame,
     scorecard: DataFrame,
-    summary: DataFrame,
-    by_dimension: DataFrame,
+    summary: Callable[[DataFrame], DataFrame],
+    by_dimension: Callable[[DataFrame], DataFrame],
     mode: str = "overwrite",
 ) -> None:
-    """Everything a run leaves behind, under one folder. Exceptions are written only where there are any."""
+    """Everything a run leaves behind, under one folder. Each result is worked out once: the scorecard is written first, and
+    `summary` and `by_dimension` are made from what was written. Without exceptions their folder is left empty, so that
+    none of an earlier run remain."""
     export_columns(remediated).write.mode(mode).parquet(f"{path}/{REMEDIATED}")
-    if not exceptions.isEmpty():
-        write_exceptions(exceptions, f"{path}/{EXCEPTIONS}", mode)
-    for name, table in ((SCORECARD, scorecard), (SUMMARY, summary), (BY_DIMENSION, by_dimension)):
-        # A few rows each.
-        table.coalesce(1).write.mode(mode).parquet(f"{path}/{name}")
+    write_exceptions(exceptions, f"{path}/{EXCEPTIONS}", mode)
+    # A few rows each.
+    scorecard.coalesce(1).write.mode(mode).parquet(f"{path}/{SCORECARD}")
+    written = scorecard.sparkSession.read.schema(scorecard.schema).parquet(f"{path}/{SCORECARD}")
+    for name, make in ((SUMMARY, summary), (BY_DIMENSION, by_dimension)):
+        make(written).coalesce(1).write.mode(mode).parquet(f"{path}/{name}")
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A filtered view as delimited text with a header. Array columns are not text and are left out."""
-    plain = [name for name, kind in df.dtypes if not kind.startswith(("array", "map", "struct"))]
-    df.select(*[F.col(f"`{c}`") for c in plain]).write.mode(mode).option("header", True).csv(path)
+    """A filtered view as delimited text with a header, quotes doubled. Arrays, maps and structs are written as JSON text."""
+    nested = {name for name, kind in df.dtypes if kind.startswith(("array", "map", "struct"))}
+    cells = [F.to_json(F.col(f"`{c}`")).alias(c) if c in nested else F.col(f"`{c}`") for c in df.columns]
+    df.select(*cells).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -48,13 +48,17 @@ NULL_TEXTS = (
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, null_texts: Sequence[str] = NULL_TEXTS, **options: Any
 ) -> DataFrame:
-    """A delimited file with a header row. Columns are matched by header name, may come in any order, and the table has
-    those the file has. Cells are read as text, so that every null text counts, and then cast; a cell that cannot be
-    cast raises, as a wrong type should."""
-    reader = spark.read.option("header", True).options(**options)
+    """A delimited file with a header row, or a folder of such files. Columns are matched by header name and may come in
+    any order, which must be the same in all files of a folder: a file with another header raises. The table has the
+    columns the files have. Quotes within a quoted cell are doubled; pass multiLine=True for cells that hold line ends.
+    Cells are read as text, so that every null text counts, and then cast; a cell that cannot be cast raises, as a wrong
+    type should."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').options(**options)
     header = reader.csv(path).columns  # reads the first line only
     types = {f.name: f.dataType for f in schema}
-    text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path)
+    # enforceSchema=False compares the header of every file with the columns
+    named = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    text = reader.option("enforceSchema", False).schema(named).csv(path)
     cells = {c: F.when(~F.col(f"`{c}`").isin(list(null_texts)), F.col(f"`{c}`")) for c in header}
     return text.select(*[cells[c].cast(types.get(c, T.StringType())).alias(c) for c in header])
 
@@ -76,7 +80,8 @@ def read_optional(
     try:
         return read_table(spark, path, schema, fmt)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # a folder may have been written without any row, and so without any file
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -100,24 +105,44 @@ def empty_template(spark: SparkSession, columns: Sequence[str], schema: T.Struct
 
 def with_record_id(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add `_record_id`: the key of the table, if it has one (one column as it is, several as text), which costs nothing
-    and is the choice for large tables. Without keys, ids 1..n in the order the rows are read; that writes the table to
-    the shared folder once, as a row must not change its place between counting and numbering."""
+    and is the choice for large tables. Without keys, ids 1..n by file path and the row's place in its file. A Parquet
+    table tells a row's place, so one count per file is all that is needed beside the rows. Of other files the place is
+    the file's split and the row's place in it, and the table is written to the shared folder once, as a row must not
+    change its place between counting and numbering. A table that comes from no file is numbered as it is read."""
     if keys:
         parts = [F.col(f"`{k}`") for k in keys]
         return df.withColumn(RECORD_ID, parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts)))
-    columns = [f"`{c}`" for c in df.columns]
-    placed = write_rows(df.select(*columns, F.monotonically_increasing_id().alias("_place")))
-    # The upper bits of the place are the partition, the lower 33 the row within it.
-    part = F.shiftright("_place", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition of the scan.
-    before = F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    within = F.col("_place") - F.shiftleft("_part", 33)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if _has(df, "_metadata.row_index"):
+        file = F.col("_metadata.file_path").alias("_file")
+        numbered = df.select(*columns, file, F.col("_metadata.row_index").alias("_within"))
+        sizes = df.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+        keys = ["_file"]
+    else:
+        place = F.monotonically_increasing_id()
+        # The upper bits of an id are the partition, the lower 33 the row within it; a split lies in one partition.
+        split = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")] if _has(df, "_metadata.file_path") else [F.lit(""), F.shiftright(place, 33)]
+        placed = write_rows(df.select(*columns, place.alias("_place"), split[0].alias("_file"), split[1].alias("_split")))
+        keys = ["_file", "_split"]
+        sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+        numbered = placed
+    # One row per file or split of the scan.
+    before = F.sum("_rows").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1))
+    first = [] if "_first" not in sizes.columns else ["_first"]
+    offsets = sizes.select(*keys, *first, F.coalesce(before, F.lit(0)).alias("_before"))
+    numbered = numbered.join(offsets, keys)
+    within = F.col("_place") - F.col("_first") if first else F.col("_within")
     return numbered.select(*columns, (F.col("_before") + within + 1).alias(RECORD_ID))
 
 
+def _has(df: DataFrame, column: str) -> bool:
+    try:
+        df.select(column)
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_contract(spark: SparkSession, path: str) -> dict[str, Any]:
     """A contract file, YAML or JSON, as a dict. It is one small document; it is read through Spark so that it may lie
     wherever tables lie."""

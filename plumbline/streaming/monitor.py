@@ -48,11 +48,13 @@ def score_stream(
 
     def score(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        run = Run(batch, rules, as_of=as_of, run_ts=run_ts, stats=dict(stats or {}))
-        run.scorecard().coalesce(1).write.mode("overwrite").parquet(f"{path}/{SCORECARD}/batch_id={batch_id}")
-        if with_exceptions:
-            run.exceptions().write.mode("overwrite").parquet(f"{path}/{EXCEPTIONS}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            run = Run(batch, rules, as_of=as_of, run_ts=run_ts, stats=dict(stats or {}))
+            run.scorecard().coalesce(1).write.mode("overwrite").parquet(f"{path}/{SCORECARD}/batch_id={batch_id}")
+            if with_exceptions:
+                run.exceptions().write.mode("overwrite").parquet(f"{path}/{EXCEPTIONS}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", f"{path}/_stream")
     return writer.trigger(**trigger).start() if trigger else writer.start()

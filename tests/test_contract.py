@@ -67,7 +67,7 @@ def test_many_invalid_values_are_all_listed_apart(spark):
     df = spark.range(2000).selectExpr("concat('bad', lpad(id % 70, 3, '0')) AS v")
     assert k.invalid_values(df, spec).count() == 70
     detail = by(k.validate(df, spec), "check")["v values within defined domain"]["detail"]
-    assert detail.startswith("Invalid values found: 70 distinct values, first ['bad000', 'bad001'")
+    assert detail == "Invalid values found: 70 distinct in 2000 record(s)"
 
 
 def test_rule_without_result_fails(published):  # noqa: F811

@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
+
 from helpers import housing_rows
 
 from plumbline.operators import scorecards
@@ -23,6 +25,39 @@ def test_csv_blank_and_null_texts_are_null(spark, tmp_path):
         tables.read_table(spark, str(path), fmt="csv")
 
 
+def test_csv_quotes_line_ends_and_headers(spark, tmp_path):
+    path = tmp_path / "q"
+    path.mkdir()
+    (path / "a.csv").write_text('GEO,STATUS\n"a ""b"" c","two\nlines"\n')
+    df = tables.read_csv(spark, str(path), tables.HOUSING_SCHEMA, multiLine=True)
+    assert [tuple(r) for r in df.collect()] == [('a "b" c', "two\nlines")]
+    (path / "b.csv").write_text("STATUS,GEO\nx,y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv(spark, str(path), tables.HOUSING_SCHEMA).collect()
+
+
+def test_record_ids_over_several_files(spark, tmp_path):
+    rows, sizes = 0, (10, 5000, 200)
+    for i, n in enumerate(sizes):
+        spark.range(rows, rows + n, numPartitions=1).write.mode("append").parquet(str(tmp_path / f"p/part={i}"))
+        spark.range(rows, rows + n, numPartitions=1).write.option("header", True).csv(str(tmp_path / f"c/part={i}"))
+        rows += n
+    for df in (spark.read.parquet(str(tmp_path / "p")), spark.read.option("header", True).csv(str(tmp_path / "c"))):
+        got = tables.with_record_id(df.select(F.col("id").cast("long").alias("id"))).collect()
+        assert all(r["_record_id"] == r["id"] + 1 for r in got) and len(got) == rows
+
+
+def test_a_clean_run_leaves_no_old_exceptions(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for change, left in (({"HOUSING_STARTS": -1.0}, 1), ({}, None)):
+        df = housing_rows(spark, change, {})
+        run = Run(df, pack.rules()[:5], as_of="2026-12")
+        fixed = remediate(df, pack.rules(), pack.REMEDIATION, "2026-12-01", as_of="2026-12")
+        outputs.write_outputs(path, fixed, run.exceptions(), run.scorecard(), lambda s: scorecards.summary(s, "d", "x"), scorecards.by_dimension)
+        back = tables.read_optional(spark, f"{path}/{outputs.EXCEPTIONS}")
+        assert (back and back.count()) == left
+
+
 def test_optional_table(spark, tmp_path):
     assert tables.read_optional(spark, str(tmp_path / "absent")) is None
     spark.range(3).write.parquet(str(tmp_path / "there"))
@@ -73,7 +108,7 @@ def test_outputs_round_trip(spark, sf_dir, tmp_path):
     fixed = remediate(df, pack.rules(), pack.REMEDIATION, "2026-12-01", as_of="2026-12")
     path = str(tmp_path / "out")
     outputs.write_outputs(
-        path, fixed, run.exceptions(), score, scorecards.summary(score, "d", "x"), scorecards.by_dimension(score)
+        path, fixed, run.exceptions(), score, lambda s: scorecards.summary(s, "d", "x"), scorecards.by_dimension
     )
     back = tables.read_optional(spark, f"{path}/{outputs.EXCEPTIONS}")
     assert back.count() == 315
@@ -91,14 +126,14 @@ def test_no_exceptions_no_file(spark, tmp_path):
     score = run.scorecard().cache()
     fixed = remediate(df, pack.rules(), pack.REMEDIATION, "2026-12-01", as_of="2026-12")
     path = str(tmp_path / "out")
-    outputs.write_outputs(path, fixed, run.exceptions(), score, scorecards.summary(score, "d", "x"), scorecards.by_dimension(score))
+    outputs.write_outputs(path, fixed, run.exceptions(), score, lambda s: scorecards.summary(s, "d", "x"), scorecards.by_dimension)
     assert tables.read_optional(spark, f"{path}/{outputs.EXCEPTIONS}") is None
 
 
 def test_csv_export(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, ["x"])], "s string, n int, l array<string>")
     outputs.export_csv(df, str(tmp_path / "e"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "e")).collect()[0].asDict() == {"s": "a", "n": "1"}
+    assert spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "e")).first().asDict() == {"s": "a", "n": "1", "l": '["x"]'}
 
 
 def test_reference_tables_keep_quoted_commas(spark, tmp_path):

@@ -3,6 +3,7 @@ from helpers import by
 
 from plumbline.operators.run import Run
 from plumbline.plans import packs
+from plumbline.plans.queries import QUERIES
 from plumbline.streaming import monitor
 
 
@@ -53,3 +54,10 @@ def test_history(spark, sf_dir, tmp_path):
     rows = monitor.rate_changes(spark.read.parquet(path)).orderBy("run_date").collect()
     assert [r["Previous_Rate_Pct"] for r in rows] == [None, rows[0]["Pass_Rate_Pct"]]
     assert rows[1]["Change_Pct"] == round(100 - rows[0]["Pass_Rate_Pct"], 2)
+
+
+def test_the_query_streams_a_folder_of_files(spark, sf_dir, tmp_path):
+    for name in ("lineitem", "orders"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(6).write.parquet(str(tmp_path / f"{name}.parquet"))
+    one, many = (by(QUERIES["stream_scorecard"](spark, d), "Rule_ID") for d in (sf_dir, str(tmp_path)))
+    assert one == many and len(one) == 10
