@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 #: A character by its bytes scores this much less, for each byte, than the poorest piece.
 BYTE_PENALTY = 10
-REMEMBERED, LONGEST_REMEMBERED = 250_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 32
 
 ENCODED = "doc_id long, n_tokens long, n_byte_tokens long, ids array<int>, decoded_sha256 string, exact boolean"
 
@@ -39,8 +40,14 @@ class Lattice:
     def __init__(self, pieces: dict[str, tuple[int, int]], byte_ids: list[int]):
         self.pieces, self.byte_ids = pieces, byte_ids
         self.longest = max(map(len, pieces), default=1)
-        # of a piece's beginnings, so that matching ends where no piece goes on
-        self.begins = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
+        # a tree of the pieces' characters: {character: [further characters, id and score if a piece ends here]}
+        self.tree: dict = {}
+        for piece, (number, score) in pieces.items():
+            below = self.tree
+            for c in piece:
+                node = below.setdefault(c, [{}, None, 0])
+                below = node[0]
+            node[1:] = number, score
         self.byte_score = min((s for _, s in pieces.values()), default=0) - BYTE_PENALTY
         spans = {c for p in pieces if len(p) > 1 for c in p}
         apart = "".join(c for c in "\n\t\r\v\f" if c not in spans)
@@ -56,7 +63,7 @@ class Lattice:
 
     def stream(self, text: Iterable[str]) -> Iterator[int]:
         """Ids of a text that comes as characters."""
-        pieces, begins, longest = self.pieces, self.begins, self.longest
+        longest = self.longest
         window: list[str] = []  # characters from `base` on
         base = 0
         best: list[int | None] = [0]  # scores of the best paths to base, base + 1, ...
@@ -75,24 +82,7 @@ class Lattice:
                 came.append(None)
             if done == len(window):
                 break
-            # all pieces that start at this position
-            here, score = done, best[done]
-            char = window[here]
-            for n in range(1, min(longest, len(window) - here) + 1):
-                word = "".join(window[here : here + n]) if n > 1 else char
-                if word not in begins:
-                    break
-                found = pieces.get(word)
-                if found is not None:
-                    total = score + found[1]
-                    to = here + n
-                    if best[to] is None or total > best[to]:
-                        best[to], came[to] = total, (base + here, (found[0],))
-            if char not in pieces:
-                raw = char.encode()
-                total, to = score + self.byte_score * len(raw), here + 1
-                if best[to] is None or total > best[to]:
-                    best[to], came[to] = total, (base + here, tuple(self.byte_ids[b] for b in raw))
+            self._lead_on(window, done, base, best, came)
             done += 1
             if done >= 2 * longest:
                 # positions that a path can still lead on from; their paths are followed back until one boundary is left
@@ -109,6 +99,62 @@ class Lattice:
                     base = cut
         yield from _path(came, base, base + len(window))
 
+    def _lead_on(self, text, here: int, base: int, best: list, came: list) -> None:
+        """Steps from a position: all pieces that start there, or its character's bytes."""
+        score, below, to = best[here], self.tree, here
+        single = False
+        while to < len(text):
+            node = below.get(text[to])
+            if node is None:
+                break
+            below, number, worth = node
+            to += 1
+            if number is not None:
+                single = single or to == here + 1
+                if best[to] is None or score + worth > best[to]:
+                    best[to], came[to] = score + worth, (base + here, (number,))
+        if not single:
+            raw = text[here].encode()
+            total, to = score + self.byte_score * len(raw), here + 1
+            if best[to] is None or total > best[to]:
+                best[to], came[to] = total, (base + here, tuple(self.byte_ids[b] for b in raw))
+
+    def short(self, text: str) -> list[int]:
+        """What `stream` gives for a text that its window holds whole, where nothing is committed before the end."""
+        n = len(text)
+        best: list = [0] + [None] * n
+        came: list = [0] * (n + 1)
+        step: list = [None] * (n + 1)
+        tree = self.tree
+        for here in range(n):
+            score, below, to = best[here], tree, here
+            while to < n:
+                node = below.get(text[to])
+                if node is None:
+                    break
+                below, number, worth = node
+                to += 1
+                if number is not None:
+                    total = score + worth
+                    if best[to] is None or total > best[to]:
+                        best[to], came[to], step[to] = total, here, number
+            first = tree.get(text[here])
+            if first is None or first[1] is None:
+                raw = text[here].encode()
+                total, to = score + self.byte_score * len(raw), here + 1
+                if best[to] is None or total > best[to]:
+                    best[to], came[to], step[to] = total, here, [self.byte_ids[b] for b in raw]
+        out = []
+        while n:
+            found = step[n]
+            if type(found) is list:
+                out.extend(reversed(found))
+            else:
+                out.append(found)
+            n = came[n]
+        out.reverse()
+        return out
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
@@ -141,15 +187,20 @@ def _path(came: list, base: int, to: int) -> Iterator[int]:
 
 
 class _Memory(dict):
-    """Ids of parts of texts, as bytes."""
+    """Ids of parts of texts, as bytes. When it is full, what was asked for since it was last full is kept."""
 
     def __init__(self, lattice: Lattice):
         self.lattice = lattice
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.fromiter(self.lattice.stream(part), np.int32).tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            own = self.lattice
+            ids = array("i", own.short(part) if len(part) < 2 * own.longest else own.stream(part)).tobytes()
         if len(part) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids
