@@ -1,7 +1,7 @@
 """Column profiles, domain checks and the profile scorecard.
 
-Nulls, extremes, moments, signs and outliers come from one aggregate over one scan. Distinct values and the most frequent
-one need every value counted, which is one grouping of (column, value) for all columns together.
+Nulls, extremes, moments and signs come from one aggregate over one scan. Distinct values, the most frequent one, quartiles
+and outliers need every value counted, which is one grouping of (column, value) for all columns together, stored once.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +17,13 @@ from plumbline.functions.ladders import grade, status
 from plumbline.functions.nulls import drop_nan
 from plumbline.functions.rates import basis_points, percent
 from plumbline.operators.checks import Check
-from plumbline.operators.quantiles import exact_quantiles
+from plumbline.operators.quantiles import frequency_quantiles
 from plumbline.operators.rule import Scope
+from plumbline.session import materialize, write_rows
 
 QUARTILES = (0.25, 0.5, 0.75)
 IQR_FENCE = 1.5
+LONG_TEXT = 128
 
 
 def _clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -33,39 +35,66 @@ def _is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
+def _brief(text: Column) -> Column:
+    """A text as it is, or if it is long, its beginning and its digest."""
+    return F.when(F.length(text) <= LONG_TEXT, text).otherwise(F.concat(F.left(text, F.lit(LONG_TEXT)), F.lit("\0"), F.sha2(text, 256)))
+
+
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (place, value, number, n): how often each non-null value of the column at that place in `columns` occurs.
-    `number` carries numeric order."""
+    `number` carries numeric order. Long texts stand as beginning and digest, so that they are not shuffled whole."""
     schema = df.schema
     lines = []
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`")
         number = col if _is_number(schema[c].dataType) else F.lit(None)
-        lines.append(
-            F.struct(
-                F.lit(i).alias("place"), col.cast("string").alias("value"), number.cast("double").alias("number")
-            )
-        )
+        lines.append(F.struct(F.lit(i).alias("place"), _brief(col.cast("string")).alias("value"), number.cast("double").alias("number")))
     values = df.select(F.inline(F.array(*lines))).filter("value IS NOT NULL")
     return values.groupBy("place", "value", "number").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _distincts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: distinct values, the most frequent value, its count. One aggregate without grouping keys, as
-    a smallest-of-text aggregate with keys would sort all the values first."""
+def _from_frequencies(frequencies: DataFrame, columns: Sequence[str], fences: dict[str, tuple[float, float]]) -> DataFrame:
+    """One row per column: distinct values, the most frequent value, its count, rows outside the fences. One aggregate
+    without grouping keys, as a smallest-of-text aggregate with keys would sort all the values first."""
     best = F.struct((-F.col("n")).alias("n"), F.col("number"), F.col("value"))
     here = [F.col("place") == i for i in range(len(columns))]
-    found = value_frequencies(df, columns).agg(
+
+    def outside(c: str) -> Column:
+        if c not in fences:
+            return F.lit(False)
+        return (F.col("number") < F.lit(fences[c][0])) | (F.col("number") > F.lit(fences[c][1]))
+
+    found = frequencies.agg(
         *[F.count_if(cond).alias(f"d{i}") for i, cond in enumerate(here)],
         *[F.min(F.when(cond, best)).alias(f"b{i}") for i, cond in enumerate(here)],
+        *[F.coalesce(F.sum(F.when(cond & outside(c), F.col("n"))), F.lit(0)).alias(f"o{i}") for i, (c, cond) in enumerate(zip(columns, here, strict=True))],
     )
     lines = ", ".join(
-        f"named_struct('Column', '{c}', 'distinct_values', d{i}, 'top', b{i}.value, 'top_n', -b{i}.n)"
+        f"named_struct('Column', '{c}', 'distinct_values', d{i}, 'top', b{i}.value, 'top_n', -b{i}.n, 'outliers', o{i})"
         for i, c in enumerate(columns)
     )
     return found.selectExpr(f"inline(array({lines}))")
 
 
+def _whole(table: DataFrame, top: DataFrame) -> DataFrame:
+    """Long top values in full, looked up in the table by their digest. At most one for each column."""
+    found = {r["Column"]: r["top"] for r in top.filter("instr(top, char(0)) > 0").collect()}
+    for c, value in found.items():
+        text = table.filter(_brief(F.col(f"`{c}`").cast("string")) == value).select(F.col(f"`{c}`").cast("string")).first()[0]
+        top = top.withColumn("top", F.when(F.col("Column") == c, F.lit(text)).otherwise(F.col("top")))
+    return top
+
+
+def _roughly(table: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> tuple[dict, dict]:
+    """Quartiles, and (distinct values, most frequent value, its count), from sketches in one scan."""
+    aggs = [F.percentile_approx(c, list(QUARTILES), 10_000).alias(f"q{columns.index(c)}") for c in numeric]
+    aggs += [F.approx_count_distinct(f"`{c}`").alias(f"d{i}") for i, c in enumerate(columns)]
+    aggs += [F.expr(f"approx_top_k(CAST(`{c}` AS STRING), 1)[0]").alias(f"t{i}") for i, c in enumerate(columns)]
+    row = table.agg(*aggs).first()
+    quartiles = {c: row[f"q{columns.index(c)}"] or [None] * 3 for c in numeric}
+    return quartiles, {c: (row[f"d{i}"], *(row[f"t{i}"] or (None, None))) for i, c in enumerate(columns)}
+
+
 def column_profile(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -74,30 +103,30 @@ def column_profile(
     places: int = 2,
 ) -> DataFrame:
     """One row per column with the 24 profile fields. Number fields are null for columns that hold no numbers, and the
-    smallest of equally frequent values is the top value.
+    smallest of equally frequent values is the top value; of long texts with the same beginning, the one with the
+    smallest digest.
 
-    `approximate` takes quartiles from a sketch, which saves the extra rounds over a very large table.
+    The table is read twice: once to count every value, which is stored and gives quartiles, distinct values, modes and
+    outliers, and once for the rest. `approximate` takes quartiles, distinct values and modes from sketches, which saves the
+    shuffle of all values of a very large table.
     """
     schema = df.schema
     columns = list(columns or schema.names)
     table = _clean(df, columns)
     numeric = [c for c in columns if _is_number(schema[c].dataType)]
     if approximate:
-        row = table.agg(*[F.percentile_approx(c, list(QUARTILES), 10_000).alias(c) for c in numeric]).first()
-        quartiles = {c: row[c] or [None] * 3 for c in numeric} if numeric else {}
+        quartiles, rough = _roughly(table, columns, numeric)
     else:
-        quartiles = exact_quantiles(table, numeric, QUARTILES) if numeric else {}
+        frequencies = write_rows(value_frequencies(table, columns))
+        found = frequency_quantiles(frequencies, [columns.index(c) for c in numeric], QUARTILES) if numeric else {}
+        quartiles = {c: found[columns.index(c)] for c in numeric}
+    fences = {c: (q[0] - IQR_FENCE * (q[2] - q[0]), q[2] + IQR_FENCE * (q[2] - q[0])) for c, q in quartiles.items() if q[0] is not None}
 
     aggs = [F.count(F.lit(1)).alias("total")]
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`")
         aggs.append(F.count_if(col.isNull()).alias(f"null{i}"))
         if c in quartiles:
-            q1, _, q3 = quartiles[c]
-            outside = F.lit(False)
-            if q1 is not None:
-                reach = IQR_FENCE * (q3 - q1)
-                outside = (col < F.lit(q1 - reach)) | (col > F.lit(q3 + reach))
             aggs += [
                 F.min(col).cast("double").alias(f"min{i}"),
                 F.max(col).cast("double").alias(f"max{i}"),
@@ -106,8 +135,10 @@ def column_profile(
                 F.count_if(col < 0).alias(f"neg{i}"),
                 F.count_if(col == 0).alias(f"zero{i}"),
                 F.count_if(col > 0).alias(f"pos{i}"),
-                F.count_if(outside).alias(f"out{i}"),
             ]
+        if approximate and c in fences:
+            low, high = fences[c]
+            aggs.append(F.count_if((col < F.lit(low)) | (col > F.lit(high))).alias(f"out{i}"))
     lines = []
     for i, c in enumerate(columns):
         q1, median, q3 = quartiles.get(c, (None, None, None))
@@ -121,13 +152,18 @@ def column_profile(
             f" 'mean', {f'mean{i}' if has else none}, 'std', {f'std{i}' if has else none},"
             f" 'median', {number(median)}, 'q1', {number(q1)}, 'q3', {number(q3)},"
             f" 'neg', {f'neg{i}' if has else zero}, 'zero', {f'zero{i}' if has else zero},"
-            f" 'pos', {f'pos{i}' if has else zero}, 'outliers', {f'out{i}' if has else zero})"
+            f" 'pos', {f'pos{i}' if has else zero}, 'beyond', {f'out{i}' if approximate and c in fences else zero})"
         )
     facts = table.agg(*aggs).selectExpr("total", f"inline(array({', '.join(lines)}))")
+    if approximate:
+        kind = "Column string, distinct_values long, top string, top_n long"
+        counted = df.sparkSession.createDataFrame([(c, *rough[c]) for c in columns], kind)
+    else:
+        counted = _whole(table, materialize(_from_frequencies(frequencies, columns, fences)))
+        facts = facts.drop("beyond")
+        counted = counted.withColumnRenamed("outliers", "beyond")
     # One row per column on both sides.
-    joined = facts.join(
-        F.broadcast(_distincts(table, columns)), "Column", "left"
-    )
+    joined = facts.join(F.broadcast(counted), "Column", "left")
     total, nulls = F.col("total"), F.col("nulls")
     distinct = F.coalesce(F.col("distinct_values"), F.lit(0))
     rounded = {name: F.round(name, places) for name in ("min", "max", "mean", "median", "std", "q1", "q3")}
@@ -154,8 +190,8 @@ def column_profile(
         F.col("pos").alias("Positive_Count"),
         rounded["q1"].alias("Q1"),
         rounded["q3"].alias("Q3"),
-        F.col("outliers").alias("Outlier_Count_IQR"),
-        percent(F.col("outliers"), total).alias("Outlier_Pct_IQR"),
+        F.col("beyond").alias("Outlier_Count_IQR"),
+        percent(F.col("beyond"), total).alias("Outlier_Pct_IQR"),
     )
 
 
@@ -194,23 +230,26 @@ def profile_scorecard(
     schema = df.schema
     columns = schema.names
     table = _clean(df, columns)
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()) for c in columns]
-    cells = F.lit(0).cast("long")
-    with_nulls = F.lit(0)
-    for n in nulls:
-        cells, with_nulls = cells + n, with_nulls + (n > 0).cast("int")
-    counts = table.agg(F.count(F.lit(1)).alias("total"), cells.alias("null_cells"), with_nulls.alias("with_nulls"))
-    domain = domain_validation(df, checks).agg(
-        F.sum(F.round(F.col("Failed_Pct") * 100).cast("long")).alias("bp"), F.count_if(F.col("Failed_Records") > 0).alias("bad")
+    scope = Scope(schema)
+    counts = df.select(
+        *[drop_nan(F.col(f"`{c}`"), schema[c].dataType).isNull().alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.coalesce(c.check.fails(scope), F.lit(False)).alias(f"f{i}") for i, c in enumerate(checks)],
+    ).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(f"n{i}").alias(f"n{i}") for i in range(len(columns))],
+        *[F.count_if(f"f{i}").alias(f"f{i}") for i in range(len(checks))],
     )
+    cells, with_nulls = F.lit(0).cast("long"), F.lit(0)
+    for i in range(len(columns)):
+        cells, with_nulls = cells + F.col(f"n{i}"), with_nulls + (F.col(f"n{i}") > 0).cast("int")
+    failed_bp, bad = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for i in range(len(checks)):
+        failed_bp, bad = failed_bp + basis_points(F.col(f"f{i}"), F.col("total")), bad + (F.col(f"f{i}") > 0).cast("long")
+    counts = counts.select("total", cells.alias("null_cells"), with_nulls.alias("with_nulls"), failed_bp.alias("_bp_failed"), bad.alias("_bad"))
     groups = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    copies = groups.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("copies"))
+    copies = groups.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("_copies"))
     n_checks, n_columns = len(checks), len(columns)
-    one = (
-        counts.withColumn("_bp_failed", domain.select("bp").scalar())
-        .withColumn("_bad", domain.select("bad").scalar())
-        .withColumn("_copies", copies.scalar())
-    )
+    one = counts.join(F.broadcast(copies))  # one row each
     total = F.col("total")
     cell_count = total * n_columns
     completeness = basis_points(cell_count - F.col("null_cells"), cell_count)

@@ -1,126 +1,74 @@
-"""Exact quantiles of large columns without sorting them and without gathering a column in one task.
+"""Exact quantiles of large columns from a table of values and their frequencies, without a column in one task.
 
-An approximate sketch brackets the wanted ranks, counts check the brackets, and the sketch is taken again inside them
-until few distinct values are left; those are counted per value and ranked. Every round is one aggregate over one scan,
-for all columns and quantiles together. A hot value does no harm, as copies only ever count.
+The frequencies are cut by ranges of values and written once. Sums per range, a row for each range, tell in which range a
+wanted rank lies; only that range's rows are ranked. A hot value does no harm, as copies only ever count.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-BUDGET = 100_000  # distinct values per bracket that may be ranked in one group
-
-
-@dataclass
-class _Target:
-    column: str
-    prob: float
-    rank: int  # 0-based rank of the lower neighbour
-    fraction: float  # distance to the upper neighbour
-    low: float
-    high: float
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
-    margin: float = 2 / ACCURACY
-
-    def within(self) -> Column:
-        return F.col(f"`{self.column}`").between(F.lit(self.low), F.lit(self.high))
-
-
-def _measure(df: DataFrame, targets: list[_Target], brackets: list[tuple[float, float]]) -> None:
-    """Try a bracket for each target and keep it where it still holds the wanted ranks."""
-    aggs = []
-    for i, (t, (low, high)) in enumerate(zip(targets, brackets, strict=True)):
-        col = F.col(f"`{t.column}`")
-        inside = col.between(F.lit(low), F.lit(high))
-        aggs += [
-            F.count_if(col < F.lit(low)).alias(f"b{i}"),
-            F.count_if(inside).alias(f"i{i}"),
-            F.approx_count_distinct(F.when(inside, col)).alias(f"d{i}"),
-        ]
-    row = df.agg(*aggs).first()
-    for i, (t, (low, high)) in enumerate(zip(targets, brackets, strict=True)):
-        below, inside = row[f"b{i}"], row[f"i{i}"]
-        if below <= t.rank and t.rank + (t.fraction > 0) < below + inside:
-            t.low, t.high, t.below, t.inside, t.distinct = low, high, below, inside, row[f"d{i}"]
-        else:
-            t.margin *= 4
-
-
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    sketches = []
-    for i, t in enumerate(targets):
-        at = (t.rank - t.below) / max(t.inside, 1)
-        probs = [max(0.0, at - t.margin), min(1.0, at + t.margin + 2 / max(t.inside, 1))]
-        value = F.when(t.within(), F.col(f"`{t.column}`"))
-        sketches.append(F.percentile_approx(value, probs, ACCURACY).alias(f"q{i}"))
-    row = df.agg(*sketches).first()
-    _measure(df, targets, [tuple(row[f"q{i}"]) for i in range(len(targets))])
-
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], budget: int = BUDGET, rounds: int = 12
-) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column; None for a column without values. NaN must be NULL already."""
-    df = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    aggs = []
-    for i, c in enumerate(columns):
-        col = F.col(f"`{c}`")
-        aggs += [F.count(col).alias(f"n{i}"), F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
-        aggs.append(F.approx_count_distinct(col).alias(f"d{i}"))
-    row = df.agg(*aggs).first()
-    targets = []
-    for i, c in enumerate(columns):
-        n = row[f"n{i}"]
-        for p in probs:
-            if n:
-                position = p * (n - 1)
-                rank = math.floor(position)
-                t = _Target(c, p, rank, position - rank, row[f"lo{i}"], row[f"hi{i}"])
-                t.inside, t.distinct = n, row[f"d{i}"]
-                targets.append(t)
-    for _ in range(rounds):
-        # approx_count_distinct may be off by some percent, so a bracket counts as small from half the budget down.
-        wide = [t for t in targets if t.low < t.high and min(t.inside, 2 * t.distinct) > budget]
-        if not wide:
-            break
-        _narrow(df, wide)
-    found = _select(df, targets)
-    return {c: [found.get((c, p)) for p in probs] for c in columns}
-
-
-def _select(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
-    """Count the values inside the brackets and read off the wanted ranks. Targets with one bracket share its counts."""
-    if not targets:
-        return {}
-    holders = {(t.column, t.low, t.high): t for t in targets}
-    places = {bracket: i for i, bracket in enumerate(holders)}
-    lines, wanted = [], F.lit(False)
-    for bracket, t in holders.items():
-        wanted = wanted | F.coalesce(t.within(), F.lit(False))
-        line = F.struct(F.lit(places[bracket]).alias("b"), F.col(f"`{t.column}`").alias("v"))
-        lines.append(F.when(t.within(), line))
-    values = df.filter(wanted).select(F.inline(F.array(*lines))).filter("b IS NOT NULL")
-    counted = values.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    # x[r] is the first value with more than r values up to it; x[r + 1] likewise.
-    picks = []
-    for i, t in enumerate(targets):
-        here, rank = F.col("b") == places[(t.column, t.low, t.high)], t.rank - t.below
-        for name, r in (("x", rank), ("y", rank + 1)):
-            picks.append(F.min(F.when(here & (F.col("upto") > r), F.col("v"))).alias(f"{name}{i}"))
-    row = counted.withColumn("upto", upto).agg(*picks).first()
-    out = {}
-    for i, t in enumerate(targets):
-        x, y = row[f"x{i}"], row[f"y{i}"]
-        out[(t.column, t.prob)] = x if t.fraction == 0 else x + (y - x) * t.fraction
-    return out
+from plumbline.session import write_rows
+
+
+def frequency_quantiles(frequencies: DataFrame, places: Sequence[int], probs: Sequence[float]) -> dict[int, list[float | None]]:
+    """Linear-interpolated quantiles for each place of a table (place, number, n); None for a place without numbers. A
+    number may have several rows."""
+    rows = frequencies.filter(F.col("place").isin(list(places)) & F.col("number").isNotNull()).select("place", "number", "n")
+    rows = write_rows(rows.repartitionByRange("place", "number").withColumn("cut", F.spark_partition_id()))
+    sums = rows.groupBy("place", "cut").agg(F.sum("n").alias("n"), F.min("number").alias("low"))
+    ranges: dict[int, list] = {p: [] for p in places}
+    for r in sorted(sums.collect(), key=lambda r: (r["place"], r["low"])):  # a row for each column and range
+        ranges[r["place"]].append((r["cut"], r["n"]))
+
+    def locate(place: int, rank: int) -> tuple[int, int]:
+        """The range that holds a rank, and the rank in it."""
+        for cut, n in ranges[place]:
+            if rank < n:
+                return cut, rank
+            rank -= n
+        raise ValueError("no such rank")
+
+    wanted = {}
+    for place in places:
+        total = sum(n for _, n in ranges[place])
+        for p in probs if total else ():
+            rank = math.floor(p * (total - 1))
+            wanted[place, p] = [locate(place, r) for r in (rank, min(rank + 1, total - 1))], p * (total - 1) - rank
+    if not wanted:
+        return {place: [None] * len(probs) for place in places}
+    spots = sorted({(place, *spot) for (place, _), (both, _) in wanted.items() for spot in both})
+    held = F.lit(False)
+    for place, cut in sorted({(place, cut) for place, cut, _ in spots}):
+        held = held | ((F.col("place") == place) & (F.col("cut") == cut))
+    upto = F.sum("n").over(W.partitionBy("place", "cut").orderBy("number").rowsBetween(W.unboundedPreceding, 0))
+    # the first number with more than `rank` rows up to it
+    picks = [
+        F.min(F.when((F.col("place") == place) & (F.col("cut") == cut) & (F.col("upto") > rank), F.col("number"))).alias(f"x{i}")
+        for i, (place, cut, rank) in enumerate(spots)
+    ]
+    row = rows.filter(held).withColumn("upto", upto).agg(*picks).first()
+    at = {spot: row[f"x{i}"] for i, spot in enumerate(spots)}
+
+    def value(place: int, p: float) -> float | None:
+        if (place, p) not in wanted:
+            return None
+        (low, high), fraction = wanted[place, p]
+        x, y = at[(place, *low)], at[(place, *high)]
+        return x if fraction == 0 else x + (y - x) * fraction
+
+    return {place: [value(place, p) for p in probs] for place in places}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """The same for columns of a table. NaN must be NULL already."""
+    lines = [F.struct(F.lit(i).alias("place"), F.col(f"`{c}`").cast("double").alias("number")) for i, c in enumerate(columns)]
+    values = df.select(F.inline(F.array(*lines))).filter("number IS NOT NULL")
+    counted = values.groupBy("place", "number").agg(F.count(F.lit(1)).alias("n"))
+    found = frequency_quantiles(counted, range(len(columns)), probs)
+    return {c: found[i] for i, c in enumerate(columns)}

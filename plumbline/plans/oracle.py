@@ -575,9 +575,9 @@ ORACLE: dict[str, str] = {
       SELECT *, CASE WHEN tier = 1 THEN {level("avg_pass_rate", 99, 97)} ELSE {level("avg_pass_rate", 97, 95)} END AS level FROM m""",
     "profile_housing": f"WITH {HS} {profile('hs', HS_TYPES, pack.CRITICAL_DATA_ELEMENTS)}",
     "profile_events": profile(
-        "events", {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+        "events", {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
     ),
-    "profile_parts": profile("part", {"p_type": "string", "p_size": "int", "p_retailprice": "double"}),
+    "profile_parts": profile("part", {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"}),
     "domain_validation": f"""WITH {WIDE}, {DOMAIN} SELECT "Column", "Check", f AS Failed_Records, {pct("f", "t")} AS Failed_Pct,
       CASE WHEN {pct("(t - f)", "t")} = 100 THEN 'PASS' WHEN {pct("(t - f)", "t")} >= 95 THEN 'WARN' ELSE 'FAIL' END AS Status FROM dom""",
     "profile_scorecard": f"""WITH {WIDE}, {DOMAIN},

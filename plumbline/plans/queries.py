@@ -368,13 +368,12 @@ def profile_housing(spark, sf_dir):
 
 @query
 def profile_events(spark, sf_dir):
-    columns = ["event_id", "user_id", "event_type", "value", "props"]
-    return profile.column_profile(table(spark, sf_dir, "events"), columns, places=4)
+    return profile.column_profile(table(spark, sf_dir, "events"), places=4)
 
 
 @query
 def profile_parts(spark, sf_dir):
-    return profile.column_profile(table(spark, sf_dir, "part"), ["p_type", "p_size", "p_retailprice"], places=4)
+    return profile.column_profile(table(spark, sf_dir, "part"), places=4)
 
 
 @query

@@ -11,7 +11,7 @@ from plumbline.operators.run import Run
 from plumbline.plans import housing as pack
 from plumbline.plans import packs
 from plumbline.plans.fixture import housing, table
-from plumbline.plans.housing_contract import contract
+from plumbline.plans.housing_contract import DOMAIN_CHECKS, contract
 
 
 def plan(df):
@@ -72,12 +72,19 @@ def test_contract_values_share_one_scan(spark, sf_dir):
     assert "Exchange SinglePartition" in text and "hashpartitioning" not in text
 
 
-def test_profile_reads_twice_and_does_not_sort(spark, sf_dir):
-    text = plan(profile.column_profile(table(spark, sf_dir, "events"), ["event_type", "value"], approximate=True))
-    assert text.count("FileScan") == 2
+@pytest.mark.parametrize("approximate", [True, False])
+def test_profile_reads_the_table_once_beside_what_it_stored(spark, sf_dir, approximate):
+    text = plan(profile.column_profile(table(spark, sf_dir, "events"), ["event_type", "value"], approximate=approximate))
+    assert text.count("FileScan") == 1 and "events.parquet" in text
     assert not re.search(r"[^a-z]Sort \[", text)
 
 
+def test_profile_scorecard_reads_the_rows_once_beside_the_grain(spark, sf_dir):
+    df = housing(spark, sf_dir, wide=True).drop("record_key")
+    text = plan(profile.profile_scorecard(df, DOMAIN_CHECKS, pack.GRAIN, pack.CRITICAL_DATA_ELEMENTS, "d", "x"))
+    assert text.count("FileScan") == 2
+
+
 def test_references_meet_after_counting(spark, sf_dir):
     run = Run(packs.lineitem(spark, sf_dir), packs.lineitem_rules(spark, sf_dir), as_of="2001-06").only(["LI-010"])
     text = plan(run.scorecard())
