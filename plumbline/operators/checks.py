@@ -304,11 +304,11 @@ class InReference(GroupCheck):
         return values.join(known, F.col("_v") == F.col("_r"), "left").select("_v", "_n", missing.alias("_missing"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
-        counted = Facts(self.counts(df, scope), ("_v",), ("_missing",)).materialized()
-        # Heavy values stay in the facts even when they are known, as attach() needs them to spread their rows.
-        heavy = F.col("_n") * HEAVY > F.lit(counted.size["weight"])
+        # Heavy values stay in the facts even when they are known, as attach() needs them to spread their rows. The total is
+        # known first, so that the known light values, nearly all there are, are never written.
+        heavy = F.col("_n") * HEAVY > F.lit(df.count())
         flag = F.when(F.col("_missing"), F.lit(True)).alias(self.flag)
-        kept = counted.df.filter(F.col("_missing") | heavy).select(F.col("_v").alias(self.column), "_n", flag)
+        kept = self.counts(df, scope).filter(F.col("_missing") | heavy).select(F.col("_v").alias(self.column), "_n", flag)
         return Facts(kept, (self.column,), (self.flag,))
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:

@@ -1,8 +1,9 @@
 """Join rows to a table of facts that is unique per key, whatever the size of the facts and the skew of the rows.
 
 Facts are written to the shared folder and measured. Small ones are broadcast. Larger ones meet the rows in one shuffle join, if no
-key holds more than 1/1024 of the rows. Otherwise the heavy keys, of which there can be at most 1,023, are broadcast and
-their rows never shuffle; only the others do. No row is salted at random, so a lost task recomputes the same rows.
+key holds more than 1/1024 of the rows. Otherwise the facts of the heavy keys, of which there can be at most 1,023, are
+broadcast, and the rows that find theirs are spread evenly in the shuffle join that brings the others to their facts. Rows
+are read once. No row is salted at random, so a lost task recomputes the same rows.
 """
 
 from __future__ import annotations
@@ -12,13 +13,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.session import materialize, write_rows
+from plumbline.session import materialize
 
 MAX_ROWS = 500_000
 MAX_BYTES = 32 << 20
 HEAVY = 1024
 HEAVY_BYTES = 128 << 20
+PLACES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -81,22 +84,27 @@ def attach(rows: DataFrame, facts: Facts, max_rows: int = MAX_ROWS, max_bytes: i
     if not facts.has_heavy_keys() or facts.heavy_bytes() > HEAVY_BYTES:
         # Heavy keys too long to broadcast are left to Spark's own splitting of skewed partitions.
         return rows.join(facts._side(), facts._on(), "left").select(*wanted)
-    heavy = F.broadcast(facts._side(facts.is_heavy()))
-    near = rows.join(heavy, facts._on())
-    far = rows.join(heavy, facts._on(), "left_anti").join(facts._side(~facts.is_heavy()), facts._on(), "left")
-    return near.select(*wanted).unionByName(far.select(*wanted))
+    marked = rows.join(F.broadcast(facts._side(facts.is_heavy(), F.lit(True).alias("_heavy"))), facts._on(), "left")
+    values = {v: f"_heavy__{v}" for v in facts.values}
+    marked = marked.withColumnsRenamed(values).drop(*[f"_k{i}" for i in range(len(facts.keys))])
+    # rows whose facts are found already go to places of their own, where they meet nothing
+    plain = [F.col(f"`{f.name}`") for f in rows.schema if not _has_map(f.dataType)]
+    place = F.when(F.col("_heavy"), F.pmod(F.xxhash64(*plain), F.lit(PLACES)) + 1).otherwise(F.lit(0)).cast("long")
+    rest = facts._side(~facts.is_heavy(), F.lit(0).cast("long").alias("_at"))
+    joined = marked.withColumn("_place", place).join(rest, [*facts._on(), F.col("_place") == F.col("_at")], "left")
+    found = {v: F.when(F.col("_heavy"), F.col(f"`{old}`")).otherwise(F.col(f"`{v}`")) for v, old in values.items()}
+    return joined.select(*[found[c].alias(c) if c in found else F.col(f"`{c}`") for c in wanted])
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash."""
+    return "map<" in kind.simpleString()
 
 
 def attach_all(
     rows: DataFrame, many: Sequence[Facts], max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
-    """Attach several facts. A split into heavy and other rows reads its input twice; so before every further split the
-    rows are written out, and the work grows with the number of facts instead of doubling with each."""
-    measured = [f if f.size else f.materialized() for f in many]
-    split = [f for f in measured if not f.fits(max_rows, max_bytes) and f.has_heavy_keys()]
-    for i, facts in enumerate(split):
-        rows = attach(write_rows(rows) if i else rows, facts, max_rows, max_bytes)
-    for facts in measured:
-        if facts not in split:
-            rows = attach(rows, facts, max_rows, max_bytes)
+    """Attach several facts to rows that are read once."""
+    for facts in [f if f.size else f.materialized() for f in many]:
+        rows = attach(rows, facts, max_rows, max_bytes)
     return rows

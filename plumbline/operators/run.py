@@ -18,6 +18,7 @@ from plumbline.functions.rates import basis_points, share
 from plumbline.operators.checks import SigmaOutlier, Unique
 from plumbline.operators.lookup import Facts, attach, attach_all
 from plumbline.operators.rule import GroupCheck, Rule, Scope, rule_table
+from plumbline.session import materialize
 
 SCORECARD_COLUMNS = (
     "Rule_ID", "Rule_Name", "DQ_Dimension", "CDE_Affected", "Description", "Severity", "Total_Records",
@@ -165,6 +166,13 @@ class Run:
         ids = F.when(F.col("_ids") == "", F.array().cast("array<string>")).otherwise(F.split("_ids", ","))
         return rows.select(*record, ids.alias(FAILED))
 
+    def failures_per_record(self) -> DataFrame:
+        """Rows (rules_failed, records): how many records fail so many rules."""
+        failed = F.lit(0)
+        for rule in self.rules:
+            failed = failed + self.mask(rule).cast("int")
+        return self.prepared.select(failed.alias("rules_failed")).groupBy("rules_failed").agg(F.count(F.lit(1)).alias("records"))
+
     def only(self, rule_ids: Sequence[str]) -> Run:
         """The run of some of the rules, for results that need no others."""
         some = [r for r in self.rules if r.rule_id in set(rule_ids)]
@@ -252,6 +260,35 @@ class Run:
         total, failed = F.col("total_records"), F.col("failed_records")
         return counts.withColumn("clean_pct", share(total - failed, total))
 
+    def scorecard_and_unique_failed(self) -> tuple[DataFrame, DataFrame]:
+        """Both results. With one uniqueness rule they come from one grouping by its key, which is stored as one row."""
+        group_rules = [r for r in self.group_rules if self._runs(r)]
+        if len(group_rules) != 1 or not isinstance(group_rules[0].check, Unique):
+            return self.scorecard(), self.unique_failed()
+        rule = group_rules[0]
+        scope = self._scope(rule)
+        local = [r for r in self.rules if r is not rule]
+        other = F.lit(False)
+        for i in range(len(local)):
+            other = other | F.col(f"_f{i}")
+        keys = rule.check.present(scope)
+        rows = self.with_stats().select(
+            *[rule.check.key(k, scope).alias(k) for k in keys], *[self.mask(r).alias(f"_f{i}") for i, r in enumerate(local)]
+        )
+        groups = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.count_if(other).alias("_m"), *[F.count_if(f"_f{i}").alias(f"_f{i}") for i in range(len(local))]
+        )
+        copies = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
+        failed = F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(F.col("_m")))
+        sums = {"total": F.sum("_n"), "copies": copies, "failed_records": failed} | {f"f{i}": F.sum(f"_f{i}") for i in range(len(local))}
+        one = materialize(groups.agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in sums.items()]))
+        pairs = ", ".join([*(f"'{r.rule_id}', f{i}" for i, r in enumerate(local)), f"'{rule.rule_id}', copies"])
+        counts = one.selectExpr("total AS Total_Records", f"stack({len(self.rules)}, {pairs}) AS (Rule_ID, Records_Failed)")
+        score = finish_scorecard(counts.join(F.broadcast(self.rule_table), "Rule_ID"), self.strict_pass)
+        total, bad = F.col("total_records"), F.col("failed_records")
+        found = one.select(F.col("total").alias("total_records"), "failed_records").withColumn("clean_pct", share(total - bad, total))
+        return score, found
+
     def _failed_by_grain(self, rule: Rule) -> DataFrame:
         """With one uniqueness rule, the distinct failing records follow from counts per key: all of a repeated key,
         else the rows that fail another rule. That saves the join back to the rows."""

@@ -18,7 +18,7 @@ from plumbline.plans import housing as pack
 from plumbline.plans import packs
 from plumbline.plans.fixture import housing, table
 from plumbline.plans.housing_contract import DOMAIN_CHECKS, contract
-from plumbline.session import configure, materialize, shared_dir
+from plumbline.session import configure, shared_dir
 from plumbline.sources.outputs import export_columns
 from plumbline.sources.tables import with_record_id
 from plumbline.streaming.monitor import score_stream, scorecard_so_far, snapshot
@@ -82,8 +82,7 @@ def lineitem_scorecard(spark, sf_dir):
 def lineitem_failures_per_line(spark, sf_dir):
     """How many rules a line fails, counted over all lines."""
     run = Run(packs.lineitem(spark, sf_dir), packs.lineitem_rules(spark, sf_dir), as_of="2001-06")
-    failed = F.size("_failed_rules").alias("rules_failed")
-    return run.annotated().groupBy(failed).agg(F.count(F.lit(1)).alias("lines"))
+    return run.failures_per_record().withColumnRenamed("records", "lines")
 
 
 @query
@@ -98,8 +97,7 @@ def upload_scorecard(spark, sf_dir):
 
 @query
 def upload_summary(spark, sf_dir):
-    run = upload_run(spark, sf_dir)
-    return scorecards.run_summary(run.scorecard(), run.unique_failed())
+    return scorecards.run_summary(*upload_run(spark, sf_dir).scorecard_and_unique_failed())
 
 
 @query
@@ -119,25 +117,21 @@ def summary(spark, sf_dir):
 
 @query
 def run_summary(spark, sf_dir):
-    run = housing_run(spark, sf_dir)
-    return scorecards.run_summary(run.scorecard(), run.unique_failed())
+    return scorecards.run_summary(*housing_run(spark, sf_dir).scorecard_and_unique_failed())
 
 
 @query
 def executive(spark, sf_dir):
-    run = housing_run(spark, sf_dir)
-    return explore.executive(scorecards.summary(run.scorecard(), DATASET, RUN_DATE), run.unique_failed())
+    score, found = housing_run(spark, sf_dir).scorecard_and_unique_failed()
+    return explore.executive(scorecards.summary(score, DATASET, RUN_DATE), found)
 
 
 @query
 def executive_view(spark, sf_dir):
-    """The scorecard is worked out and stored once, and all parts are made from it."""
-    run = housing_run(spark, sf_dir)
-    score = materialize(run.scorecard())
-    summary_ = scorecards.summary(score, DATASET, RUN_DATE)
-    return explore.executive_view(
-        score, summary_, scorecards.by_dimension(score), scorecards.by_cde(score, pack.CDE_RULES), run.unique_failed()
-    )
+    """All parts come from one row of counts."""
+    score, found = housing_run(spark, sf_dir).scorecard_and_unique_failed()
+    head = scorecards.summary(score, DATASET, RUN_DATE)
+    return explore.executive_view(score, head, scorecards.by_dimension(score), scorecards.by_cde(score, pack.CDE_RULES), found)
 
 
 @query

@@ -36,13 +36,16 @@ def test_all_ways_of_joining_agree(spark):
     assert sorted(plain.collect()) == sorted(attach(even, facts_of(even)).collect())
 
 
-def test_heavy_rows_do_not_shuffle(spark):
+def test_heavy_rows_are_spread(spark):
     rows = skewed(spark)
     facts = facts_of(rows)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        # Heavy rows in one broadcast join; the rest kept apart by another and then shuffled.
-        assert joins(attach(rows, facts, max_rows=0)) == {"BroadcastHashJoin": 2, "SortMergeJoin": 1}
+        # Heavy rows find their facts in a broadcast join; in the shuffle join they meet nothing and stand everywhere.
+        split = attach(rows, facts, max_rows=0)
+        assert joins(split) == {"BroadcastHashJoin": 1, "SortMergeJoin": 1}
+        sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes)
         assert joins(attach(rows, facts)) == {"BroadcastHashJoin": 1, "SortMergeJoin": 0}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -51,6 +54,16 @@ def test_heavy_rows_do_not_shuffle(spark):
     assert heavy < lookup.HEAVY
 
 
+def test_two_heavy_facts_read_the_rows_once(spark, tmp_path):
+    skewed(spark).withColumnRenamed("v", "w").withColumn("v", F.col("w")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    other = rows.groupBy("v").agg(F.count(F.lit(1)).alias("_n"), F.max("id").alias("t"))
+    both = [facts_of(rows), Facts(other, ("v",), ("t",)).materialized()]
+    joined = lookup.attach_all(rows, both, max_rows=0)
+    assert joined._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(joined.collect(), key=str) == sorted(lookup.attach_all(rows, both).collect(), key=str)
+
+
 def test_rules_give_the_same_beyond_the_broadcast_limit(spark, sf_dir, monkeypatch):
     df = packs.lineitem(spark, sf_dir)
 

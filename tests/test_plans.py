@@ -85,6 +85,13 @@ def test_profile_scorecard_reads_the_rows_once_beside_the_grain(spark, sf_dir):
     assert text.count("FileScan") == 2
 
 
+def test_summary_and_distinct_failures_share_one_grouping(run):
+    score, found = run.scorecard_and_unique_failed()
+    assert "hashpartitioning" not in plan(score) and "FileScan" not in plan(score)
+    assert sorted(score.collect()) == sorted(run.scorecard().collect())
+    assert found.collect() == run.unique_failed().collect()
+
+
 def test_references_meet_after_counting(spark, sf_dir):
     run = Run(packs.lineitem(spark, sf_dir), packs.lineitem_rules(spark, sf_dir), as_of="2001-06").only(["LI-010"])
     text = plan(run.scorecard())
