@@ -321,6 +321,57 @@ class InReference(GroupCheck):
         return F.col(f"`{self.flag}`").isNotNull()
 
 
+@dataclass(frozen=True)
+class MapsToTable(GroupCheck):
+    """Like MapsTo, with a mapping of any size in a table: `known` names and the value `expected` of each. The smallest value
+    of a name that the table has several times counts. Unknown names pass."""
+
+    source: str
+    target: str
+    mapping: DataFrame
+    known: str
+    expected: str
+
+    @property
+    def columns(self):
+        return (self.source, self.target)
+
+    @property
+    def flag(self) -> str:
+        return f"_mapped__{self.source}__{self.target}"
+
+    def _named(self) -> DataFrame:
+        names = self.mapping.filter(F.col(self.known).isNotNull() & F.col(self.expected).isNotNull())
+        return names.groupBy(F.col(self.known).alias("_k")).agg(F.min(self.expected).alias("_e"))
+
+    def _wrong(self, scope: Scope) -> Column:
+        return F.col("_e").isNotNull() & ~F.col("_v").eqNullSafe(F.col("_e"))
+
+    def _pairs(self, df: DataFrame, scope: Scope) -> DataFrame:
+        """Each name and value that occur together, once, with the value expected and the number of rows."""
+        pairs = df.select(scope.col(self.source).alias("_s"), scope.col(self.target).alias("_v"))
+        pairs = pairs.groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        return pairs.join(self._named(), F.col("_s") == F.col("_k"), "left")
+
+    def facts(self, df: DataFrame, scope: Scope) -> Facts:
+        heavy = F.col("_n") * HEAVY > F.lit(df.count())
+        wrong = self._wrong(scope)
+        kept = self._pairs(df, scope).filter(wrong | heavy)
+        kept = kept.select(F.col("_s").alias(self.source), F.col("_v").alias(self.target), "_n", F.when(wrong, F.lit(True)).alias(self.flag))
+        return Facts(kept, (self.source, self.target), (self.flag,))
+
+    def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
+        return self._pairs(df, scope).agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(self._wrong(scope), F.col("_n"))), F.lit(0)).alias("failed")
+        )
+
+    def fails(self, scope: Scope) -> Column:
+        return F.col(f"`{self.flag}`").isNotNull()
+
+    def failed_value(self, scope: Scope) -> Column:
+        return scope.raw(self.target)
+
+
 # The short names rules are written with.
 
 
@@ -360,6 +411,10 @@ def maps_to(source: str, target: str, mapping: Mapping[str, str]) -> MapsTo:
     return MapsTo(source, target, mapping)
 
 
+def maps_to_table(source: str, target: str, mapping: DataFrame, known: str, expected: str) -> MapsToTable:
+    return MapsToTable(source, target, mapping, known, expected)
+
+
 def compare(left: str, op: str, right: str) -> Compare:
     return Compare(left, op, right)
 

@@ -167,6 +167,38 @@ def conformance(df: DataFrame, dictionary: Sequence[tuple[str, str, bool]]) -> D
     return counts.select(F.inline(F.array(*[line(*x) for x in lines])))
 
 
+def catalog_conformance(df: DataFrame, declared_rows: int, declared_columns: int) -> DataFrame:
+    """The size of a table against its catalog entry. Rows (Measure, Declared, Actual, Conforms)."""
+    lines = [(F.lit("Row_Count"), declared_rows, F.col("n")), (F.lit("Column_Count"), declared_columns, F.lit(len(df.columns)).cast("long"))]
+    parts = [
+        F.struct(m.alias("Measure"), F.lit(d).cast("long").alias("Declared"), a.alias("Actual"), (a == d).alias("Conforms"))
+        for m, d, a in lines
+    ]
+    return df.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(*parts)))
+
+
+def size_conformance(df: DataFrame, sizes: Sequence[tuple[str, int, int | None]]) -> DataFrame:
+    """Values against declared sizes: (column, characters, None) for a text, (column, digits, places) for a decimal. Rows
+    (Column, Declared, Too_Large, Conforms), from one aggregate. Columns that the table lacks are left out."""
+    present = [x for x in sizes if x[0] in df.columns]
+
+    def beyond(column: str, size: int, places: int | None) -> Column:
+        value = F.col(f"`{column}`")
+        if places is None:
+            return F.length(value.cast("string")) > size
+        return (F.abs(value) >= F.lit(10 ** (size - places))) | (F.round(value, places) != value)
+
+    counts = df.agg(*[F.count_if(beyond(*x)).alias(f"n{i}") for i, x in enumerate(present)])
+    declared = [f"VARCHAR({size})" if places is None else f"DECIMAL({size},{places})" for _, size, places in present]
+    parts = [
+        F.struct(
+            F.lit(x[0]).alias("Column"), F.lit(d).alias("Declared"), F.col(f"n{i}").alias("Too_Large"), (F.col(f"n{i}") == 0).alias("Conforms")
+        )
+        for i, (x, d) in enumerate(zip(present, declared, strict=True))
+    ]
+    return counts.select(F.inline(F.array(*parts)))
+
+
 def type_family(spark_type: str) -> str:
     if spark_type.startswith(("string", "varchar", "char")):
         return "text"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from plumbline.plans.housing import GEO_CODES
-from plumbline.session import shared_dir
+from plumbline.session import file_states, shared_dir
 
 WIDE_COLUMNS = (
     "DATA_SOURCE", "REPORTING_AGENCY", "LAST_UPDATED", "SURVEY_METHOD", "GEOGRAPHY_TYPE", "UOM", "SCALAR_FACTOR",
@@ -69,13 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WRITTEN: dict[tuple[str, str], tuple[str, StructType]] = {}
+_WRITTEN: dict[tuple, tuple[str, StructType]] = {}
 
 
 def housing(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """The fixture as a stored table. A run goes over its table several times (statistics, rules, grain), so the join
-    behind this one is done once per application and its result kept in the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    behind this one is done once per application and state of the files, and its result kept in the shared folder."""
+    states = [file_states(spark, f"{sf_dir}/{name}.parquet") for name in ("orders", "customer")]
+    key = (spark.sparkContext.applicationId, sf_dir, *states)
     if key not in _WRITTEN:
         text = housing_sql("{orders}", "{customer}", wide=True)
         joined = spark.sql(text, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))

@@ -72,6 +72,14 @@ DICTIONARY = (
     ("DECIMALS", "text", False),
 )
 
+# The declared number of rows and columns, and the sizes of texts and decimals.
+CATALOG_ROWS, CATALOG_COLUMNS = 10_800, 16
+SIZES = (
+    ("REF_DATE", 7, None), ("GEO", 100, None), ("GEO_CODE", 2, None), ("DWELLING_TYPE", 50, None), ("INTENDED_MARKET", 20, None),
+    ("AVERAGE_PRICE_CAD", 12, 2), ("DATA_SOURCE", 100, None), ("REPORTING_AGENCY", 100, None), ("SURVEY_METHOD", 30, None),
+    ("GEOGRAPHY_TYPE", 30, None), ("UOM", 20, None), ("SCALAR_FACTOR", 10, None), ("STATUS", 2, None), ("DECIMALS", 2, None),
+)
+
 EDGE_SCHEMA = "cde string, src_system string, src_field string, dst_system string, dst_field string"
 EDGES = [
     ("HOUSING_STARTS", "Permit Offices", "PERMIT_CONSTRUCTION_START_DATE", "Staging", "HOUSING_STARTS"),

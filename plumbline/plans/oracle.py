@@ -627,6 +627,17 @@ ORACLE: dict[str, str] = {
       n AS (SELECT part, CAST(sum(Records_Failed) AS BIGINT) AS Failures FROM tok GROUP BY part)
       SELECT cde, CAST(hop AS INT) AS hop, ss AS src_system, sf AS src_field, ds AS dst_system, df AS dst_field, Failures
       FROM hops JOIN n ON cde = part""",
+    "catalog_conformance": f"""WITH {WIDE}, n AS (SELECT count(*) AS n FROM hw) SELECT 'Row_Count' AS Measure, CAST({gov.CATALOG_ROWS} AS BIGINT)
+      AS Declared, n AS Actual, n = {gov.CATALOG_ROWS} AS Conforms FROM n UNION ALL SELECT 'Column_Count', {gov.CATALOG_COLUMNS}, 16, true""",
+    "size_conformance": f"WITH {WIDE} "
+    + union(
+        f"""SELECT '{c}' AS "Column", '{f"VARCHAR({size})" if places is None else f"DECIMAL({size},{places})"}' AS Declared, n AS Too_Large, n = 0 AS Conforms
+        FROM (SELECT count(*) FILTER (WHERE {f"length(CAST({c} AS VARCHAR)) > {size}" if places is None else f"abs({c}) >= {10 ** (size - places)} OR round({c}, {places}) <> {c}"}) AS n FROM hw)"""
+        for c, size, places in gov.SIZES
+    ),
+    "mapping_by_table": """WITH m AS (SELECT l_orderkey, min(l_linestatus) AS e FROM lineitem WHERE l_linenumber = 1 GROUP BY 1)
+      SELECT 'OR-002' AS rule_id, 'Status follows first line' AS rule_name, 'Consistency' AS dq_dimension, o_orderkey, o_orderstatus AS failed_value,
+        'Status follows first line on o_orderkey + o_orderstatus.' AS failure_reason FROM orders JOIN m ON o_orderkey = l_orderkey WHERE o_orderstatus <> e""",
     "csv_round_trip": "SELECT * FROM customer",
     "column_gate": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
     "template_filled": f"WITH {HS} SELECT DWELLING_TYPE, count(*) AS records, sum(HOUSING_STARTS) AS starts FROM hs GROUP BY 1",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import contract as contracts
 from plumbline.operators import explore, governance, profile, rca, scorecards
+from plumbline.operators.checks import maps_to_table
 from plumbline.operators.remediate import flag_counts, remediate, remediation_summary
 from plumbline.operators.rule import rule_table
 from plumbline.operators.run import Run
@@ -473,6 +474,26 @@ def conformance(spark, sf_dir):
     return governance.conformance(housing(spark, sf_dir, wide=True), gov.DICTIONARY)
 
 
+@query
+def catalog_conformance(spark, sf_dir):
+    return governance.catalog_conformance(full_housing(spark, sf_dir), gov.CATALOG_ROWS, gov.CATALOG_COLUMNS)
+
+
+@query
+def size_conformance(spark, sf_dir):
+    return governance.size_conformance(full_housing(spark, sf_dir), gov.SIZES)
+
+
+@query
+def mapping_by_table(spark, sf_dir):
+    """Orders whose status is not the one that their first line says, the mapping being a table as large as the orders."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1")
+    mapping = lines.groupBy("l_orderkey").agg(F.min("l_linestatus").alias("expected"))
+    rule = packs.rule("OR-002", "Status follows first line", "Consistency", "o_orderkey + o_orderstatus",
+                      maps_to_table("o_orderkey", "o_orderstatus", mapping, "l_orderkey", "expected"))
+    return Run(table(spark, sf_dir, "orders"), [rule]).violations("OR-002", ["o_orderkey"])
+
+
 @query
 def cde_coverage(spark, sf_dir):
     cdes = spark.createDataFrame([(c,) for c in [*pack.CRITICAL_DATA_ELEMENTS, "UOM"]], "CDE string")

@@ -39,18 +39,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints, as the session names it. One is made only for a local session without any."""
+    """The shared folder for checkpoints, as the session names it. One is made only where driver and executors are one
+    process (`local[...]`) and the session names none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
             configured = tempfile.mkdtemp(prefix="run-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def file_states(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table, by which a changed table is told from the same one."""
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(place)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote between steps: rows, checkpoints, streams. Results read from there must have been
+    used or written elsewhere before."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        place = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())  # a folder of this application alone
+        files = place.getFileSystem(sc._jsc.hadoopConfiguration())
+        for entry in files.listStatus(place) if files.exists(place) else []:
+            files.delete(entry.getPath(), True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint a table of facts, so that it is neither computed twice nor lost."""
     shared_dir(df.sparkSession)
