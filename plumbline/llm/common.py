@@ -66,10 +66,17 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Tables without texts are written by so many times fewer tasks than there are shuffle partitions.
+LIGHTER = 16
+
+
+def settle(df: DataFrame, light: bool = False) -> DataFrame:
     """The table written to the shared folder and read back from there: its lineage is cut, a lost executor loses none of
-    it, and later steps read only the columns they need."""
+    it, and later steps read only the columns they need. `light`: what comes out of a shuffle is ids and numbers, which
+    go into fewer files."""
     spark = df.sparkSession
+    if light:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // LIGHTER))
     path = f"{shared_dir(spark)}/rows-{uuid.uuid4().hex}"
     kept = df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if f.dataType == T.NullType()})
     with _shuffles_removed(spark):

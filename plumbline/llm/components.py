@@ -20,7 +20,7 @@ def _state(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b); the label is the smallest node that it reaches."""
     down = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    down = settle(down)
+    down = settle(down, light=True)
     state = None
     while (now := _state(down)) != state:
         state = now
@@ -28,11 +28,11 @@ def components(links: DataFrame) -> DataFrame:
         both = down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = settle(large.filter("u <> v").distinct())
+        large = large.filter("u <> v").distinct()
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
         small = large.join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select(F.col("c").alias("u"), F.col("m").alias("v"))
-        down = settle(small.union(own).filter("u <> v").distinct())
+        down = settle(small.union(own).filter("u <> v").distinct(), light=True)
     labels = down.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.union(down.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -45,8 +45,8 @@ DEALT = "part long, gram long, sid long, n int, weight int, pivot long"
 COUNTED = "a long, b long, na int, nb int, rare int, starred int, gram long"
 SETS = "sid long, grams array<long>"
 LINKS = "a long, b long"
-#: Elements of the sets in a block, and n-grams that are multiplied at a time.
-BLOCK_GRAMS, FRAGMENT = 250_000, 2048
+#: Elements of the sets in a block, sets in a block, and n-grams that are multiplied at a time: tens of megabytes for a task.
+BLOCK_GRAMS, BLOCK_SETS, FRAGMENT = 100_000, 500, 2048
 
 # A pair is similar when 100 * |x & y| >= 75 * |x | y|, that is 7 * |x & y| >= 3 * (|x| + |y|). Then at most a fourth of
 # either set is not shared, and neither is smaller than 3/4 of the other.
@@ -268,7 +268,8 @@ def _block_links(rows: pa.Table) -> pa.Table:
         part = np.zeros((size, FRAGMENT), np.float32)
         part[owner[a:b], column[a:b] - first] = 1
         shared += part @ part.T
-    near = 7 * shared >= 3 * (n[:, None] + n[None, :])
+    least = (3 * n).astype(np.float32)
+    near = 7 * shared >= least[:, None] + least[None, :]
     near &= label[:, None] != label[None, :]
     if i != j:
         near &= block[:, None] != block[None, :]
@@ -301,13 +302,13 @@ class NearDuplicates:
         counted = settle(dealt.mapInArrow(_count, COUNTED))
         marks = counted.filter("gram is not null").select(F.col("a").alias("sid"), F.col("na").alias("n"), "gram", F.col("b").alias("pivot"))
         commons = marks.groupBy("sid", "gram").agg(F.first("n").alias("n"), F.min("pivot").alias("pivot"))
-        self.marks = settle(commons)
+        self.marks = settle(commons, light=True)
         links = self._checked(self._candidates(counted))
         labels = components(links)
         more = self._by_common(labels)
         if more is not None:
-            links = settle(links.union(more))
-            labels = components(links)
+            links = links.union(more)
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
         self.links, self.labels = links, labels
 
     def _candidates(self, counted: DataFrame) -> DataFrame:
@@ -321,7 +322,7 @@ class NearDuplicates:
         info = info.join(common, "sid", "left").na.fill(0, ["common"])
         # elements that were not counted: not dealt out, or common
         info = info.select("sid", "n", (F.col("n") - emitted_column(F.col("n")) + F.col("common")).alias("unseen"))
-        info = settle(info)
+        info = settle(info, light=True)
         for side in ("a", "b"):
             own = info.select(F.col("sid").alias("of"), F.col("n").alias(f"n{side}"), F.col("unseen").alias(f"unseen_{side}"))
             pairs = pairs.join(own, F.col(side) == F.col("of")).drop("of")
@@ -329,12 +330,12 @@ class NearDuplicates:
         possible = (F.col("rare") > 0) & _similar(F.col("rare") + F.greatest("unseen_a", "unseen_b"))
         # pairs with a pivot are worth a look if they share half of what the smaller one deals out
         worth = (F.col("starred") > 0) & (2 * (F.col("rare") + F.col("starred")) >= F.least(emitted_column(F.col("na")), emitted_column(F.col("nb"))))
-        return settle(pairs.filter(sized & (possible | worth)).select("a", "b", "na", "nb"))
+        return settle(pairs.filter(sized & (possible | worth)).select("a", "b", "na", "nb"), light=True)
 
     def _whole(self, sids: DataFrame) -> DataFrame:
         """The whole sets of some (sid), from one document of each."""
         keys = self.members.groupBy("sid").agg(F.min("key").alias("of")).join(sids, "sid", "left_semi").select("of")
-        rows = self.rows.join(settle(keys), F.col("key") == F.col("of"), "left_semi").dropDuplicates(["key"])
+        rows = self.rows.join(settle(keys, light=True), F.col("key") == F.col("of"), "left_semi").dropDuplicates(["key"])
         return settle(rows.select("text").mapInArrow(_whole_sets, SETS))
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
@@ -343,7 +344,8 @@ class NearDuplicates:
         left = whole.select(F.col("sid").alias("a_of"), F.col("grams").alias("a_grams"))
         right = whole.select(F.col("sid").alias("b_of"), F.col("grams").alias("b_grams"))
         both = pairs.join(left, F.col("a") == F.col("a_of")).join(right, F.col("b") == F.col("b_of"))
-        return settle(both.filter(_similar(F.size(F.array_intersect("a_grams", "b_grams")))).select("a", "b"))
+        similar = both.filter(_similar(F.size(F.array_intersect("a_grams", "b_grams")))).select("a", "b")
+        return settle(similar.repartition("a", "b"), light=True)  # the sets are compared by as many tasks as ever
 
     def _by_common(self, labels: DataFrame) -> DataFrame | None:
         """Links between components whose sets share common n-grams only, among those dealt out; None if no two sets share
@@ -357,17 +359,18 @@ class NearDuplicates:
         heavy = self.marks.groupBy("sid").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("common"), F.first(least).alias("need"))
         heavy = heavy.filter("common >= need").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
         heavy = heavy.select("sid", "n", "need", F.coalesce("label", "sid").alias("label"))
-        rows = settle(self.marks.select("sid", "gram").join(heavy, "sid"))
+        rows = settle(self.marks.select("sid", "gram").join(heavy, "sid"), light=True)
         pivots = rows.groupBy("gram").agg(F.min("sid").alias("pivot"))
         own = rows.join(pivots, "gram").groupBy("pivot", "sid", "n", "need", "label").agg(F.count(F.lit(1)).alias("grams"))
-        own = settle(own)
+        own = settle(own, light=True)
         groups = own.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         onward = Window.partitionBy("sid").orderBy("sets", "pivot").rowsBetween(0, Window.unboundedFollowing)
         own = own.join(groups, "pivot").withColumn("onward", F.sum("grams").over(onward)).filter("onward >= need and lo < hi")
-        own = settle(own.select("pivot", "sid", "n", "label"))
+        own = settle(own.select("pivot", "sid", "n", "label"), light=True)
         if own.isEmpty():
             return None
-        blocks = own.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
+        enough = F.greatest(F.ceil(F.sum("n") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS))
+        blocks = own.groupBy("pivot").agg(enough.cast("int").alias("blocks"))
         dealt = own.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "label")
@@ -377,7 +380,7 @@ class NearDuplicates:
     def documents(self) -> DataFrame:
         """Per row: doc_id, n_shingles, component_id, and its place in its component (0: the smallest doc_id)."""
         rows = self.members.join(self.labels, F.col("sid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "sid"))
-        rows = settle(rows.select("doc_id", "key", "sid", "n", "label"))
+        rows = settle(rows.select("doc_id", "key", "sid", "n", "label"), light=True)
         least = rows.filter("sid is not null").groupBy("label").agg(F.min("doc_id").alias("least")).withColumnRenamed("label", "of")
         rows = rows.join(least, F.col("label") == F.col("of"), "left")
         component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("least"))
@@ -418,7 +421,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     last = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     first = rows.filter("label is not null").groupBy("label").agg(F.min(F.struct(last, "key")).alias("least")).select("least.key")
     stay = first.withColumn("bare", F.lit(False)).union(rows.filter("label is null").select("key", F.lit(True)).distinct())
-    stay = settle(stay.withColumnRenamed("key", "of"))
+    stay = settle(stay.withColumnRenamed("key", "of"), light=True)
     kept = work.withColumn("key", F.xxhash64("doc.doc_id", "doc.text")).join(stay, F.col("key") == F.col("of"))
     turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     kept = kept.withColumn("turn", turn).filter("bare or turn = 1")
