@@ -25,7 +25,7 @@ from plumbline.llm.common import settle
 from plumbline.llm.words import SPACES, mix, windows, words
 
 MODEL = "piece_bpe_32k.model"
-LEAST_TOKENS = 64
+LEAST_TOKENS = 200
 WIDTH = 5.0
 #: measure: (least margin below the first quartile, least margin above the third); None: no bound on that side
 BANDS = {"chars_per_token": (0.25, 1.0), "byte_share": (None, 0.05), "entropy_share": (0.3, None)}

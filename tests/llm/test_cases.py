@@ -153,7 +153,7 @@ def test_fertility(spark):
     rows = [(i, "en", clean * 2 + " ".join(f"{clean.split()[(i * 7 + j) % 23]}" for j in range(60))) for i in range(60)]
     rows += [(100, "en", " ".join("日本ⱿⱿꙮꙮ" + str(i) for i in range(80))), (101, None, None), (102, None, "да нет " * 40), (103, "xx", "")]
     df = frame(spark, rows, "doc_id long, lang string, text string").withColumn("n_tokens", F.lit("x"))
-    got = {r.doc_id: r for r in fertility.quality_rules(df).collect()}
+    got = {r.doc_id: r for r in fertility.quality_rules(df, least_tokens=64).collect()}
     mine = [(i, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for i, r in got.items()]
     assert same(mine, [(i, *brute.quality(t)) for i, _, t in rows])
     assert not got[100].base_failed and got[100].byte_share > 0.3 and got[100].fails and not got[100].kept
