@@ -52,9 +52,9 @@ BLOCK_GRAMS, BLOCK_SETS, FRAGMENT = 100_000, 500, 2048
 # either set is not shared, and neither is smaller than 3/4 of the other.
 
 
-def emitted(n):
+def emitted(n, extra: int):
     """Of a set of n, so many first elements are dealt out. At least `spare(n)` of them are in any similar set."""
-    return np.minimum(n, n // 4 + 1 + np.maximum(EXTRA, n // 20))
+    return np.minimum(n, n // 4 + 1 + np.maximum(extra, n // 20))
 
 
 def emitted_column(n: Column) -> Column:
@@ -117,17 +117,20 @@ def _rows_of(w: Words, limit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[good], sid[doc[good]], sizes[doc[good]]
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts, size = [], 0
-    for batch in batches:
-        for w in words(batch.column(0), lower=True):
-            parts.append(_rows_of(w, emitted))
-            size += len(parts[-1][0])
-            if size >= BLOCK:
-                yield from _block(parts)
-                parts, size = [], 0
-    if size:
-        yield from _block(parts)
+def _deal(extra: int, common: int, block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for w in words(batch.column(0), lower=True):
+                parts.append(_rows_of(w, lambda n: emitted(n, extra)))
+                size += len(parts[-1][0])
+                if size >= block:
+                    yield from _block(parts, common)
+                    parts, size = [], 0
+        if size:
+            yield from _block(parts, common)
+
+    return run
 
 
 def _ordered(gram: np.ndarray, sid: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -144,24 +147,24 @@ def _groups(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(first), np.cumsum(first) - 1
 
 
-def _block(parts: list) -> Iterator[pa.RecordBatch]:
+def _block(parts: list, most: int) -> Iterator[pa.RecordBatch]:
     """Rows to deal: those of common n-grams only name their pivot, and one row with the group's weight goes to its fragment."""
     gram, sid, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     n = n.astype(np.int32)
     gram, sid, n = _ordered(gram, sid, n)
     starts, group = _groups(gram)
     sizes = np.diff(np.concatenate([starts, [len(gram)]]))
-    common = (sizes > COMMON)[group]
+    common = (sizes > most)[group]
     pivot = sid[starts][group]
     part = np.where(common, mix(sid.view(np.uint64)), gram).view(np.int64)
     weight = np.where(common, 0, 1)
-    tell = starts[sizes > COMMON]
+    tell = starts[sizes > most]
     columns = [
         np.concatenate([part, gram[tell].view(np.int64)]),
         np.concatenate([gram, gram[tell]]).view(np.int64),
         np.concatenate([sid, sid[tell]]),
         np.concatenate([n, n[tell]]),
-        np.concatenate([weight, sizes[sizes > COMMON]]).astype(np.int32),
+        np.concatenate([weight, sizes[sizes > most]]).astype(np.int32),
         np.concatenate([pivot, sid[tell]]),
     ]
     for i in range(0, len(columns[0]), 100_000):
@@ -198,8 +201,12 @@ class _Pairs:
         return self.parts[0]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(most: int):
     """Partial overlaps of all pairs in a fragment, and which sets have which common n-grams."""
+    return lambda batches: _counted(batches, most)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     got = [[c.to_numpy(zero_copy_only=False) for c in b.columns[1:]] for b in batches]
     if not got:
         return
@@ -211,14 +218,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gram, sid, weight, n = _ordered(gram[~passing], sid[~passing], weight[~passing], n[~passing])
     starts, group = _groups(gram)
     total = np.add.reduceat(weight, starts) if len(starts) else np.zeros(0, np.int64)
-    common = total > COMMON
+    common = total > most
     first = starts[group] if len(starts) else group
     is_common = common[group] if len(starts) else np.zeros(0, bool)
     pairs.add(sid[is_common], sid[first[is_common]], n[is_common], n[first[is_common]], True)
     own = is_common & (weight == 1)
     marks.append((sid[own], n[own], gram[own], sid[own]))
     rare_gram, rare_sid, rare_n = gram[~is_common], sid[~is_common], n[~is_common]
-    for d in range(1, COMMON):
+    for d in range(1, most):
         at = np.flatnonzero(rare_gram[d:] == rare_gram[:-d]) if len(rare_gram) > d else np.zeros(0, np.int64)
         if not len(at):
             break
@@ -298,8 +305,8 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame):
         self.rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
         self.members = settle(self.rows.mapInArrow(_members, MEMBERS))
-        dealt = docs.select("text").mapInArrow(_deal, DEALT).repartition("part")
-        counted = settle(dealt.mapInArrow(_count, COUNTED))
+        dealt = docs.select("text").mapInArrow(_deal(EXTRA, COMMON, BLOCK), DEALT).repartition("part")
+        counted = settle(dealt.mapInArrow(_count(COMMON), COUNTED))
         marks = counted.filter("gram is not null").select(F.col("a").alias("sid"), F.col("na").alias("n"), "gram", F.col("b").alias("pivot"))
         commons = marks.groupBy("sid", "gram").agg(F.first("n").alias("n"), F.min("pivot").alias("pivot"))
         self.marks = settle(commons, light=True)
