@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from plumbline.plans.housing import GEO_CODES
-from plumbline.session import file_states, shared_dir
+from plumbline.session import file_states, is_there, shared_dir
 
 WIDE_COLUMNS = (
     "DATA_SOURCE", "REPORTING_AGENCY", "LAST_UPDATED", "SURVEY_METHOD", "GEOGRAPHY_TYPE", "UOM", "SCALAR_FACTOR",
@@ -77,7 +77,7 @@ def housing(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     behind this one is done once per application and state of the files, and its result kept in the shared folder."""
     states = [file_states(spark, f"{sf_dir}/{name}.parquet") for name in ("orders", "customer")]
     key = (spark.sparkContext.applicationId, sf_dir, *states)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not is_there(spark, _WRITTEN[key][0]):
         text = housing_sql("{orders}", "{customer}", wide=True)
         joined = spark.sql(text, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
         path = f"{shared_dir(spark)}/housing-{uuid.uuid4().hex}"

@@ -52,6 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(sc._jsc.hadoopConfiguration()).exists(place)
+
+
 def file_states(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files of a table, by which a changed table is told from the same one."""
     sc = spark.sparkContext
