@@ -2,13 +2,16 @@
 
 Every word is cut by the vocabulary, with a space before it. Of each document: characters per token, the share of tokens
 that stand for single bytes, and the entropy of its tokens, against the most that so many tokens can have. Bands are drawn
-for each language, or script where the language is unknown, from all documents of it: quartiles, widened by a multiple of
-their distance, and at least by a given margin. A document outside a band is rejected, beside the base rules.
+for each language, or script where the language is unknown, and each class of length (half an octave of token counts):
+quartiles of the documents that pass the base rules, equal measures counting once, widened by a multiple of their distance,
+and at least by a given margin that grows as a text gets shorter. A document outside a band is rejected, beside the base rules.
+A class of fewer than `LEAST_IN_CLASS` documents takes the quartiles of the next shorter one that has enough, the shortest
+classes those of the next longer one; a language without any such class has one band, from all its documents.
 
 One pass over the texts; the quartiles come from its small result, combined before the shuffle.
 
-Defined cases: text NULL has no words. A document with fewer than `LEAST_TOKENS` tokens is not judged by the bands, nor
-is one without a band (no judged document of its language). Rows with the same id stay apart.
+Defined cases: text NULL has no words. A document with fewer than `LEAST_TOKENS` tokens, by default one with none, is not
+judged by the bands. Rows with the same id stay apart.
 """
 
 from __future__ import annotations
@@ -20,15 +23,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from plumbline.llm.common import settle
 from plumbline.llm.words import SPACES, mix, windows, words
 
 MODEL = "piece_bpe_32k.model"
-LEAST_TOKENS = 200
+LEAST_TOKENS = 1
 WIDTH = 5.0
-#: measure: (least margin below the first quartile, least margin above the third); None: no bound on that side
-BANDS = {"chars_per_token": (0.25, 1.0), "byte_share": (None, 0.05), "entropy_share": (0.3, None)}
+#: Documents from which a class of length has quartiles of its own; classes in all; the number of a whole language.
+LEAST_IN_CLASS, CLASSES, WHOLE = 40, 64, -1
+#: measure: (least margin below the first quartile, least margin above the third); None: no bound on that side. A margin has
+#: a part that holds at any length and one that is divided by the root of the token count, as a mean over tokens varies.
+BANDS = {"chars_per_token": ((0.25, 4.0), (1.0, 4.0)), "byte_share": (None, (0.05, 1.0)), "entropy_share": ((0.3, 0.0), None)}
 LEAST_WORDS, MOST_REPEATED = 20, 30
 SYMBOLS = b"#*$%&|<>"
 CACHED_WORDS = 300_000
@@ -168,30 +175,52 @@ def measure(path: str):
     return run
 
 
-def bands(measured: DataFrame, least_tokens: int = LEAST_TOKENS, width: float = WIDTH) -> DataFrame:
-    """Per language or script: the bounds of each measure, from all documents that have enough tokens."""
+def _base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
+
+
+def _length_class() -> Column:
+    return F.least(F.floor(F.log2(F.greatest("n_tokens", F.lit(1))) * 2), F.lit(CLASSES - 1)).cast("int")
+
+
+def bands(measured: DataFrame, least_tokens: int = LEAST_TOKENS) -> DataFrame:
+    """Per language or script and class of length: both quartiles of each measure, for every class."""
     judged = measured.filter(F.col("n_tokens") >= least_tokens)
-    quartiles = judged.groupBy("band").agg(*[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(m) for m in BANDS])
-    bounds = []
-    for m, (below, above) in BANDS.items():
-        gap = (F.col(m)[1] - F.col(m)[0]) * width
-        bounds.append((F.col(m)[0] - F.greatest(gap, F.lit(below)) if below is not None else F.lit(None).cast("double")).alias(f"{m}_low"))
-        bounds.append((F.col(m)[1] + F.greatest(gap, F.lit(above)) if above is not None else F.lit(None).cast("double")).alias(f"{m}_high"))
-    return quartiles.select(F.col("band").alias("of_band"), *bounds)
+    values = judged.select("band", _length_class().alias("own"), _base_failed().alias("failed"), *BANDS).distinct()
+    of = F.when(F.col("failed"), F.array(F.lit(WHOLE))).otherwise(F.array(F.lit(WHOLE), "own"))
+    quartiles = values.withColumn("at", F.explode(of)).groupBy(F.col("band").alias("of_band"), "at").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{m}_quartiles") for m in BANDS],
+    )
+    language = Window.partitionBy("of_band")
+    enough = quartiles.filter((F.col("n") >= LEAST_IN_CLASS) | (F.col("at") == WHOLE)).withColumn("last", F.max("at").over(language))
+    enough = enough.filter((F.col("at") != WHOLE) | (F.col("last") == WHOLE))
+    order = language.orderBy("at")
+    first = F.when(F.row_number().over(order) == 1, F.lit(0)).otherwise(F.col("at"))
+    end = F.coalesce(F.lead("at").over(order), F.lit(CLASSES))
+    ranges = enough.withColumns({"first": first, "end": end})
+    return ranges.select("of_band", F.explode(F.sequence("first", F.col("end") - 1)).alias("of_class"), *[f"{m}_quartiles" for m in BANDS])
 
 
 def quality_rules(docs: DataFrame, path: str | None = None, least_tokens: int = LEAST_TOKENS, width: float = WIDTH) -> DataFrame:
     """Per row of (doc_id, lang, text): the measures, base_failed, the band that it fails (NULL if none), and kept."""
     measured = settle(docs.select("doc_id", "lang", "text").mapInArrow(measure(path or vocabulary_path()), MEASURES))
-    limits = settle(bands(measured, least_tokens, width))  # a row for each language
-    joined = measured.join(limits, F.col("band") == F.col("of_band"), "left")
+    limits = settle(bands(measured, least_tokens))  # a row for each language and class of length
+    joined = measured.join(limits, (F.col("band") == F.col("of_band")) & (_length_class() == F.col("of_class")), "left")
 
     def outside(m: str) -> Column:
-        return F.coalesce(F.col(m) < F.col(f"{m}_low"), F.lit(False)) | F.coalesce(F.col(m) > F.col(f"{m}_high"), F.lit(False))
+        first, third = F.col(f"{m}_quartiles")[0], F.col(f"{m}_quartiles")[1]
+
+        def margin(part: tuple[float, float]) -> Column:
+            return F.greatest((third - first) * width, F.lit(part[0]) + F.lit(part[1]) / F.sqrt(F.greatest("n_tokens", F.lit(1))))
+
+        below, above = BANDS[m]
+        low = F.col(m) < first - margin(below) if below else F.lit(False)
+        high = F.col(m) > third + margin(above) if above else F.lit(False)
+        return F.coalesce(low | high, F.lit(False))
 
     fails = F.lit(None).cast("string")
     for m in BANDS:
         fails = F.when(outside(m) & (F.col("n_tokens") >= least_tokens), F.lit(m)).otherwise(fails)
-    base = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    out = joined.withColumns({"base_failed": base, "fails": fails})
+    out = joined.withColumns({"base_failed": _base_failed(), "fails": fails})
     return out.select(*measured.columns, "base_failed", "fails", (~F.col("base_failed") & F.col("fails").isNull()).alias("kept"))

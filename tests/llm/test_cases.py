@@ -161,6 +161,26 @@ def test_fertility(spark):
     assert all(got[i].kept == (not got[i].base_failed) for i in range(60))
 
 
+PROSE = (
+    "the of and to in that was he it his as with for had is not but at on she which from they her this have by one you all were so when what "
+    "there been would who more no if out up into them then some could time very your about little after only man two good made over now first "
+    "way day long great where before must through much house right old night world life hand again place under water year think old own down"
+).split()
+
+
+def prose(draw, n):
+    return " ".join(draw.choices(PROSE, [1 / (i + 3) for i in range(len(PROSE))], k=n))
+
+
+def test_fertility_judges_short_texts(spark):
+    draw = random.Random(11)
+    rows = [(i, "en", prose(draw, 30 + i % 90)) for i in range(300)] + [(500 + i, "en", prose(draw, 300 + i)) for i in range(300)]
+    rows += [(1000, "en", prose(draw, 25) + " " + " ".join("ⱿꙮⱿꙮ" for _ in range(6))), (1001, "en", " ".join(f"ꙮ{a}{b}" for a in "aeiou" for b in "aeiou"))]
+    got = {r.doc_id: r for r in fertility.quality_rules(frame(spark, rows, "doc_id long, lang string, text string")).collect()}
+    assert all(got[i].n_tokens < 200 and not got[i].base_failed and got[i].fails and not got[i].kept for i in (1000, 1001))
+    assert all(got[i].kept for i, *_ in rows[:600])
+
+
 def test_fertility_measures():
     vocab = fertility.vocabulary(fertility.vocabulary_path())
     text = "the cat ꙮ the"
