@@ -30,12 +30,16 @@ from plumbline.llm.words import SPACES, mix, windows, words
 
 MODEL = "piece_bpe_32k.model"
 LEAST_TOKENS = 1
-WIDTH = 5.0
+WIDTH = 2.0
 #: Documents from which a class of length has quartiles of its own; classes in all; the number of a whole language.
 LEAST_IN_CLASS, CLASSES, WHOLE = 40, 64, -1
 #: measure: (least margin below the first quartile, least margin above the third); None: no bound on that side. A margin has
 #: a part that holds at any length and one that is divided by the root of the token count, as a mean over tokens varies.
-BANDS = {"chars_per_token": ((0.25, 4.0), (1.0, 4.0)), "byte_share": (None, (0.05, 1.0)), "entropy_share": ((0.3, 0.0), None)}
+BANDS = {"chars_per_token": ((0.25, 4.0), (0.25, 4.0)), "byte_share": (None, (0.05, 1.0)), "entropy_bits": ((0.0, 8.0), None)}
+#: Entropy grows with the token count and its share of the most possible falls, so with both below their bounds, a text is
+#: poorer than those of its length wherever it lies in its class, also where the quartiles are those of a neighbouring class.
+ENTROPY = ("entropy_bits", "entropy_share")
+MEASURED = (*BANDS, "entropy_share")
 LEAST_WORDS, MOST_REPEATED = 20, 30
 SYMBOLS = b"#*$%&|<>"
 CACHED_WORDS = 300_000
@@ -183,14 +187,18 @@ def _length_class() -> Column:
     return F.least(F.floor(F.log2(F.greatest("n_tokens", F.lit(1))) * 2), F.lit(CLASSES - 1)).cast("int")
 
 
+def _log_tokens() -> Column:
+    return F.log2(F.greatest("n_tokens", F.lit(2)))
+
+
 def bands(measured: DataFrame, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """Per language or script and class of length: both quartiles of each measure, for every class."""
-    judged = measured.filter(F.col("n_tokens") >= least_tokens)
-    values = judged.select("band", _length_class().alias("own"), _base_failed().alias("failed"), *BANDS).distinct()
+    judged = measured.filter(F.col("n_tokens") >= least_tokens).withColumn("entropy_bits", F.col("entropy_share") * _log_tokens())
+    values = judged.select("band", _length_class().alias("own"), _base_failed().alias("failed"), *MEASURED).distinct()
     of = F.when(F.col("failed"), F.array(F.lit(WHOLE))).otherwise(F.array(F.lit(WHOLE), "own"))
     quartiles = values.withColumn("at", F.explode(of)).groupBy(F.col("band").alias("of_band"), "at").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{m}_quartiles") for m in BANDS],
+        *[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{m}_quartiles") for m in MEASURED],
     )
     language = Window.partitionBy("of_band")
     enough = quartiles.filter((F.col("n") >= LEAST_IN_CLASS) | (F.col("at") == WHOLE)).withColumn("last", F.max("at").over(language))
@@ -199,28 +207,31 @@ def bands(measured: DataFrame, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     first = F.when(F.row_number().over(order) == 1, F.lit(0)).otherwise(F.col("at"))
     end = F.coalesce(F.lead("at").over(order), F.lit(CLASSES))
     ranges = enough.withColumns({"first": first, "end": end})
-    return ranges.select("of_band", F.explode(F.sequence("first", F.col("end") - 1)).alias("of_class"), *[f"{m}_quartiles" for m in BANDS])
+    return ranges.select("of_band", F.explode(F.sequence("first", F.col("end") - 1)).alias("of_class"), *[f"{m}_quartiles" for m in MEASURED])
 
 
 def quality_rules(docs: DataFrame, path: str | None = None, least_tokens: int = LEAST_TOKENS, width: float = WIDTH) -> DataFrame:
     """Per row of (doc_id, lang, text): the measures, base_failed, the band that it fails (NULL if none), and kept."""
     measured = settle(docs.select("doc_id", "lang", "text").mapInArrow(measure(path or vocabulary_path()), MEASURES))
     limits = settle(bands(measured, least_tokens))  # a row for each language and class of length
-    joined = measured.join(limits, (F.col("band") == F.col("of_band")) & (_length_class() == F.col("of_class")), "left")
+    bits = measured.withColumn("entropy_bits", F.col("entropy_share") * _log_tokens())
+    joined = bits.join(limits, (F.col("band") == F.col("of_band")) & (_length_class() == F.col("of_class")), "left")
 
-    def outside(m: str) -> Column:
-        first, third = F.col(f"{m}_quartiles")[0], F.col(f"{m}_quartiles")[1]
-
-        def margin(part: tuple[float, float]) -> Column:
-            return F.greatest((third - first) * width, F.lit(part[0]) + F.lit(part[1]) / F.sqrt(F.greatest("n_tokens", F.lit(1))))
+    def margin(m: str, part: tuple[float, float]) -> Column:
+        least = F.lit(part[0]) + F.lit(part[1]) / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+        return F.greatest((F.col(f"{m}_quartiles")[1] - F.col(f"{m}_quartiles")[0]) * width, least / _log_tokens() if m == "entropy_share" else least)
 
+    def outside(m: str) -> Column:
         below, above = BANDS[m]
-        low = F.col(m) < first - margin(below) if below else F.lit(False)
-        high = F.col(m) > third + margin(above) if above else F.lit(False)
+        low, high = F.lit(below is not None), F.lit(False)
+        for x in (ENTROPY if m in ENTROPY else (m,)) if below else ():
+            low &= F.col(x) < F.col(f"{x}_quartiles")[0] - margin(x, below)
+        if above:
+            high = F.col(m) > F.col(f"{m}_quartiles")[1] + margin(m, above)
         return F.coalesce(low | high, F.lit(False))
 
     fails = F.lit(None).cast("string")
     for m in BANDS:
-        fails = F.when(outside(m) & (F.col("n_tokens") >= least_tokens), F.lit(m)).otherwise(fails)
+        fails = F.when(outside(m) & (F.col("n_tokens") >= least_tokens), F.lit("entropy_share" if m in ENTROPY else m)).otherwise(fails)
     out = joined.withColumns({"base_failed": _base_failed(), "fails": fails})
     return out.select(*measured.columns, "base_failed", "fails", (~F.col("base_failed") & F.col("fails").isNull()).alias("kept"))

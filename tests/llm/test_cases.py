@@ -181,6 +181,26 @@ def test_fertility_judges_short_texts(spark):
     assert all(got[i].kept for i, *_ in rows[:600])
 
 
+def test_fertility_bands_catch_poor_texts(spark):
+    """Each kind at several lengths, with the defaults: all fall out, and no prose of any length."""
+    draw = random.Random(12)
+    lengths = [40, 60, 90, 150, 300, 600, 1200]
+    rows = [(i, "en", prose(draw, lengths[i % 7] + i % 11)) for i in range(1050)]
+    few = ["alpha", "house", "water", "green", "seven"]
+    kinds = {
+        "marks": lambda n: " ".join(w + draw.choice(["***", "%%%", "$$$", "###", "&&&"]) for w in prose(draw, n).split()),
+        "few words": lambda n: " ".join(draw.choices(few, k=n)),
+        "letters": lambda n: " ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=8)) for _ in range(n)),
+        "bytes": lambda n: " ".join("".join(draw.choices("ⱿꙮⰀꚠꛀ", k=4)) for _ in range(n)),
+    }
+    poor = {2000 + 10 * k + j: (kind, n) for k, kind in enumerate(kinds) for j, n in enumerate([300, 600, 1200])}
+    rows += [(i, "en", kinds[kind](n)) for i, (kind, n) in poor.items()]
+    got = {r.doc_id: r for r in fertility.quality_rules(frame(spark, rows, "doc_id long, lang string, text string")).collect()}
+    assert [i for i in range(1050) if got[i].fails] == []
+    assert [poor[i] for i in poor if not got[i].fails] == []
+    assert {got[i].fails for i, (kind, _) in poor.items() if kind in ("marks", "few words")} == {"entropy_share"}
+
+
 def test_fertility_measures():
     vocab = fertility.vocabulary(fertility.vocabulary_path())
     text = "the cat ꙮ the"
