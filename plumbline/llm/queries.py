@@ -80,10 +80,10 @@ def op7_pairwise_ranking(spark, sf_dir):
 
 @query
 def op8_min_cost_resharding(spark, sf_dir):
-    """From ten shards by source, of uneven sizes, to eight of even sizes."""
+    """From ten shards by source, of uneven sizes, to eight of even sizes, the affected ones written and read back."""
     docs = table(spark, sf_dir, "documents")
     old = F.pmod(F.crc32(F.encode(F.coalesce("source", F.lit("")), "utf-8")), F.lit(10))
-    out = sharding.reshard(docs, old, 8)
+    out = sharding.rewritten(docs, old, 8)
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )

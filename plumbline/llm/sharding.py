@@ -14,11 +14,14 @@ block it receives.
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.llm.common import running_total, settle
+from plumbline.llm.common import _shuffles_removed, running_total, settle
+from plumbline.session import shared_dir
 
 SEED = "shard-1"
 
@@ -117,9 +120,33 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int, capacity: list[int]
 
 def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> list[int]:
     """Writes the shards that lose or receive rows, whole, as folders shard=N under `path`, and returns their numbers; the
-    others' files remain valid. `docs` joins `placed` by doc_id, which must be unique."""
+    others' files remain valid. `docs` joins `placed` by doc_id, which must be there and unique. The tasks of that join write,
+    so texts are shuffled once and a hot shard is spread over all tasks; each file is in the order of slots."""
     moved = placed.filter(F.col("old_shard") != F.col("shard")).select(F.explode(F.array("old_shard", "shard")).alias("shard"))
     affected = sorted(r[0] for r in moved.distinct().collect())
+    if affected and not placed.groupBy("doc_id").count().filter(F.col("doc_id").isNull() | (F.col("count") > 1)).isEmpty():
+        raise ValueError("rows are found again by doc_id, which is NULL or repeated")
     rows = placed.filter(F.col("shard").isin(affected)).select("doc_id", "shard", "slot")
-    docs.join(rows, "doc_id").repartition("shard", (F.col("slot") / 100_000).cast("int")).sortWithinPartitions("slot").write.partitionBy("shard").parquet(path)
+    dealt = docs.join(rows, "doc_id").sortWithinPartitions("shard", "slot")
+    with _shuffles_removed(docs.sparkSession):
+        dealt.write.partitionBy("shard").parquet(path)
     return affected
+
+
+def rewritten(docs: DataFrame, old_shard: Column, shards: int) -> DataFrame:
+    """As `reshard`, after the affected shards were written to the shared folder: their rows are those read back from there,
+    each column from what was read; the rows of the others are as placed."""
+    placed = settle(reshard(docs, old_shard, shards))
+    path = f"{shared_dir(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
+    affected = rewrite(docs, placed, path)
+    schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
+    data = F.encode(F.coalesce(F.col("text"), F.lit("")), "utf-8")
+    back = docs.sparkSession.read.schema(schema).parquet(path).select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(data).cast("long").alias("text_crc32"),
+        old_shard.cast("int").alias("old_shard"),
+        "shard",
+        "slot",
+    )
+    return back.unionByName(placed.filter(~F.col("shard").isin(affected)).select(*back.columns))

@@ -345,6 +345,24 @@ def test_reshard_and_rewrite(spark, tmp_path):
     assert sharding.reshard(df.limit(0), F.lit(0), 2).count() == 0
 
 
+def test_rewritten_shards_are_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "shared_dir", lambda _: str(tmp_path))
+    rows = [(i, "é" * (i % 20) + LONG * (i % 150 == 0), 0 if i % 10 else 1) for i in range(600)] + [(700, None, 2)]
+    df = frame(spark, rows, DOCS + ", slice int")
+    got = {r.doc_id: r for r in sharding.rewritten(df, F.col("slice"), 3).collect()}
+    placed = {r.doc_id: r for r in sharding.reshard(df, F.col("slice"), 3).collect()}
+    assert len(got) == len(rows) and all(got[i].asDict() == placed[i].asDict() for i in placed)
+    (folder,) = tmp_path.glob("shards-*")
+    stored = {(r.doc_id, r.text, r.shard, r.slot) for r in spark.read.parquet(str(folder)).collect()}
+    assert {(i, t, got[i].shard, got[i].slot) for i, t, _ in rows if (folder / f"shard={got[i].shard}").exists()} == stored and len(stored) > 100
+    for file in folder.glob("shard=*/*.parquet"):
+        slots = [r.slot for r in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert slots == sorted(slots)
+    with pytest.raises(ValueError, match="repeated"):
+        sharding.rewrite(df.union(df), sharding.reshard(df.union(df), F.col("slice"), 3), str(tmp_path / "twice"))
+    assert sharding.rewritten(df.limit(0), F.lit(0), 2).count() == 0
+
+
 def test_running_total(spark):
     rows = [(i % 2, i, i * 3 % 7) for i in range(100)] + [(None, 5, 2), (None, 6, 3)]
     df = frame(spark, rows, "g int, i long, before long")
