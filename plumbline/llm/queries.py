@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, jaccard, mixing, ranker, secrets, sharding, substrings, viterbi, warc
+from plumbline.llm import fertility, grace, jaccard, mixing, postings, ranker, secrets, sharding, substrings, viterbi, warc
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,11 @@ def op10_boundary_chain(spark, sf_dir):
 
 
 ORACLE["op10_boundary_chain"] = warc.round_trip_sql()
+
+
+@query
+def op13_positional_index(spark, sf_dir):
+    return postings.decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_positional_index"] = postings.decontaminated_sql()

@@ -48,6 +48,15 @@ def _spaces() -> np.ndarray:
     return table
 
 
+@cache
+def _marks() -> np.ndarray:
+    """Bytes between words of letters and digits: all of ASCII but 0-9 and a-z, to be asked for after lower-casing."""
+    table = np.zeros(256, bool)
+    for first, last in ((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)):
+        table[first : last + 1] = True
+    return table
+
+
 @cache
 def _lower() -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
@@ -103,8 +112,11 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
-def words(texts: pa.Array, lower: bool = False, chunk: int = CHUNK) -> Iterator[Words]:
-    """Words of a column, NULL counting as no text, some rows at a time: about `chunk` bytes, a longer text alone."""
+def words(texts: pa.Array, lower: bool = False, chunk: int = CHUNK, alphanumeric: bool = False) -> Iterator[Words]:
+    """Words of a column, NULL counting as no text, some rows at a time: about `chunk` bytes, a longer text alone.
+    `alphanumeric`: words are lower-cased runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F] instead."""
+    lower = lower or alphanumeric
+    between = _marks() if alphanumeric else _spaces()
     offsets, data = _buffers(texts)
     row = 0
     while row < len(texts):
@@ -112,7 +124,9 @@ def words(texts: pa.Array, lower: bool = False, chunk: int = CHUNK) -> Iterator[
         to = min(to, len(texts))
         own = offsets[row : to + 1] - offsets[row]
         part = data[offsets[row] : offsets[to]]
-        inside = ~_spaces()[part]
+        if lower:
+            part = _lower()[part]
+        inside = ~between[part]
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]
@@ -121,7 +135,7 @@ def words(texts: pa.Array, lower: bool = False, chunk: int = CHUNK) -> Iterator[
         ends[edges - 1] = inside[edges - 1]
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         doc = np.searchsorted(own, start, "right") - 1
-        yield Words(row, to - row, _lower()[part] if lower else part, own, start, end, doc)
+        yield Words(row, to - row, part, own, start, end, doc)
         row = to
 
 
