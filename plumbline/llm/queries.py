@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import fertility, grace, jaccard, mixing, postings, ranker, secrets, sharding, substrings, viterbi, warc
+from plumbline.llm import fertility, grace, jaccard, mixing, negatives, postings, ranker, secrets, sharding, substrings, viterbi, warc, whitening
 from plumbline.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,23 @@ def op10_boundary_chain(spark, sf_dir):
 ORACLE["op10_boundary_chain"] = warc.round_trip_sql()
 
 
+@query
+def op11_str_rtree(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op11_str_rtree"] = negatives.mined_sql()
+
+
+@query
+def op12_exact_whitening(spark, sf_dir):
+    """`deviation` is NULL where it does not fit a long (many rows); `deviation_exact` has it then too."""
+    out = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    exact = F.col("deviation").alias("deviation_exact")
+    return out.select("vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained", "identity_error", exact)
+
+
 @query
 def op13_positional_index(spark, sf_dir):
     return postings.decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
