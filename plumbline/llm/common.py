@@ -66,6 +66,17 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
+@contextlib.contextmanager
+def few_rows(spark: SparkSession, rows: int):
+    """Within, an action passes so many rows of a table to Python at a time: for rows of a megabyte and more."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 #: Tables without texts are written by so many times fewer tasks than there are shuffle partitions.
 LIGHTER = 16
 

@@ -23,18 +23,17 @@ their window (always so for negative scores), give no rows.
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import BATCH, settle
+from plumbline.llm.common import few_rows, settle
 from plumbline.llm.vectors import matrices
 
 SCALE, LARGEST = 256, 2.0**20
@@ -56,17 +55,6 @@ BLOCKS = "dim int, n int, ids binary, labels binary, packed binary, of binary, l
 HITS = "anchor_id long, tag long, id long, score long"
 
 
-@contextlib.contextmanager
-def _few_rows(spark: SparkSession, rows: int):
-    """Within, so many rows of a table go to Python at a time."""
-    before = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH, before)
-
-
 # --- rows
 
 
@@ -322,14 +310,13 @@ def _search(k: int, same: bool):
 
 def searched(slabs: DataFrame, parts: int, anchors: DataFrame, k: int, same: bool) -> DataFrame:
     """The k best rows for each question of `anchors` (vec_id, label, dim, packed, asked), ranked from 1."""
-    spark = slabs.sparkSession
     blocks = settle(anchors.select("vec_id", "label", "dim", "packed", "asked").mapInArrow(_blocks, BLOCKS))
     every = blocks.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "kind": F.lit(1)})
     held = slabs.withColumn("kind", F.lit(0)).unionByName(every, allowMissingColumns=True)
     own = slabs.select("dim", "part").distinct()  # groups that have slabs, at most `parts` per length of vectors
     held = held.join(F.broadcast(own), ["dim", "part"], "left_semi")
     dealt = held.repartition("dim", "part").sortWithinPartitions("dim", "part", "kind")
-    with _few_rows(spark, 8):
+    with few_rows(slabs.sparkSession, 8):
         hits = settle(dealt.mapInArrow(_search(k, same), HITS))
     best = Window.partitionBy("anchor_id", "tag").orderBy(F.desc("score"), "id")
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import settle
+from plumbline.llm.common import few_rows, settle
 from plumbline.llm.words import windows, words
 
 #: Words of a window, and of the run within which all its words make a proximity match.
@@ -297,7 +297,8 @@ def ask(index: DataFrame, items: DataFrame, n: int = WINDOW, span: int | None =
     found = None
     for block in range(blocks):
         own = asked.filter(F.pmod(F.xxhash64("item", "terms", "checks"), F.lit(blocks)) == block)
-        part = index.mapInArrow(_ask(_query(own.toArrow(), n), span), FOUND)
+        with few_rows(index.sparkSession, 8):  # segments
+            part = settle(index.mapInArrow(_ask(_query(own.toArrow(), n), span), FOUND))
         found = part if found is None else found.union(part)
     if blocks > 1:
         one = {c: F.first(c).alias(c) for c in ("doc_id", "n_words")}

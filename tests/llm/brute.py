@@ -154,3 +154,53 @@ def warc(rows):
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
         out.append((i, len(data), digest, "revisit" if again else "response", b if again else None))
     return out
+
+
+def negatives(rows, positives=5, negatives=10):
+    """Of (vec_id, vector, label) without repeated ids, labels as they count: the rows of op11."""
+    own = []
+    for i, v, label in rows:
+        if label is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            own.append((i, [math.floor(256 * x) for x in v], label))
+    out = []
+    for a, q, label in own:
+        if a is None or a % 100:
+            continue
+        scored = [(-sum(x * y for x, y in zip(q, w, strict=True)), i is None, i or 0, i, m) for i, w, m in own if i != a and len(w) == len(q)]
+        scored.sort(key=lambda r: r[:3])
+        for p, _, _, positive, _ in [r for r in scored if r[4] == label][:positives]:
+            good = [r for r in scored if r[4] != label and -30 * p <= -100 * r[0] <= -90 * p][:negatives]
+            out += [(a, positive, rank, r[3], -p, -r[0]) for rank, r in enumerate(good, 1)]
+    return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def leaks(docs, items, n=10, span=12):
+    """Of (doc_id, text) and (item_id, text): (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items)."""
+    asked = set()
+    for item, text in items:
+        own = TERM.findall((text or "").translate(LOWER))
+        size = min(n, len(own))
+        asked |= {(str(item) if item is not None else "", tuple(own[i : i + size])) for i in range(len(own) - size + 1) if own}
+    by_window = defaultdict(set)
+    for item, window in asked:
+        by_window[window].add(item)
+    sizes = {len(w) for w in by_window}
+    out = []
+    for i, text in docs:
+        own = TERM.findall((text or "").translate(LOWER))
+        hit, found, near = set(), set(), set()
+        for size in sizes:
+            for j in range(len(own) - size + 1):
+                if named := by_window.get(tuple(own[j : j + size])):
+                    hit |= set(range(j, j + size))
+                    found |= named
+        there = [set(own[j : j + span]) for j in range(len(own))]
+        for window, named in by_window.items():
+            if not named <= near and any(set(window) <= x for x in there):
+                near |= named
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(own), len(hit), len(found), digest, bool(hit), len(near)))
+    return out

@@ -19,7 +19,7 @@ from plumbline.llm.viterbi import SPACE, lattice
 
 from . import brute
 
-TABLES = "documents pages labels".split()
+TABLES = "documents pages labels embeddings benchmark".split()
 
 
 def key(row):
@@ -53,7 +53,7 @@ def test_sql(spark, sf_dir, sql, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(ORACLE) <= set(entry_point.oracle_sql())
 
