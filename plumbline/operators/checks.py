@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from plumbline.operators.lookup import HEAVY, Facts
 from plumbline.operators.rule import Check, GroupCheck, Scope
@@ -273,10 +274,28 @@ class Unique(GroupCheck):
             F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(copies, F.lit(0)).alias("failed")
         )
 
+    def tally_by(self, df: DataFrame, scope: Scope, slices: Sequence[str]) -> DataFrame:
+        keys = [F.col(f"_k{i}") for i in range(len(self.present(scope)))]
+        own = [self.key(k, scope).alias(f"_k{i}") for i, k in enumerate(self.present(scope))]
+        counts = df.select(*own, *_slices(slices)).groupBy(*keys, *_slices(slices)).agg(F.count(F.lit(1)).alias("_n"))
+        # a key has at most one row per slice here
+        copies = F.sum("_n").over(Window.partitionBy(*keys))
+        return _sums(counts.withColumn("_bad", copies > 1), slices)
+
     def fails(self, scope: Scope) -> Column:
         return F.col(f"`{self.flag}`").isNotNull()
 
 
+def _slices(slices: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{s}`") for s in slices]
+
+
+def _sums(counts: DataFrame, slices: Sequence[str]) -> DataFrame:
+    """Rows (slices, _n, _bad) as one row per slice: total, failed."""
+    failed = F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0))
+    return counts.groupBy(*_slices(slices)).agg(F.sum("_n").alias("total"), failed.alias("failed"))
+
+
 @dataclass(frozen=True)
 class InReference(GroupCheck):
     """Fails where the value is not found in `ref_column` of a reference table of any size."""
@@ -294,14 +313,15 @@ class InReference(GroupCheck):
     def flag(self) -> str:
         return f"_unknown__{self.column}"
 
-    def counts(self, df: DataFrame, scope: Scope) -> DataFrame:
+    def counts(self, df: DataFrame, scope: Scope, slices: Sequence[str] = ()) -> DataFrame:
         # Both sides are unique per key before they meet, so a hot value weighs no more than any other.
-        values = df.select(scope.col(self.column).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+        own = [F.col("_v"), *_slices(slices)]
+        values = df.select(scope.col(self.column).alias("_v"), *own[1:]).groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
         known = self.reference.select(F.col(self.ref_column).alias("_r")).distinct()
         missing = F.col("_r").isNull()
         if self.null_passes:
             missing = missing & F.col("_v").isNotNull()
-        return values.join(known, F.col("_v") == F.col("_r"), "left").select("_v", "_n", missing.alias("_missing"))
+        return values.join(known, F.col("_v") == F.col("_r"), "left").select(*own, "_n", missing.alias("_missing"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
         # Heavy values stay in the facts even when they are known, as attach() needs them to spread their rows. The total is
@@ -317,6 +337,9 @@ class InReference(GroupCheck):
             F.coalesce(F.sum(F.when(F.col("_missing"), F.col("_n"))), F.lit(0)).alias("failed"),
         )
 
+    def tally_by(self, df: DataFrame, scope: Scope, slices: Sequence[str]) -> DataFrame:
+        return _sums(self.counts(df, scope, slices).withColumn("_bad", F.col("_missing")), slices)
+
     def fails(self, scope: Scope) -> Column:
         return F.col(f"`{self.flag}`").isNotNull()
 
@@ -347,10 +370,10 @@ class MapsToTable(GroupCheck):
     def _wrong(self, scope: Scope) -> Column:
         return F.col("_e").isNotNull() & ~F.col("_v").eqNullSafe(F.col("_e"))
 
-    def _pairs(self, df: DataFrame, scope: Scope) -> DataFrame:
+    def _pairs(self, df: DataFrame, scope: Scope, slices: Sequence[str] = ()) -> DataFrame:
         """Each name and value that occur together, once, with the value expected and the number of rows."""
-        pairs = df.select(scope.col(self.source).alias("_s"), scope.col(self.target).alias("_v"))
-        pairs = pairs.groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        pairs = df.select(scope.col(self.source).alias("_s"), scope.col(self.target).alias("_v"), *_slices(slices))
+        pairs = pairs.groupBy("_s", "_v", *_slices(slices)).agg(F.count(F.lit(1)).alias("_n"))
         return pairs.join(self._named(), F.col("_s") == F.col("_k"), "left")
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
@@ -365,6 +388,9 @@ class MapsToTable(GroupCheck):
             F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(self._wrong(scope), F.col("_n"))), F.lit(0)).alias("failed")
         )
 
+    def tally_by(self, df: DataFrame, scope: Scope, slices: Sequence[str]) -> DataFrame:
+        return _sums(self._pairs(df, scope, slices).withColumn("_bad", self._wrong(scope)), slices)
+
     def fails(self, scope: Scope) -> Column:
         return F.col(f"`{self.flag}`").isNotNull()
 

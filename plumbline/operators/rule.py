@@ -71,6 +71,10 @@ class GroupCheck(Check):
         """One row: total, failed."""
         raise NotImplementedError
 
+    def tally_by(self, df: DataFrame, scope: Scope, slices: Sequence[str]) -> DataFrame:
+        """One row per slice: the slice columns, total, failed."""
+        raise NotImplementedError
+
 
 @dataclass(frozen=True)
 class Rule:

@@ -27,13 +27,13 @@ SCORECARD_COLUMNS = (
 FAILED = "_failed_rules"
 
 
-def finish_scorecard(counts: DataFrame, strict_pass: bool = False) -> DataFrame:
-    """Rule metadata, Total_Records and Records_Failed become the twelve scorecard columns."""
+def finish_scorecard(counts: DataFrame, strict_pass: bool = False, before: Sequence[str] = ()) -> DataFrame:
+    """Rule metadata, Total_Records and Records_Failed become the twelve scorecard columns, `before` put ahead of them."""
     total, failed = F.col("Total_Records"), F.col("Records_Failed")
     rated = counts.withColumn("Records_Passed", total - failed)
     rated = rated.withColumn("Pass_Rate_Pct", basis_points(F.col("Records_Passed"), total) / F.lit(100.0))
     rate = F.col("Pass_Rate_Pct")
-    return rated.withColumn("Status", status(rate, failed if strict_pass else None)).select(*SCORECARD_COLUMNS)
+    return rated.withColumn("Status", status(rate, failed if strict_pass else None)).select(*before, *SCORECARD_COLUMNS)
 
 
 def group_stats(df: DataFrame, scope: Scope, by: str, checks: Sequence[SigmaOutlier]) -> Facts:
@@ -155,6 +155,43 @@ class Run:
         counts = counts.withColumnsRenamed({"total": "Total_Records", "failed": "Records_Failed"})
         return finish_scorecard(counts.join(F.broadcast(self.rule_table), "Rule_ID"), self.strict_pass)
 
+    def scorecard_by(self, *slices: str, totals: bool = False) -> DataFrame:
+        """One row per slice and rule, all slices from the scans that one scorecard takes. Rules that look at several rows
+        (uniqueness, references, group statistics) judge them within the whole table, so the counts of the slices add up to
+        the table's. A NULL is a slice of its own. With `totals`, also rows for all values of the last slice columns, for those
+        of the last but one, and so on; `Slice_Level` tells how many slice columns a row is about."""
+        taken = {c.lower() for c in SCORECARD_COLUMNS} | {"slice_level", "total", "failed"}
+        clash = [s for s in slices if s.lower() in taken]
+        if clash or not slices:
+            raise ValueError(f"rename slice columns that the scorecard has itself: {', '.join(clash)}" if clash else "no slice columns")
+        own = [F.col(f"`{s}`") for s in slices]
+        parts = []
+        local = [r for r in self.rules if not isinstance(r.check, GroupCheck) or not self._runs(r)]
+        if local:
+            masks = [F.count_if(self.mask(r)).alias(f"_f{i}") for i, r in enumerate(local)]
+            counts = self.with_stats().groupBy(*own).agg(F.count(F.lit(1)).alias("total"), *masks)
+            pairs = ", ".join(f"'{r.rule_id}', _f{i}" for i, r in enumerate(local))
+            parts.append(counts.selectExpr(*[f"`{s}`" for s in slices], "total", f"stack({len(local)}, {pairs}) AS (Rule_ID, failed)"))
+        for rule in self.group_rules:
+            if self._runs(rule):
+                tally = rule.check.tally_by(self.df, self._scope(rule), slices)
+                parts.append(tally.select(*own, "total", F.lit(rule.rule_id).alias("Rule_ID"), "failed"))
+        counts = parts[0]
+        for part in parts[1:]:
+            counts = counts.unionByName(part)
+        sums = [F.sum("total").alias("Total_Records"), F.sum("failed").alias("Records_Failed")]
+        before = list(slices)
+        if totals:  # added up from the counts, which are few, not from the rows
+            sets = [[*own[:n], F.col("Rule_ID")] for n in range(len(own), -1, -1)]
+            level = F.lit(len(own))
+            for s in own:
+                level = level - F.grouping(s)
+            counts = counts.groupingSets(sets, *own, F.col("Rule_ID")).agg(*sums, level.cast("int").alias("Slice_Level"))
+            before.append("Slice_Level")
+        else:
+            counts = counts.withColumnsRenamed({"total": "Total_Records", "failed": "Records_Failed"})
+        return finish_scorecard(counts.join(F.broadcast(self.rule_table), "Rule_ID"), self.strict_pass, [f"`{b}`" for b in before])
+
     def _joined_ids(self) -> Column:
         # Built as text and split afterwards: unlike a filtered array, this stays in generated code with all the masks.
         return F.concat_ws(",", *[F.when(self.mask(r), F.lit(r.rule_id)) for r in self.rules])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
 
@@ -9,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import contract as contracts
-from plumbline.operators import governance, scorecards
+from plumbline.operators import governance, scorecards, statistics
+from plumbline.operators.checks import Unique
+from plumbline.operators.lookup import attach
 from plumbline.operators.remediate import remediate
+from plumbline.operators.rule import Scope
 from plumbline.operators.run import Run
 from plumbline.plans import governance_data as gov
 from plumbline.plans import housing as pack
@@ -19,8 +23,8 @@ from plumbline.plans.fixture import housing, table
 from plumbline.plans.housing_contract import contract
 from plumbline.plans.queries import AS_OF, DATASET, RUN_DATE, full_housing, housing_run, query
 from plumbline.session import shared_dir
-from plumbline.sources import outputs, tables
-from plumbline.streaming import monitor
+from plumbline.sources import commits, outputs, tables
+from plumbline.streaming import keys, monitor
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -78,11 +82,16 @@ def steward_load_from_file(spark, sf_dir):
     return governance.steward_load(housing_run(spark, sf_dir).scorecard(), tables.read_reference(spark, path))
 
 
-def _run_outputs(df: DataFrame, run: Run, path: str) -> None:
+TABLES = (outputs.REMEDIATED, outputs.EXCEPTIONS, outputs.SCORECARD, outputs.SUMMARY, outputs.BY_DIMENSION)
+
+
+def _summary(scorecard: DataFrame) -> DataFrame:
+    return scorecards.summary(scorecard, DATASET, RUN_DATE)
+
+
+def _run_outputs(df: DataFrame, run: Run, path: str, summary=_summary) -> None:
     fixed = remediate(df, pack.rules(), pack.REMEDIATION, RUN_DATE, as_of=AS_OF)
-    outputs.write_outputs(
-        path, fixed, run.exceptions(), run.scorecard(), lambda s: scorecards.summary(s, DATASET, RUN_DATE), scorecards.by_dimension
-    )
+    outputs.write_outputs(path, fixed, run.exceptions(), run.scorecard(), summary, scorecards.by_dimension)
 
 
 def _written(name: str) -> None:
@@ -96,7 +105,7 @@ def _written(name: str) -> None:
     query(fn)
 
 
-for _name in (outputs.REMEDIATED, outputs.EXCEPTIONS, outputs.SCORECARD, outputs.SUMMARY, outputs.BY_DIMENSION):
+for _name in TABLES:
     _written(_name)
 
 
@@ -114,17 +123,123 @@ def outputs_rerun(spark, sf_dir):
     return score.select("Rule_ID", "Total_Records", "Records_Failed", F.lit(n).cast("long").alias("Exceptions_Left"))
 
 
+@query
+def outputs_committed(spark, sf_dir):
+    """A run that is committed, then one over fewer rows that breaks off after its second table: what readers see."""
+    path = _folder(spark, "committed")
+    df = housing(spark, sf_dir)
+
+    def broken(scorecard: DataFrame) -> DataFrame:
+        raise InterruptedError("the run breaks off")
+
+    commits.commit_tables(spark, path, lambda folder: _run_outputs(df, housing_run(spark, sf_dir), folder), TABLES, "whole")
+    fewer = df.filter("HOUSING_STARTS >= 0")
+    run = Run(fewer, pack.rules(), as_of=AS_OF, run_ts="t")
+    with contextlib.suppress(InterruptedError):
+        commits.commit_tables(spark, path, lambda folder: _run_outputs(fewer, run, folder, broken), TABLES, "broken")
+    seen = commits.committed(spark, path)
+    listed = commits.read_committed(spark, path, outputs.EXCEPTIONS, seen).groupBy("_rule_id").agg(F.count(F.lit(1)).alias("Listed"))
+    score = commits.read_committed(spark, path, outputs.SCORECARD, seen).select("Rule_ID", "Total_Records", "Records_Failed")
+    rows = commits.read_committed(spark, path, outputs.REMEDIATED, seen).count()
+    score = score.join(listed, F.col("Rule_ID") == F.col("_rule_id"), "left").drop("_rule_id")
+    return score.select("*", F.lit(rows).cast("long").alias("Remediated"), F.lit(seen["note"]).alias("Run")).fillna(0, ["Listed"])
+
+
 @query
 def score_history(spark, sf_dir):
-    """The pass rate of the order rules for every year of orders, and its change."""
+    """The pass rate of the order rules for every year of orders, from one scan, and its change."""
     path = _folder(spark, "history")
-    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    for year in sorted(r[0] for r in orders.select("year").distinct().collect()):
-        monitor.append_history(Run(orders.filter(F.col("year") == year), packs.order_rules()).scorecard(), f"{year}-12-31", path)
+    years = table(spark, sf_dir, "orders").withColumn("run_date", F.concat(F.year("o_orderdate").cast("string"), F.lit("-12-31")))
+    monitor.append_histories(Run(years, packs.order_rules()).scorecard_by("run_date"), path)
     history = spark.read.option("basePath", path).parquet(path).withColumn("run_date", F.col("run_date").cast("string"))
     return monitor.rate_changes(history)
 
 
+def _in_batches(spark: SparkSession, rows: DataFrame, name: str, spread: str, files: int = 6, per_batch: int = 2) -> DataFrame:
+    """The rows as a stream of files, several batches of them."""
+    path = _folder(spark, name)
+    rows.repartition(files, spread).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+
+
+@query
+def stream_uniqueness(spark, sf_dir):
+    """lineitem streamed in three batches and scored by its whole pack: the keys of the grain rule are counted over all
+    batches, references are looked up in each."""
+    path = _folder(spark, "stream-keys")
+    lines = packs.lineitem(spark, sf_dir)
+    rules = packs.lineitem_rules(spark, sf_dir)
+    stream = _in_batches(spark, lines, "lineitem-files", "l_partkey")  # lines of one order lie in several files
+    counting = keys.count_keys(stream, rules, path, availableNow=True)
+    others = [r for r in rules if not isinstance(r.check, Unique)]
+    stats = monitor.snapshot(lines, rules)
+    scoring = monitor.score_stream(stream, others, path, as_of="2001-06", stats=stats, with_exceptions=False, availableNow=True)
+    for started in [*counting, scoring]:
+        started.awaitTermination()
+    return monitor.scorecard_so_far(spark, path, rules)
+
+
+@query
+def stream_copies(spark, sf_dir):
+    """The lines that repeat an order and line number, listed from the keys that a stream has counted."""
+    path = _folder(spark, "stream-copies")
+    lines = packs.lineitem(spark, sf_dir)
+    rule = next(r for r in packs.lineitem_rules(spark, sf_dir) if r.rule_id == "LI-007")
+    for started in keys.count_keys(_in_batches(spark, lines, "lineitem-files", "l_suppkey"), [rule], path, availableNow=True):
+        started.awaitTermination()
+    found = attach(lines, keys.facts(spark, path, rule, Scope(lines.schema))).filter(rule.check.fails(Scope(lines.schema)))
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col(rule.check.flag).alias("duplicate_count"))
+
+
+@query
+def stream_statistics(spark, sf_dir):
+    """events streamed in three batches; the statistics that the stream has learned, which its last batch was scored by."""
+    path = _folder(spark, "stream-statistics")
+    stream = _in_batches(spark, table(spark, sf_dir, "events"), "event-files", "event_id")
+    monitor.score_stream(stream, packs.event_rules(), path, with_exceptions=False, learn=True, availableNow=True).awaitTermination()
+    found = monitor.statistics_so_far(spark, path, "event_type")
+    rounded = [F.round(c, 4).alias(c) for c in ("mean", "stddev")]
+    return found.select("event_type", F.col("column").alias("measure"), "records", "missing", *rounded, "low", "high")
+
+
+@query
+def statistics_by_month(spark, sf_dir):
+    """The statistics of orders, kept month by month and merged by priority; whether the estimates hold what they promise."""
+    path = _folder(spark, "order-statistics")
+    orders = table(spark, sf_dir, "orders").withColumns({"part": F.date_format("o_orderdate", "yyyy-MM"), "customer": F.col("o_custkey").cast("double")})
+    by, measured = ["o_orderpriority"], ["o_totalprice", "customer"]
+    states = statistics.state(orders, ["part", *by], measured)
+    states.repartition("part").write.partitionBy("part").parquet(path)
+    found = statistics.describe(statistics.stored(spark, path), by)
+    exact = orders.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("double").alias("value")) for c in measured])))
+    truth = found.select(F.col("o_orderpriority").alias("p"), F.col("column").alias("of"), "q25", "q50", "q75")
+    on = [F.col("o_orderpriority").eqNullSafe(F.col("p")), exact["of"] == truth["of"]]
+    ranks = exact.join(F.broadcast(truth), on).groupBy("o_orderpriority", exact["of"]).agg(
+        F.count_distinct("value").alias("distinct_values"), F.count("value").alias("n"), *[F.count_if(F.col("value") <= F.col(q)).alias(f"r{q}") for q in ("q25", "q50", "q75")]
+    )  # as many groups as there are priorities and measures
+    ranks = ranks.withColumnsRenamed({"o_orderpriority": "p", "of": "c"})
+    joined = found.join(ranks, [F.col("o_orderpriority").eqNullSafe(F.col("p")), F.col("column") == F.col("c")])
+    within = F.lit(True)
+    for q, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        within = within & (F.abs(F.col(f"r{q}") / F.col("n") - share) <= F.lit(0.03) + F.lit(1) / F.col("n"))
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= F.ceil(F.col("distinct_values") * 0.05)
+    numbers = [F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev")]
+    return joined.select(*by, F.col("column").alias("measure"), "records", "missing", *numbers, "low", "high", within.alias("quartiles_hold"), near.alias("distinct_holds"))
+
+
+@query
+def scorecard_by_slice(spark, sf_dir):
+    """The lineitem pack by return flag and line status, with totals by flag and over all lines."""
+    run = Run(packs.lineitem(spark, sf_dir), packs.lineitem_rules(spark, sf_dir), as_of="2001-06")
+    return run.scorecard_by("l_returnflag", "l_linestatus", totals=True)
+
+
+@query
+def scorecard_by_area(spark, sf_dir):
+    """The housing pack by area code, a missing code being a slice of its own."""
+    return housing_run(spark, sf_dir).scorecard_by("GEO_CODE")
+
+
 @query
 def contract_many_invalid(spark, sf_dir):
     """A domain that nearly all values miss: the check counts them, however many there are."""

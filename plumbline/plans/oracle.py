@@ -455,7 +455,39 @@ def top(source: str, column: str, tail: str = "LIMIT 10") -> str:
     )
 
 
+def scored_by(rules, source: str, slices, totals: bool = False) -> str:
+    """A scorecard per slice, in one query."""
+    cols = ", ".join(slices)
+    level = f", CAST({len(slices)} - " + " - ".join(f"GROUPING({s})" for s in slices) + " AS INTEGER) AS Slice_Level" if totals else ""
+    counts = union(
+        f"SELECT {cols}{level}, {q(r.rule_id)} AS Rule_ID, {q(r.name)} AS Rule_Name, {q(r.dimension)} AS DQ_Dimension, {q(r.cde)} AS CDE_Affected, "
+        f"{q(r.description)} AS Description, {q(r.severity)} AS Severity, count(*) AS t, count(*) FILTER (WHERE {flag(r.rule_id)}) AS f, "
+        f"{q(r.remediation)} AS Remediation_Action FROM {source} GROUP BY {f'ROLLUP ({cols})' if totals else cols}"
+        for r in rules
+    )
+    rate = pct("(t - f)", "t")
+    return f"""SELECT {cols}{", Slice_Level" if totals else ""}, Rule_ID, Rule_Name, DQ_Dimension, CDE_Affected, Description, Severity, t AS Total_Records,
+      t - f AS Records_Passed, f AS Records_Failed, {rate} AS Pass_Rate_Pct,
+      CASE WHEN {rate} = 100 THEN 'PASS' WHEN {rate} >= 95 THEN 'WARN' ELSE 'FAIL' END AS Status, Remediation_Action FROM ({counts})"""
+
+
+def statistics_sql(source: str, by: str, columns: dict[str, str], places: int, extra: str = "") -> str:
+    return union(
+        f"SELECT {by}, {q(name)} AS measure, count(*) AS records, count(*) - count({c}) AS missing, round(avg({c}), {places}) AS mean, "
+        f"round(stddev_samp({c}), {places}) AS stddev, min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high{extra} FROM {source} GROUP BY {by}"
+        for name, c in columns.items()
+    )
+
+
 ORACLE: dict[str, str] = {
+    "outputs_committed": f"WITH {SCORE} SELECT Rule_ID, Total_Records, Records_Failed, Records_Failed AS Listed, Total_Records AS Remediated, 'whole' AS Run FROM sc",
+    "stream_copies": f"WITH {LINE_FLAGS} SELECT {', '.join(LINE_ID)}, copies AS duplicate_count FROM lf WHERE f007",
+    "stream_statistics": statistics_sql("events", "event_type", {"value": "value"}, 4),
+    "statistics_by_month": statistics_sql(
+        "orders", "o_orderpriority", {"o_totalprice": "o_totalprice", "customer": "o_custkey"}, 2, ", true AS quartiles_hold, true AS distinct_holds"
+    ),
+    "scorecard_by_slice": f"WITH {LINE_FLAGS} {scored_by(LINE_RULES, 'lf', ['l_returnflag', 'l_linestatus'], totals=True)}",
+    "scorecard_by_area": f"WITH {FLAGS} {scored_by(RULES, 'flags', ['GEO_CODE'])}",
     "rule_scorecard": f"WITH {SCORE} {SCORECARD.format('sc')}",
     "strict_scorecard": strict(),
     "lineitem_scorecard": f"WITH {LINE_FLAGS}, {scored(LINE_RULES, 'lf')} {SCORECARD.format('sc')}",
@@ -662,6 +694,7 @@ ORACLE: dict[str, str] = {
 }
 
 for _name, _same in (
+    ("stream_uniqueness", "lineitem_scorecard"),
     ("contract_from_file", "contract_checks"),
     ("steward_load_from_file", "steward_load"),
     ("outputs_remediated", "remediated"),

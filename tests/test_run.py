@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from plumbline.operators import checks as c
 from plumbline.operators.run import SCORECARD_COLUMNS, Run
 from plumbline.plans import housing as pack
-from plumbline.plans.fixture import housing
+from plumbline.plans import packs
+from plumbline.plans.fixture import housing, table
 
 AS_OF = "2026-12"
 EXPECTED = [29, 40, 22, 16, 1, 5, 3, 3, 10, 139, 7, 2, 11, 18, 9]
@@ -169,3 +170,33 @@ def test_any_table_against_brute_force(spark, rows):
     failed = {r["Rule_ID"]: r["Records_Failed"] for r in run.scorecard().collect()}
     assert failed == {r.rule_id: sum(r.rule_id in x for x in expected) for r in pack.rules()}
     assert run.unique_failed().first()["failed_records"] == sum(bool(x) for x in expected)
+
+
+def test_scorecards_of_slices_add_up(spark, sf_dir):
+    lines = packs.lineitem(spark, sf_dir).withColumn("flag", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))
+    run = Run(lines, packs.lineitem_rules(spark, sf_dir), as_of="2001-06")
+    whole = by(run.scorecard(), "Rule_ID")
+    rows = run.scorecard_by("flag", "l_linestatus", totals=True).collect()
+    for level in (0, 1, 2):
+        for rule_id, total in whole.items():
+            own = [r for r in rows if r["Slice_Level"] == level and r["Rule_ID"] == rule_id]
+            assert sum(r["Records_Failed"] for r in own) == total["Records_Failed"]
+            assert sum(r["Total_Records"] for r in own) == total["Total_Records"]
+    assert len({r["flag"] for r in rows if r["Slice_Level"] == 1}) == 3  # NULL is a slice
+    top = [r.asDict() for r in rows if r["Slice_Level"] == 0]
+    assert {r["Rule_ID"]: {k: v for k, v in r.items() if k in total} for r in top} == whole
+
+
+def test_slices_are_read_in_one_scan(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    plan = Run(orders, packs.order_rules()).scorecard_by("year")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    with pytest.raises(ValueError, match="rename"):
+        Run(orders.withColumnRenamed("year", "status"), packs.order_rules()).scorecard_by("status")
+
+
+def test_a_lenient_run_by_slices(spark):
+    df = housing_rows(spark, {"HOUSING_STARTS": -1.0}, {"GEO_CODE": "QC"}, {})
+    rules = [one(c.non_negative("HOUSING_STARTS")), one(c.unique("GEO_CODE", "NOT_THERE"), "X-002"), one(c.max_value("ABSENT", 3), "X-003")]
+    rows = {(r["GEO_CODE"], r["Rule_ID"]): r["Records_Failed"] for r in Run(df, rules, lenient=True).scorecard_by("GEO_CODE").collect()}
+    assert rows == {("ON", "X-001"): 1, ("QC", "X-001"): 0, ("ON", "X-002"): 2, ("QC", "X-002"): 0, ("ON", "X-003"): 0, ("QC", "X-003"): 0}

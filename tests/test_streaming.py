@@ -1,10 +1,13 @@
+from pathlib import Path
+
 import pytest
 from helpers import by
+from pyspark.sql import functions as F
 
 from plumbline.operators.run import Run
 from plumbline.plans import packs
 from plumbline.plans.queries import QUERIES
-from plumbline.streaming import monitor
+from plumbline.streaming import keys, monitor
 
 
 @pytest.fixture()
@@ -61,3 +64,57 @@ def test_the_query_streams_a_folder_of_files(spark, sf_dir, tmp_path):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(6).write.parquet(str(tmp_path / f"{name}.parquet"))
     one, many = (by(QUERIES["stream_scorecard"](spark, d), "Rule_ID") for d in (sf_dir, str(tmp_path)))
     assert one == many and len(one) == 10
+
+
+def count(spark, rule, source, path, lines):
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    for started in keys.count_keys(stream, [rule], path, availableNow=True):
+        started.awaitTermination()
+
+
+def test_keys_are_counted_over_batches_and_again(spark, sf_dir, tmp_path):
+    lines = packs.lineitem(spark, sf_dir)
+    lines = lines.withColumn("l_linenumber", F.when(F.col("l_linenumber") != 2, F.col("l_linenumber")))  # NULL is a key like any other
+    rule = next(r for r in packs.lineitem_rules(spark, sf_dir) if r.rule_id == "LI-007")
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    lines.repartition(3, "l_partkey").write.parquet(source)
+    assert keys.tally(spark, path, rule) is None and keys.copies(spark, path, rule) is None
+    count(spark, rule, source, path, lines)
+    whole = Run(lines, [rule])
+    wanted = (lines.count(), whole.failing_rows("LI-007").count())
+    assert tuple(keys.tally(spark, path, rule).first()) == wanted
+    # the last batch again, as after a failure between its log and its commit
+    commits = Path(path) / keys.KEYS / "LI-007" / "stream" / "commits"
+    last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+    assert last == 2
+    (commits / str(last)).unlink()
+    (commits / f".{last}.crc").unlink(missing_ok=True)
+    count(spark, rule, source, path, lines)
+    assert tuple(keys.tally(spark, path, rule).first()) == wanted
+    assert sum(r["newly_failed"] for r in keys.failed_by_batch(spark, path, rule).collect()) == wanted[1]
+    found = {tuple(r)[:2]: r["_n"] for r in keys.copies(spark, path, rule).collect()}
+    assert found == {(r["l_orderkey"], r["l_linenumber"]): r["duplicate_count"] for r in whole.duplicate_groups("LI-007").collect()}
+    # new files are counted on top of what is there
+    lines.limit(10).coalesce(1).write.mode("append").parquet(source)
+    count(spark, rule, source, path, lines)
+    assert keys.tally(spark, path, rule).first()["total"] == wanted[0] + 10
+
+
+def test_learned_statistics(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    events.repartition(3, "event_id").write.parquet(source)
+    rules = packs.event_rules()
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    monitor.score_stream(stream, rules, path, learn=True, availableNow=True).awaitTermination()
+    # the last batch was scored by the statistics of all rows
+    files = [r[0] for r in stream_files(spark, source)]
+    last = Run(spark.read.parquet(files[-1]), rules, stats=monitor.snapshot(events, rules))
+    got = spark.read.parquet(f"{path}/scorecard/batch_id=2")
+    assert by(got, "Rule_ID") == by(last.scorecard(), "Rule_ID")
+
+
+def stream_files(spark, source):
+    """Files in the order in which a stream reads them: by time, then name."""
+    files = sorted(Path(source).glob("part-*.parquet"), key=lambda f: (f.stat().st_mtime_ns // 10**6, str(f)))
+    return [(str(f),) for f in files]
