@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import hashlib
 import random
 from itertools import product
 
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plumbline.llm import fertility, grace, jaccard, mixing, ranker, secrets, sharding, substrings, viterbi, warc
-from plumbline.llm.common import prepared, running_total
+from plumbline.llm.common import prepared, running_total, settle
 from plumbline.llm.components import components
 from plumbline.llm.words import CHUNK, windows, words
 
@@ -315,6 +316,69 @@ def test_ranking_learns_only_from_rows_in_the_fold(spark):
 # --- 8
 
 
+def test_fewest_moves_cost_what_the_whole_matrix_costs():
+    draw = random.Random(7)
+    for _ in range(60):
+        old = draw.sample(range(-1, 7), draw.randrange(1, 6))
+        supply = {s: draw.randrange(9) for s in old}
+        m = draw.randrange(1, 6)
+        capacity = [sum(supply.values()) // m + 1 + draw.randrange(3) for _ in range(m)]
+        flow = sharding.fewest_moves(supply, capacity)
+        order = sorted(supply)
+        whole = sharding.min_cost_flow([supply[s] for s in order], capacity, [[int(s != j) for j in range(m)] for s in order])
+        assert sum(x for (i, j), x in flow.items() if i != j) == sum(whole[k][j] for k, s in enumerate(order) for j in range(m) if s != j)
+        assert all(sum(x for (i, _), x in flow.items() if i == s) == supply[s] for s in supply)
+        assert all(sum(x for (_, j), x in flow.items() if j == t) <= capacity[t] for t in range(m))
+
+
+def brute_shards(rows, old_of, shards):
+    """Shard and slot of rows (doc_id, text), one row at a time, from the old shards' orders."""
+    def digest(i, t):
+        ident = "" if i is None else str(i)
+        return hashlib.md5(f"{-1 if i is None else len(ident)}:{ident}:{'0' if t is None else '1' + t}".encode()).hexdigest()
+
+    def place(key):
+        return hashlib.md5(f"{sharding.SEED}:{key}".encode()).hexdigest()
+
+    own = [(digest(i, t), len((t or "").encode()) + 1, old_of(i, t), i) for i, t in rows]
+    sizes = {}
+    for _, size, old, _ in own:
+        sizes[old] = sizes.get(old, 0) + size
+    cuts = sharding.transfers(sizes, shards)
+    by_shard = {}
+    for old in sizes:
+        before = 0
+        for key, size, _, i in sorted((r for r in own if r[2] == old), key=lambda r: (place(r[0]), r[0])):
+            middle = 2 * before + size
+            shard = next(j for o, j, b, e in cuts if o == old and 2 * b <= middle < 2 * e)
+            by_shard.setdefault(shard, []).append((place(key), key, size, old, i))
+            before += size
+    return [(i, size, old, s, slot) for s, rows in by_shard.items() for slot, (_, _, size, old, i) in enumerate(sorted(rows, key=lambda r: r[:2]))]
+
+
+def test_resharding_of_odd_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "shared_dir", lambda _: str(tmp_path))
+    rows = odd_rows() + [(None, "one two")] * 3 + [(3, " \n\t")] * 40 + [(20 + i, "ab" * i) for i in range(50)]
+    old = F.when(~F.col("doc_id").eqNullSafe(7), F.pmod(F.coalesce(F.col("doc_id"), F.lit(2)), F.lit(4)))  # NULL for ids of 7
+    df = frame(spark, rows).withColumns({"shard": F.lit("x"), "Slot": F.lit(5), "old_shard": F.lit(9), "size": F.lit(0), "key": F.lit("k"), "copy": F.lit(0)})
+    got = sharding.rewritten(df, old, 3)
+    assert got.columns == ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot"]
+    wanted = brute_shards(rows, lambda i, t: -1 if i == 7 else (2 if i is None else i) % 4, 3)
+    assert same(got.select("doc_id", "size", "old_shard", "shard", "slot").collect(), wanted)
+    (folder,) = tmp_path.glob("shards-*")
+    stored = spark.read.parquet(str(folder))
+    assert {"shard", "Slot", "_slot", "_shard"} <= set(stored.columns)  # the table's own columns are there too
+    assert same(stored.select("doc_id", "text").collect(), rows)  # all shards were affected
+
+
+def test_resharding_keeps_what_repeated_ids_carry(spark, tmp_path):
+    rows = [(1, "same", f"extra {i}") for i in range(30)] + [(2, f"text {i}", "x") for i in range(30)]
+    df = frame(spark, rows, DOCS + ", note string")
+    placed = settle(sharding.reshard(df, F.lit(0), 2))
+    assert sharding.rewrite(df, placed, str(tmp_path / "out")) == [0, 1]
+    assert same(spark.read.parquet(str(tmp_path / "out")).select("doc_id", "text", "note").collect(), rows)
+
+
 def test_flow_is_cheapest():
     draw = random.Random(4)
     for _ in range(30):
@@ -350,7 +414,7 @@ def test_rewritten_shards_are_read_back(spark, tmp_path, monkeypatch):
     rows = [(i, "é" * (i % 20) + LONG * (i % 150 == 0), 0 if i % 10 else 1) for i in range(600)] + [(700, None, 2)]
     df = frame(spark, rows, DOCS + ", slice int")
     got = {r.doc_id: r for r in sharding.rewritten(df, F.col("slice"), 3).collect()}
-    placed = {r.doc_id: r for r in sharding.reshard(df, F.col("slice"), 3).collect()}
+    placed = {r.doc_id: r for r in sharding.reshard(df, F.col("slice"), 3).drop("key").collect()}
     assert len(got) == len(rows) and all(got[i].asDict() == placed[i].asDict() for i in placed)
     (folder,) = tmp_path.glob("shards-*")
     stored = {(r.doc_id, r.text, r.shard, r.slot) for r in spark.read.parquet(str(folder)).collect()}
@@ -358,8 +422,6 @@ def test_rewritten_shards_are_read_back(spark, tmp_path, monkeypatch):
     for file in folder.glob("shard=*/*.parquet"):
         slots = [r.slot for r in spark.read.parquet(str(file)).coalesce(1).collect()]
         assert slots == sorted(slots)
-    with pytest.raises(ValueError, match="repeated"):
-        sharding.rewrite(df.union(df), sharding.reshard(df.union(df), F.col("slice"), 3), str(tmp_path / "twice"))
     assert sharding.rewritten(df.limit(0), F.lit(0), 2).count() == 0
 
 
