@@ -92,7 +92,16 @@ def settle(df: DataFrame, light: bool = False) -> DataFrame:
     kept = df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if f.dataType == T.NullType()})
     with _shuffles_removed(spark):
         kept.write.parquet(path)
-    return spark.read.schema(kept.schema).parquet(path)
+    written = spark.read.schema(kept.schema).parquet(path)
+    written.settled_at = path
+    return written
+
+
+def forget(settled: DataFrame) -> None:
+    """Deletes the files of a settled table that nothing will read again."""
+    sc = settled.sparkSession.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(settled.settled_at)
+    place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def digest64(*columns: Column | str) -> Column:

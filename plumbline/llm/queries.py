@@ -57,9 +57,8 @@ ORACLE["op4_grace_hash"] = grace.EXACT_SQL
 
 @query
 def op5_level_doubling(spark, sf_dir):
-    """Longer windows than the least remove no further word, so the levels end there."""
-    docs = table(spark, sf_dir, "documents")
-    return substrings.without_repeats(docs, longest=substrings.MIN_WORDS).drop("longest", "kept_text")
+    """All levels, until no window repeats; `longest` is the length of the longest one that a smaller document has too."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 ORACLE["op5_level_doubling"] = substrings.repeats_sql()

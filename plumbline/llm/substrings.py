@@ -12,9 +12,11 @@ Asking means: hashes go to the task that their value names and come back if anot
 their own documents first: of a window that many of them share only the smallest document asks, so a passage that a
 third of all documents hold arrives once per task and block of rows. Positions come back in arrays per document.
 
-A window is removed from a document if it also starts in one with a smaller id. Defined cases: text NULL has no words. An
-id of NULL is the largest. Rows with the same id do not remove each other's words; those with the same id and text are
-treated alike. Windows are told apart by 64-bit hashes, those of the least length and above within their anchor's hash.
+A window is removed from a document if it also starts in one with a smaller id. What is longer than the least length removes
+no further word; the levels tell how long a passage is shared. Defined cases: text NULL has no words. An id of NULL is the
+largest. Rows with the same id do not remove each other's words; those with the same id and text are treated alike. Windows
+are told apart by 96 bits, a hash of 64 and a check of 32 that follows from other hashes of their words. Anchors, which only
+say where to look, are asked for by 64 bits.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import settle
+from plumbline.llm.common import forget, settle
 from plumbline.llm.words import Words, mix, windows, words
 
 MIN_WORDS = 13
@@ -36,7 +38,7 @@ MIN_WORDS = 13
 BLOCK = 1_000_000
 ASK, MANY, KNOWN = 0, 1, 2
 #: `what` is a position times four, and one of the kinds above
-ASKED = "hash long, key long, k long, what int"
+ASKED = "hash long, key long, k long, what int, check int"
 ANSWERED = "bucket int, keys array<long>, counts array<int>, found array<long>"
 MERGED = "key long, found array<long>"
 
@@ -66,8 +68,8 @@ class _Asker:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, key: np.ndarray, k: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append((key, k, pos.astype(np.int32), hashes))
+    def add(self, key: np.ndarray, k: np.ndarray, pos: np.ndarray, hashes: np.ndarray, check: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        self.parts.append((key, k, pos.astype(np.int32), hashes, np.zeros(len(key), np.int32) if check is None else check))
         self.size += len(key)
         if self.size >= self.block:
             yield from self.flush()
@@ -75,10 +77,10 @@ class _Asker:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        key, k, pos, hashes = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        key, k, pos, hashes, check = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         self.parts, self.size = [], 0
-        order = np.lexsort((k, hashes))
-        starts, group = _groups(hashes[order])
+        order = np.lexsort((k, check, hashes) if self.by_position else (k, hashes))
+        starts, group = _groups(hashes[order], check[order])
         own = k[order]
         many = own[starts] != own[np.concatenate([starts[1:], [len(own)]]) - 1]  # held by two documents here
         if self.by_position:  # the smallest document must still learn of a smaller one, but knows that its window repeats
@@ -90,14 +92,16 @@ class _Asker:
         # rows of a document stand together, which makes them small where they are written
         by_key = np.argsort(key[order], kind="stable")
         order, kind = order[by_key], kind[by_key]
-        columns = (hashes.view(np.int64)[order], key[order], k[order], (pos[order] * 4 + kind).astype(np.int32))
+        columns = (hashes.view(np.int64)[order], key[order], k[order], (pos[order] * 4 + kind).astype(np.int32), check[order])
         for i in range(0, len(order), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["hash", "key", "k", "what"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names=["hash", "key", "k", "what", "check"])
 
 
-def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of each group's first row, and each row's group, of an ordered column."""
+def _groups(ordered: np.ndarray, also: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each group's first row, and each row's group, of an ordered column, or of two."""
     first = np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)]
+    if also is not None and len(ordered):
+        first[1:] |= also[1:] != also[:-1]
     return np.flatnonzero(first), np.cumsum(first) - 1
 
 
@@ -110,15 +114,15 @@ def _answer(by_position: bool, buckets: int):
         got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not got:
             return
-        hashes, key, k, what = (np.concatenate(x) for x in zip(*got, strict=True))
+        hashes, key, k, what, check = (np.concatenate(x) for x in zip(*got, strict=True))
         del got
         kind, pos = what & 3, what >> 2
         repeated, removed = kind != ASK, kind == KNOWN
         order = np.flatnonzero(kind != KNOWN)
-        order = order[np.lexsort((k[order], hashes[order]))]
+        order = order[np.lexsort((k[order], check[order], hashes[order]) if by_position else (k[order], hashes[order]))]
         if len(order):
             own = k[order]
-            starts, group = _groups(hashes[order])
+            starts, group = _groups(hashes[order], check[order])
             twice = own[starts] != own[np.concatenate([starts[1:], [len(own)]]) - 1]
             np.logical_or.at(twice, group, kind[order] == MANY)
             repeated[order] |= twice[group]
@@ -213,11 +217,12 @@ def _ask_windows(length: int, least: int, before: int | None, block: int):
                     there[begin[rows] + np.where(flat < 0, -1 - flat, flat)] = True
                     at = np.flatnonzero(there[: len(w.doc)] & there[before : before + len(w.doc)])
                 longer, starts = windows(word_hashes, w.doc, least)
+                check = (windows(w.hashes(1), w.doc, least)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 mine = np.zeros(len(w.doc), bool)
                 mine[at] = True
                 good = mine[starts]
                 at, doc = starts[good], w.doc[starts[good]]
-                yield from asker.add(key[doc], k[doc], at - begin[doc], longer[good])
+                yield from asker.add(key[doc], k[doc], at - begin[doc], longer[good], check[good])
         yield from asker.flush()
 
     return run
@@ -238,7 +243,8 @@ def _level(asked: DataFrame, by_position: bool) -> DataFrame:
 
 def levels(docs: DataFrame, min_words: int = MIN_WORDS, longest: int | None = None) -> Iterator[tuple[int, DataFrame]]:
     """Per length: a table (key, positions) of the windows that repeat, those that a smaller document holds with their sign
-    turned (-1 - position). Lengths are the least one, twice that and so on, until none is found or beyond `longest`."""
+    turned (-1 - position). Lengths are the least one, twice that and so on, until none is found or beyond `longest`. A
+    table is there until the next one is asked for."""
     rows = _keyed(docs)
     half = (min_words + 1) // 2
     found = _level(rows.mapInArrow(_ask_anchors(half, min_words, BLOCK), ASKED), by_position=False)
@@ -246,7 +252,8 @@ def levels(docs: DataFrame, min_words: int = MIN_WORDS, longest: int | None = No
     while True:
         known = found.select(F.col("key").alias("of"), F.col("found").alias("known"))
         asking = rows.join(known, F.col("key") == F.col("of")).select("key", "k", "text", "known")
-        found = _level(asking.mapInArrow(_ask_windows(half, length, before, BLOCK), ASKED), by_position=True)
+        last, found = found, _level(asking.mapInArrow(_ask_windows(half, length, before, BLOCK), ASKED), by_position=True)
+        forget(last)
         yield length, found.select("key", F.col("found").alias("positions"))
         before, length = length, 2 * length
         if (longest is not None and length > longest) or found.isEmpty():
@@ -259,19 +266,17 @@ KEPT = "doc_id long, n_words long, n_removed long, longest long, kept_text strin
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, longest: int | None = None) -> DataFrame:
     """Per row of (doc_id, text): n_words, n_removed, the longest length at which a window of it was removed, the words that
     are kept, joined by one space, and their digest."""
-    tables = [t.select("key", F.lit(n).cast("long").alias("length"), "positions") for n, t in levels(docs, min_words, longest)]
-    least = tables[0]
-    lost = least.select("key", F.filter("positions", lambda p: p < 0).alias("lost")).filter(F.size("lost") > 0)
-    if len(tables) > 1:
-        longer = tables[0]
-        for t in tables[1:]:
-            longer = longer.union(t)
-        longer = longer.filter(F.exists("positions", lambda p: p < 0)).groupBy("key").agg(F.max("length").alias("longest"))
-        lost = lost.join(longer, "key")
-    else:
-        lost = lost.withColumn("longest", F.lit(min_words).cast("long"))
+    lost, reached = None, None
+    for n, found in levels(docs, min_words, longest):
+        own = found.select("key", F.filter("positions", lambda p: p < 0).alias("lost")).filter(F.size("lost") > 0)
+        if lost is None:
+            lost = settle(own)
+        keys = settle(own.select("key", F.lit(n).cast("long").alias("length")), light=True)  # of documents, not of windows
+        reached = keys if reached is None else reached.union(keys)
+    reached = settle(reached.groupBy(F.col("key").alias("of")).agg(F.max("length").alias("longest")), light=True)
+    lost = lost.join(reached, F.col("key") == F.col("of")).drop("of")
     rows = _keyed(docs).withColumn("doc_id", F.when(F.col("k") < (1 << 63) - 1, F.col("k")))
-    rows = rows.join(settle(lost).withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
+    rows = rows.join(lost.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
 
     def cut(batches):
         for batch in batches:
@@ -297,19 +302,30 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, longest: int |
     return rows.select("doc_id", "text", "lost", "longest").mapInArrow(cut, KEPT)
 
 
-def repeats_sql(min_words: int = MIN_WORDS) -> str:
-    """What the least length removes from `documents`, in SQL."""
+def repeats_sql(min_words: int = MIN_WORDS, doublings: int = 16) -> str:
+    """What the least length removes from `documents`, and the longest length that reaches, in SQL. Windows of twice a length
+    are told apart by the numbers of their halves."""
+    levels = []
+    for i in range(doublings):
+        n = min_words << i
+        if i:
+            pairs = f"SELECT a.doc_id, a.pos, dense_rank() OVER (ORDER BY a.id, b.id) AS id FROM w{i - 1} a JOIN w{i - 1} b ON b.doc_id = a.doc_id AND b.pos = a.pos + {n // 2}"
+        else:
+            pairs = f"SELECT doc_id, pos, dense_rank() OVER (ORDER BY content) AS id FROM windows WHERE n = {n}"
+        ids = f"SELECT *, min(doc_id) OVER (PARTITION BY id) AS least, max(doc_id) OVER (PARTITION BY id) AS most FROM ({pairs})"
+        levels.append(f"w{i} AS MATERIALIZED (SELECT * FROM ({ids}) WHERE least < most)")
+    found = " UNION ALL ".join(f"SELECT doc_id, CAST({min_words << i} AS BIGINT) AS length FROM w{i} WHERE least < doc_id" for i in range(doublings))
     return rf"""
 WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS list FROM documents),
 each AS (SELECT doc_id, unnest(list) AS word, generate_subscripts(list, 1) AS pos FROM listed),
 windows AS (
   SELECT doc_id, pos, string_agg(word, ' ') OVER w AS content, count(*) OVER w AS n FROM each
   WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {min_words - 1} FOLLOWING)),
-firsts AS (SELECT content, min(doc_id) AS least FROM windows WHERE n = {min_words} GROUP BY content),
-lost AS (
-  SELECT DISTINCT doc_id, unnest(range(pos, pos + {min_words})) AS pos FROM windows JOIN firsts USING (content) WHERE n = {min_words} AND least < doc_id),
+{", ".join(levels)},
+lost AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + {min_words})) AS pos FROM w0 WHERE least < doc_id),
+reached AS (SELECT doc_id, max(length) AS longest FROM ({found}) GROUP BY doc_id),
 kept AS (
   SELECT doc_id, count(*) AS n_words, count(l.pos) AS n_removed, string_agg(word, ' ' ORDER BY e.pos) FILTER (l.pos IS NULL) AS text
   FROM each e LEFT JOIN lost l USING (doc_id, pos) GROUP BY doc_id)
-SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
-FROM documents LEFT JOIN kept k USING (doc_id)"""
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256, longest
+FROM documents LEFT JOIN kept k USING (doc_id) LEFT JOIN reached USING (doc_id)"""

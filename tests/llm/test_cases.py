@@ -259,6 +259,20 @@ def test_repeats(spark, monkeypatch, block):
         assert (r.longest or 0) <= max(13, r.n_words)
 
 
+def test_windows_of_one_hash_are_told_apart_by_their_check():
+    def asked(check):
+        column = [np.array(x, np.int64) for x in ([5, 5], [1, 2], [1, 2])]
+        return pa.RecordBatch.from_arrays([*map(pa.array, column), pa.array([0, 0], pa.int32()), pa.array(check, pa.int32())], names="hash key k what check".split())
+
+    repeats = [sum(len(b.column(3).flatten()) for b in substrings._answer(True, 4)([asked(check)])) for check in ([7, 7], [7, 8])]
+    assert repeats == [2, 0]
+    asker = substrings._Asker(by_position=True, block=100)
+    one = np.array([1, 2], np.int64)
+    list(asker.add(one, one, np.zeros(2), np.array([5, 5], np.uint64), np.array([7, 8], np.int32)))
+    (batch,) = asker.flush()
+    assert (batch.column(3).to_numpy() & 3).tolist() == [substrings.ASK] * 2
+
+
 # --- 6
 
 

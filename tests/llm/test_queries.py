@@ -152,3 +152,8 @@ def test_mix_draws_by_seed(spark, sf_dir):
     one, two = (mixing.mix_sources(docs, seed="x").collect() for _ in range(2))
     assert same(one, two)
     assert not same(one, mixing.mix_sources(docs, seed=f"y{random.random()}").collect())
+
+
+def test_levels_double_to_the_end(spark, sf_dir):
+    found = {r.longest for r in QUERIES["op5_level_doubling"](spark, sf_dir).select("longest").distinct().collect()}
+    assert {13, 26, 52} <= found
