@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import write_rows
+
 ALL = "All"
 PAGE_SIZE = 100
 
@@ -90,6 +92,44 @@ def page_after(df: DataFrame, order: Sequence[str], last: Sequence, size: int =
     return df.filter((F.col(order[0]) >= last[0]) & beyond).orderBy(*order).limit(size)
 
 
+#: Rows of a range of a stored order.
+RANGE_ROWS = 100_000
+RANGE = "_range"
+
+
+def store_pages(df: DataFrame, order: Sequence[str], path: str, range_rows: int = RANGE_ROWS) -> None:
+    """Keep the rows in an order, to be shown page by page at any number: cut by ranges of the order columns, a folder for each
+    range, sorted, and a table of the ranges' numbers of rows. The order columns must identify a row."""
+    taken = {c.lower() for c in df.columns}
+    if RANGE in taken:
+        raise ValueError(f"rename the column {RANGE}")
+    df = write_rows(df)  # it is counted, sampled and cut
+    rows = df.count()
+    keys = [F.col(f"`{c}`") for c in order]
+    if not rows:  # no range, so no folder that would tell the columns
+        df.withColumn(RANGE, F.lit(0)).coalesce(1).write.mode("overwrite").parquet(f"{path}/rows")
+        df.select(F.lit(0).alias(RANGE), F.lit(0).cast("long").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+        return
+    cut = df.repartitionByRange(-(-rows // range_rows), *keys).withColumn(RANGE, F.spark_partition_id()).sortWithinPartitions(RANGE, *keys)
+    cut.write.mode("overwrite").partitionBy(RANGE).parquet(f"{path}/rows")
+    counts = df.sparkSession.read.parquet(f"{path}/rows").groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"))
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+
+
+def stored_page(spark: SparkSession, path: str, order: Sequence[str], number: int, size: int = PAGE_SIZE) -> DataFrame:
+    """Page `number` (from 1) of stored rows. Only the ranges that the page lies in, one or two, are read and sorted, so a far
+    page costs what the first one costs."""
+    counts = sorted((r[RANGE], r["n"]) for r in spark.read.parquet(f"{path}/ranges").collect())  # a row for each range
+    begin, end, at, wanted, skip = (number - 1) * size, number * size, 0, [], 0
+    for part, n in counts:
+        if at < end and at + n > begin:
+            skip = begin - at if not wanted else skip
+            wanted.append(part)
+        at += n
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col(RANGE).isin(wanted)).drop(RANGE)
+    return rows.orderBy(*[F.col(f"`{c}`") for c in order]).offset(skip).limit(size)
+
+
 def executive_view(
     scorecard: DataFrame, summary: DataFrame, by_dimension: DataFrame, by_cde: DataFrame, unique_failed: DataFrame
 ) -> DataFrame:

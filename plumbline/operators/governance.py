@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.rates import percent
+from plumbline.operators.bands import BOUND, bands, in_band
 from plumbline.operators.rule import Scope
 from plumbline.session import materialize
 
@@ -38,25 +39,37 @@ def _band() -> Column:
     return place
 
 
-def escalation(scorecard: DataFrame) -> DataFrame:
-    """One row per rule with failures: its failure rate, severity, and who responds by when."""
-    bands = F.array(
-        *[
-            F.struct(*[F.lit(x).alias(n) for x, n in zip((s, who, target, to), ("s", "who", "target", "to"), strict=True)])
-            for s, _, who, target, to in ESCALATION
-        ]
-    )
-    issues = scorecard.filter("Records_Failed > 0").withColumn("_b", F.element_at(bands, _band() + 1))
-    return issues.select(
-        "Rule_ID",
-        "CDE_Affected",
-        "Records_Failed",
-        percent(F.col("Records_Failed"), F.col("Total_Records")).alias("Failure_Rate_Pct"),
-        F.col("_b.s").alias("Issue_Severity"),
-        F.col("_b.who").alias("First_Responder"),
-        F.col("_b.target").alias("Resolution_Target"),
-        F.col("_b.to").alias("Escalate_To"),
-    )
+#: The columns of an escalation table beside its bounds, in percent.
+ESCALATION_COLUMNS = ("Issue_Severity", "First_Responder", "Resolution_Target", "Escalate_To")
+
+
+def escalation_bands(table: DataFrame) -> DataFrame:
+    """A table of bands from a file: From_Pct, To_Pct (empty: no end), To_Included, and who responds by when."""
+    below = F.coalesce(F.col("To_Included").cast("boolean"), F.lit(False))
+    named = table.select(*ESCALATION_COLUMNS, "From_Pct", "To_Pct", below.alias("To_Included"))
+    # a bound belongs to one side only: a band begins at its bound unless the one below takes it in
+    taken = named.filter("To_Included").select(F.col("To_Pct").cast(BOUND).alias("_taken")).distinct()
+    begins = F.col("From_Pct").cast(BOUND) == F.col("_taken")
+    marked = named.join(taken, begins, "left").withColumn("From_Included", F.col("_taken").isNull()).drop("_taken")
+    return bands(marked, "From_Pct", "To_Pct", "From_Included", "To_Included").drop("From_Pct", "To_Pct", "From_Included", "To_Included")
+
+
+def escalation(scorecard: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+    """One row per rule with failures: its failure rate, severity, and who responds by when; by ESCALATION, or by a checked
+    table of bands."""
+    issues = scorecard.filter("Records_Failed > 0")
+    if checked is None:
+        listed = F.array(
+            *[
+                F.struct(*[F.lit(x).alias(n) for x, n in zip((s, who, target, to), ESCALATION_COLUMNS, strict=True)])
+                for s, _, who, target, to in ESCALATION
+            ]
+        )
+        issues = issues.withColumn("_b", F.element_at(listed, _band() + 1)).select("*", *[f"_b.{c}" for c in ESCALATION_COLUMNS])
+    else:
+        issues = in_band(issues, checked, F.col("Records_Failed").cast("decimal(20,0)") * 100, F.col("Total_Records"))
+    rate = percent(F.col("Records_Failed"), F.col("Total_Records")).alias("Failure_Rate_Pct")
+    return issues.select("Rule_ID", "CDE_Affected", "Records_Failed", rate, *ESCALATION_COLUMNS)
 
 
 def _tokens(column: str) -> Column:
@@ -211,29 +224,43 @@ def type_family(spark_type: str) -> str:
 
 def trace(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All upstream hops of the root fields. `edges`: (cde, src_system, src_field, dst_system, dst_field), `roots`: (cde,
-    system, field). Rows (cde, hop, src_system, src_field, dst_system, dst_field). One join per hop, until none is new;
-    an edge is walked once per element, so cycles end. `max_depth` asks for fewer hops."""
-    spark = edges.sparkSession
+    system, field). Rows (cde, hop, src_system, src_field, dst_system, dst_field): an edge is walked once per element, at the
+    least number of hops, so cycles end. `max_depth` asks for fewer hops.
+
+    Fields with one edge upstream make chains. Along these, pointers are doubled: the n-th table of pointers leads 2**n hops
+    up, and the distances of the fields reached are carried over all tables in turn. A chain of n hops thus takes about
+    2 * log2(n) small joins; a further round is needed only where a walk goes on behind a field with several edges."""
     columns = ["cde", "src_system", "src_field", "dst_system", "dst_field"]
-    edges = materialize(edges.select(*columns).distinct())
-    frontier = roots.select("cde", F.col("system").alias("at_system"), F.col("field").alias("at_field")).distinct()
-    found = spark.createDataFrame([], "cde string, hop int, src_system string, src_field string, dst_system string, dst_field string")
-    hop = 0
-    while max_depth is None or hop < max_depth:
-        hop += 1
-        step = edges.join(
-            frontier.withColumnRenamed("cde", "at_cde"),
-            (F.col("cde") == F.col("at_cde"))
-            & (F.col("dst_system") == F.col("at_system"))
-            & (F.col("dst_field") == F.col("at_field")),
-            "left_semi",
-        ).join(found, columns, "left_anti")
-        step = materialize(step)
-        if step.isEmpty():
+    edges = edges.select(*columns).distinct()
+    field = lambda side: F.struct(F.col(f"{side}_system").alias("system"), F.col(f"{side}_field").alias("field"))
+    steps = materialize(edges.filter("dst_system IS NOT NULL AND dst_field IS NOT NULL").select("cde", field("dst").alias("at"), field("src").alias("to")))
+    ways = steps.groupBy("cde", "at").agg(F.count(F.lit(1)).alias("ways"), F.min("to").alias("to"))
+    pointers = [materialize(ways.filter("ways = 1").select("cde", "at", "to"))]
+    limit = pointers[0].count()
+    forks = materialize(steps.join(ways.filter("ways > 1").select("cde", "at"), ["cde", "at"], "left_semi"))
+    while 2 ** len(pointers) <= limit:  # a walk without a fork or a cycle has no more hops than there are pointers
+        last = pointers[-1]
+        on = last.select("cde", F.col("at").alias("to"), F.col("to").alias("beyond"))
+        doubled = materialize(last.join(on, ["cde", "to"]).select("cde", "at", F.col("beyond").alias("to")))
+        if doubled.isEmpty():
             break
-        found = found.unionByName(step.withColumn("hop", F.lit(hop)).select(*found.columns))
-        frontier = step.select("cde", F.col("src_system").alias("at_system"), F.col("src_field").alias("at_field")).distinct()
-    return found
+        pointers.append(doubled)
+    fresh = materialize(roots.select("cde", F.struct("system", "field").alias("at"), F.lit(0).alias("hops")).distinct())
+    known = fresh.limit(0)
+    while not fresh.isEmpty():
+        for n, table in enumerate(pointers):
+            up = fresh.join(table, ["cde", "at"]).select("cde", F.col("to").alias("at"), (F.col("hops") + 2**n).alias("hops"))
+            fresh = materialize(fresh.union(up).groupBy("cde", "at").agg(F.min("hops").alias("hops")))
+        before = known.withColumnRenamed("hops", "known_hops")
+        nearer = fresh.join(before, ["cde", "at"], "left").filter(F.col("known_hops").isNull() | (F.col("hops") < F.col("known_hops"))).drop("known_hops")
+        nearer = materialize(nearer)
+        known = materialize(known.union(nearer).groupBy("cde", "at").agg(F.min("hops").alias("hops")))
+        fresh = nearer.join(forks, ["cde", "at"]).select("cde", F.col("to").alias("at"), (F.col("hops") + 1).alias("hops"))
+        fresh = materialize(fresh.groupBy("cde", "at").agg(F.min("hops").alias("hops")))
+    found = steps.join(known, ["cde", "at"]).withColumn("hop", F.col("hops") + 1)
+    found = found if max_depth is None else found.filter(F.col("hop") <= max_depth)
+    ends = [F.col(f"{side}.{part}").alias(f"{name}_{part}") for side, name in (("to", "src"), ("at", "dst")) for part in ("system", "field")]
+    return found.select("cde", F.col("hop").cast("int").alias("hop"), *ends)
 
 
 def cde_coverage(scorecard: DataFrame, cdes: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ The lineage edges are a sample of their own, with plain names for systems; a sit
 
 from __future__ import annotations
 
-from plumbline.operators.governance import Limit
+from plumbline.operators.governance import ESCALATION, Limit
 from plumbline.operators.rule import Scope
 from plumbline.plans.housing import DWELLING_TYPES, GEO_CODES, MARKETS, MONTH_PATTERN
 
@@ -101,3 +101,30 @@ ROOTS = [
     ("DWELLING_TYPE", "Staging", "DWELLING_TYPE"),
     ("INTENDED_MARKET", "Staging", "INTENDED_MARKET"),
 ]
+
+# The severity bands as a table; a bound belongs to the band above it unless the one below takes it in.
+BAND_SCHEMA = "Issue_Severity string, From_Pct string, To_Pct string, To_Included string, First_Responder string, Resolution_Target string, Escalate_To string"
+BANDS = [
+    (
+        name,
+        str(begin),
+        str(ESCALATION[i + 1][1]) if i + 1 < len(ESCALATION) else None,
+        "true" if i + 2 == len(ESCALATION) else "false",
+        who,
+        target,
+        to,
+    )
+    for i, (name, begin, who, target, to) in enumerate(ESCALATION)
+]
+
+# The layers between source and use, with plain names for systems: an element is a whole asset, a field the asset's name.
+SYSTEM_EDGES = [
+    ("Housing Starts", "1 - Permit Offices", "Permit Records", "2 - Ingestion Portal", "Staging Table"),
+    ("Housing Starts", "1 - Field Survey", "Survey Responses", "2 - Ingestion Portal", "Staging Table"),
+    ("Housing Starts", "2 - Ingestion Portal", "Staging Table", "3 - Quality Engine", "Validated Table"),
+    ("Housing Starts", "3 - Quality Engine", "Validated Table", "4 - Public Repository", "Public Dataset"),
+    ("Housing Starts", "3 - Quality Engine", "Validated Table", "3 - Data Catalog", "Catalog Entry"),
+    ("Housing Starts", "4 - Public Repository", "Public Dataset", "5 - Market Dashboard", "Dashboard"),
+    ("Housing Starts", "4 - Public Repository", "Public Dataset", "5 - Policy Reporting", "Annual Report"),
+]
+SYSTEM_ROOTS = [("Housing Starts", "5 - Market Dashboard", "Dashboard"), ("Housing Starts", "5 - Policy Reporting", "Annual Report"), ("Housing Starts", "3 - Data Catalog", "Catalog Entry")]

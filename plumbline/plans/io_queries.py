@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import contract as contracts
-from plumbline.operators import governance, scorecards, statistics
+from plumbline.operators import bands as ranges
+from plumbline.operators import explore, governance, scorecards, statistics
 from plumbline.operators.checks import Unique
 from plumbline.operators.lookup import attach
 from plumbline.operators.remediate import remediate
@@ -240,6 +241,91 @@ def scorecard_by_area(spark, sf_dir):
     return housing_run(spark, sf_dir).scorecard_by("GEO_CODE")
 
 
+@query
+def csv_good_rows(spark, sf_dir):
+    """orders as delimited files in which some cells are no numbers and some lines have a cell too many: the rows that can
+    be read."""
+    return _damaged(spark, sf_dir)[0]
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """The same files' rejects, by reason and column."""
+    rejects = _damaged(spark, sf_dir)[1]
+    listed = rejects.select("reason", F.explode_outer("columns").alias("column"))
+    return listed.groupBy("reason", "column").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    path = _folder(spark, "orders-csv")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    key = F.col("o_orderkey")
+    text = {c: F.col(c).cast("string") for c in columns}
+    text["o_custkey"] = F.when(key % 11 == 0, F.concat(F.lit("c"), text["o_custkey"])).otherwise(text["o_custkey"])
+    text["o_totalprice"] = F.when(key % 7 == 0, F.lit("much")).otherwise(text["o_totalprice"])
+    line = F.concat_ws(",", *[text[c] for c in columns], F.when(key % 13 == 0, F.lit("surplus")))
+    # each file begins with a header
+    lines = orders.select(line.alias("value"), F.pmod(key, F.lit(3)).alias("file"))
+    head = spark.createDataFrame([(",".join(columns), n) for n in range(3)], "value string, file long")
+    both = head.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
+    both.repartition(3, "file").sortWithinPartitions("file", "at").select("value", "file").write.partitionBy("file").text(path)
+    return tables.read_csv_lenient(spark, f"{path}/file=*", orders.schema)
+
+
+@query
+def exception_page_far(spark, sf_dir):
+    """The eighth page of the exceptions, from a stored order in ranges of 200 rows, of which one or two are read."""
+    path = _folder(spark, "pages")
+    order = ["record_key", "_rule_id"]
+    rows = explore.project_existing(housing_run(spark, sf_dir).exceptions(), ["record_key", *explore.EXCEPTION_COLUMNS])
+    explore.store_pages(rows, order, path, range_rows=200)
+    return explore.stored_page(spark, path, order, 8)
+
+
+@query
+def escalation_from_file(spark, sf_dir):
+    """Severity bands read from a delimited file."""
+    path = _folder(spark, "bands")
+    outputs.export_csv(spark.createDataFrame(gov.BANDS, gov.BAND_SCHEMA).coalesce(1), path)
+    checked = governance.escalation_bands(tables.read_reference(spark, path))
+    return governance.escalation(housing_run(spark, sf_dir).scorecard(), checked)
+
+
+@query
+def orders_by_price_band(spark, sf_dir):
+    """orders in bands between one hundredth of each supplier's key and the next, as many bands as there are suppliers."""
+    keys_ = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 3000).cast("string").alias("begin"))
+    nearest = keys_.select(F.col("begin").cast("long").alias("at"))
+    step = keys_.withColumn("end", (F.col("begin").cast("long") + 3000).cast("string"))
+    last = nearest.agg(F.max("at").alias("at")).select(F.col("at").cast("string").alias("top"))
+    named = step.join(F.broadcast(last), F.col("begin") == F.col("top"), "left").withColumn("end", F.when(F.col("top").isNull(), F.col("end"))).drop("top")
+    checked = ranges.bands(named, "begin", "end")
+    found = ranges.in_band(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), checked, F.col("o_totalprice"))
+    return found.groupBy("begin").agg(F.count(F.lit(1)).alias("orders"), F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most"))
+
+
+@query
+def lineage_long_chain(spark, sf_dir):
+    """Customers in a chain by key, walked from the last one to the first: a hop for each, in a number of steps that grows
+    with the logarithm of the chain."""
+    customers = table(spark, sf_dir, "customer").filter("c_custkey > 1")
+    key = F.col("c_custkey")
+    edges = customers.select(
+        F.lit("C").alias("cde"), (key - 1).cast("string").alias("src_system"), F.lit("k").alias("src_field"), key.cast("string").alias("dst_system"), F.lit("k").alias("dst_field")
+    )
+    roots = customers.agg(F.max("c_custkey").cast("string").alias("system")).select(F.lit("C").alias("cde"), "system", F.lit("k").alias("field"))
+    return governance.trace(edges, roots).select("hop", "src_system", "dst_system")
+
+
+@query
+def lineage_systems(spark, sf_dir):
+    """Every upstream hop between systems, by layer, with the failures found in the data that flow through it."""
+    hops = governance.trace(spark.createDataFrame(gov.SYSTEM_EDGES, gov.EDGE_SCHEMA), spark.createDataFrame(gov.SYSTEM_ROOTS, gov.ROOT_SCHEMA))
+    found = housing_run(spark, sf_dir).scorecard().agg(F.sum("Records_Failed").alias("Failures"))
+    return hops.join(F.broadcast(found))  # one row
+
+
 @query
 def contract_many_invalid(spark, sf_dir):
     """A domain that nearly all values miss: the check counts them, however many there are."""

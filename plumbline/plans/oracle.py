@@ -486,6 +486,23 @@ ORACLE: dict[str, str] = {
     "statistics_by_month": statistics_sql(
         "orders", "o_orderpriority", {"o_totalprice": "o_totalprice", "customer": "o_custkey"}, 2, ", true AS quartiles_hold, true AS distinct_holds"
     ),
+    "csv_good_rows": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 13 <> 0",
+    "csv_rejects": """WITH k AS (SELECT o_orderkey % 13 = 0 AS broken, o_orderkey % 11 = 0 AS c, o_orderkey % 7 = 0 AS p FROM orders)
+      SELECT 'cells' AS reason, NULL::VARCHAR AS "column", count(*) AS rows FROM k WHERE broken HAVING count(*) > 0
+      UNION ALL SELECT 'cell', 'o_custkey', count(*) FROM k WHERE NOT broken AND c HAVING count(*) > 0
+      UNION ALL SELECT 'cell', 'o_totalprice', count(*) FROM k WHERE NOT broken AND p HAVING count(*) > 0""",
+    "orders_by_price_band": """WITH b AS (SELECT s_suppkey * 3000 AS low, lead(s_suppkey * 3000) OVER (ORDER BY s_suppkey) AS high FROM supplier)
+      SELECT CAST(low AS VARCHAR) AS begin, count(*) AS orders, min(o_totalprice) AS least, max(o_totalprice) AS most
+      FROM orders LEFT JOIN b ON o_totalprice >= low AND (high IS NULL OR o_totalprice < high) GROUP BY 1""",
+    "lineage_long_chain": """WITH t AS (SELECT max(c_custkey) AS top FROM customer) SELECT CAST(top - c_custkey + 1 AS INT) AS hop,
+      CAST(c_custkey - 1 AS VARCHAR) AS src_system, CAST(c_custkey AS VARCHAR) AS dst_system FROM customer, t WHERE c_custkey > 1""",
+    "lineage_systems": f"""WITH RECURSIVE {SCORE}, e AS (SELECT * FROM (VALUES {", ".join("(" + ", ".join(q(x) for x in edge) + ")" for edge in gov.SYSTEM_EDGES)})
+        AS v(cde, src_system, src_field, dst_system, dst_field)),
+      w AS (SELECT e.*, 1 AS hop FROM e WHERE dst_system IN {listed(s for _, s, _ in gov.SYSTEM_ROOTS)}
+        UNION SELECT e.*, w.hop + 1 FROM e JOIN w ON e.dst_system = w.src_system AND e.dst_field = w.src_field AND w.hop < 10)
+      SELECT cde, CAST(min(hop) AS INT) AS hop, src_system, src_field, dst_system, dst_field,
+        (SELECT CAST(sum(Records_Failed) AS BIGINT) FROM sc) AS Failures FROM w GROUP BY ALL""",
+    "exception_page_far": f"{EX} SELECT {SHOWN} FROM ex ORDER BY record_key, _rule_id LIMIT 100 OFFSET 700",
     "scorecard_by_slice": f"WITH {LINE_FLAGS} {scored_by(LINE_RULES, 'lf', ['l_returnflag', 'l_linestatus'], totals=True)}",
     "scorecard_by_area": f"WITH {FLAGS} {scored_by(RULES, 'flags', ['GEO_CODE'])}",
     "rule_scorecard": f"WITH {SCORE} {SCORECARD.format('sc')}",
@@ -695,6 +712,7 @@ ORACLE: dict[str, str] = {
 
 for _name, _same in (
     ("stream_uniqueness", "lineitem_scorecard"),
+    ("escalation_from_file", "escalation"),
     ("contract_from_file", "contract_checks"),
     ("steward_load_from_file", "steward_load"),
     ("outputs_remediated", "remediated"),

@@ -63,6 +63,57 @@ def read_csv(
     return text.select(*[cells[c].cast(types.get(c, T.StringType())).alias(c) for c in header])
 
 
+CORRUPT = "_corrupt"
+
+
+def read_csv_lenient(
+    spark: SparkSession, path: str, schema: T.StructType, null_texts: Sequence[str] = NULL_TEXTS, **options: Any
+) -> tuple[DataFrame, DataFrame]:
+    """As `read_csv`, but rows that cannot be read are set aside instead of ending the read. Returns the good rows and the
+    rejects: (file, row, reason, columns, line), `row` counting a file's rows of data from 1, `columns` those whose cells
+    cannot be cast, `line` the row's text as far as it has been read. A row is rejected if a cell cannot be cast (reason
+    `cell`) or if it has too many or too few cells (reason `cells`). The files are read once and written to the shared
+    folder, so good rows and rejects are of the same read. Files whose header differs from the first one's raise still."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').options(**options)
+    header = reader.csv(path).columns  # reads the first line only
+    types = {f.name: f.dataType for f in schema}
+    clash = [c for c in (CORRUPT, "_file", "_split", "_place") if c in header]
+    if clash:
+        raise ValueError(f"rename columns: {', '.join(clash)}")
+    named = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
+    text = reader.schema(named).csv(path)
+    cells = {c: F.when(~F.col(f"`{c}`").isin(list(null_texts)), F.col(f"`{c}`")) for c in header}
+    cast = {c: cells[c].try_cast(types.get(c, T.StringType())) for c in header}
+    bad = F.concat_ws(",", *[F.when(cells[c].isNotNull() & cast[c].isNull(), F.lit(c)) for c in header])
+    place = F.monotonically_increasing_id()
+    kept = text.select(
+        *[cast[c].alias(c) for c in header],
+        F.col(CORRUPT),
+        bad.alias("_bad"),
+        F.when((bad != "") | F.col(CORRUPT).isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in header]))).alias("_cells"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        place.alias("_place"),
+    )
+    rows = write_rows(kept)
+    rejected = (F.col("_bad") != "") | F.col(CORRUPT).isNotNull()
+    good = rows.filter(~rejected).select(*[F.col(f"`{c}`") for c in header])
+    # a row's number: the rows of its file's earlier splits, and its place in its own split
+    splits = rows.groupBy("_file", "_split").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    earlier = F.sum("_rows").over(W.partitionBy("_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1))
+    splits = splits.select("_file", "_split", "_first", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    broken = F.col(CORRUPT).isNotNull()
+    rejects = rows.filter(rejected).join(splits, ["_file", "_split"]).select(
+        F.col("_file").alias("file"),
+        (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("row"),
+        F.when(broken, F.lit("cells")).otherwise(F.lit("cell")).alias("reason"),
+        F.when(~broken, F.split("_bad", ",")).otherwise(F.array().cast("array<string>")).alias("columns"),
+        F.coalesce(F.col(CORRUPT), F.col("_cells")).alias("line"),
+    )
+    return good, rejects
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
     """A table in any format. Delimited text needs a schema, as nothing is guessed from data; Parquet and ORC carry one."""
     if fmt == "csv":

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from helpers import by
 
@@ -65,3 +67,25 @@ def test_a_rule_can_have_two_breakdowns(exceptions):
     causes = rca.root_causes(exceptions, spec)
     totals = {r["breakdown"]: r["sum(failures)"] for r in causes.groupBy("breakdown").sum("failures").collect()}
     assert totals == {"a": 40, "b": 40}
+
+
+def test_stored_pages(spark, tmp_path):
+    rows = [(i % 97, f"k{i}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a long, b string, c long").repartition(5)
+    path = str(tmp_path / "pages")
+    explore.store_pages(df, ["a", "b"], path, range_rows=100)
+    ordered = sorted(rows)
+    for number in (1, 2, 7, 33, 34, 35):
+        got = [tuple(r) for r in explore.stored_page(spark, path, ["a", "b"], number, size=30).collect()]
+        assert got == ordered[(number - 1) * 30 : number * 30]
+
+    def ranges(number):
+        page = explore.stored_page(spark, path, ["a", "b"], number, size=30)
+        found = page._jdf.queryExecution().optimizedPlan().toString()
+        return len(re.findall(r"_range#\d+ = \d+", found)) or len(re.search(r"_range#\d+ IN \(([^)]*)\)", found).group(1).split(","))
+
+    # a far page reads what a near one reads
+    assert {ranges(n) for n in (1, 17, 33)} <= {1, 2}
+    explore.store_pages(df.limit(0), ["a", "b"], str(tmp_path / "none"))
+    assert explore.stored_page(spark, path, ["a", "b"], 99).count() == 0
+    assert explore.stored_page(spark, str(tmp_path / "none"), ["a", "b"], 1).collect() == []

@@ -1,3 +1,5 @@
+import random
+
 from helpers import by, housing_rows
 
 from plumbline.operators import governance as g
@@ -64,3 +66,35 @@ def test_coverage(spark):
     assert (rows["HOUSING_STARTS"]["Rules"], rows["HOUSING_STARTS"]["Failures"], rows["UOM"]["Rules"]) == (3, 1, 0)
     free = g.uncovered_columns(["GEO", "UOM", "DECIMALS"], run.rule_table)
     assert sorted(r["column"] for r in free.collect()) == ["DECIMALS", "UOM"]
+
+
+def walked(edges, roots):
+    """Hop by hop, per element."""
+    found = {}
+    for cde in {c for c, *_ in roots}:
+        front, seen, hop = {(s, f) for c, s, f in roots if c == cde}, set(), 0
+        while front:
+            hop += 1
+            step = {e for e in edges if e[0] == cde and (e[3], e[4]) in front and e not in found}
+            found |= {e: hop for e in step}
+            seen |= front
+            front = {(e[1], e[2]) for e in step} - seen
+    return found
+
+
+def test_trace_equals_a_walk_hop_by_hop(spark):
+    draw = random.Random(11)
+    for nodes, many in ((12, 10), (12, 18), (30, 30), (40, 60)):
+        edges = {(draw.choice("cd"), f"s{draw.randrange(nodes)}", "f", f"s{draw.randrange(nodes)}", "f") for _ in range(many)}
+        roots = {("c", "s0", "f"), ("c", "s1", "f"), ("d", "s2", "f")}
+        got = g.trace(spark.createDataFrame(sorted(edges), gov.EDGE_SCHEMA), spark.createDataFrame(sorted(roots), gov.ROOT_SCHEMA))
+        assert {(r["cde"], *[r[c] for c in ("src_system", "src_field", "dst_system", "dst_field")]): r["hop"] for r in got.collect()} == walked(edges, roots)
+
+
+def test_a_long_chain_takes_few_tables(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(g, "materialize", lambda df, keep=g.materialize: made.append(1) or keep(df))
+    edges = [("c", f"s{i}", "f", f"s{i + 1}", "f") for i in range(1000)]
+    got = g.trace(spark.createDataFrame(edges, gov.EDGE_SCHEMA), spark.createDataFrame([("c", "s1000", "f")], gov.ROOT_SCHEMA))
+    assert {r["src_system"]: r["hop"] for r in got.collect()} == {f"s{i}": 1000 - i for i in range(1000)}
+    assert len(made) < 35

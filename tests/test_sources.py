@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import housing_rows
 
@@ -139,3 +140,36 @@ def test_csv_export(spark, tmp_path):
 def test_reference_tables_keep_quoted_commas(spark, tmp_path):
     (tmp_path / "g.csv").write_text('CDE,Rule\nA,"x, ""y"""\n')
     assert tables.read_reference(spark, str(tmp_path / "g.csv")).first().asDict() == {"CDE": "A", "Rule": 'x, "y"'}
+
+
+def test_rejects_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,price,name\n1,2.5,x\ntwo,3,"a ""quoted"" one"\n3,NA,y\n4,5,z,surplus\n5,6\n')
+    (folder / "b.csv").write_text("id,price,name\n6,much,\n7,8,w\nx,y,v\n")
+    schema = "id long, price double, name string"
+    good, rejects = tables.read_csv_lenient(spark, str(folder), T._parse_datatype_string(schema))
+    assert sorted((r["id"], r["price"], r["name"]) for r in good.collect()) == [(1, 2.5, "x"), (3, None, "y"), (7, 8.0, "w")]
+    got = {(r["file"].rsplit("/", 1)[1], r["row"]): (r["reason"], r["columns"]) for r in rejects.collect()}
+    assert got == {
+        ("a.csv", 2): ("cell", ["id"]), ("a.csv", 4): ("cells", []), ("a.csv", 5): ("cells", []),
+        ("b.csv", 1): ("cell", ["price"]), ("b.csv", 3): ("cell", ["id", "price"]),
+    }
+    lines = {r["row"]: r["line"] for r in rejects.filter("file LIKE '%a.csv'").collect()}
+    assert "surplus" in lines[4] and "two" in lines[2]
+    with pytest.raises(ValueError, match="rename"):
+        (folder / "c.csv").write_text("id,_place\n1,2\n")
+        tables.read_csv_lenient(spark, str(folder / "c.csv"), T._parse_datatype_string(schema))
+
+
+def test_rows_are_numbered_over_splits(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("id,price\n" + "".join(f"{i},{'x' if i % 100 == 0 else i}\n" for i in range(1, 3001)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        good, rejects = tables.read_csv_lenient(spark, str(path), T._parse_datatype_string("id long, price long"))
+        assert good.count() == 2970
+        assert sorted(r["row"] for r in rejects.collect()) == list(range(100, 3001, 100))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
