@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumbline.operators.lookup import HEAVY, Facts
+from plumbline.operators.lookup import HEAVY, Facts, attach
 from plumbline.operators.rule import Check, GroupCheck, Scope
 
 COMPARISONS: dict[str, Callable] = {
@@ -233,11 +233,14 @@ class SigmaOutlier(Check):
 class Unique(GroupCheck):
     """Fails every row whose key occurs more than once; nulls count as equal.
 
-    With `digest`, text keys are compared by their SHA-256, so that long texts are neither shuffled nor broadcast.
+    With `digest`, text keys are compared by their SHA-256, so that long texts are neither shuffled nor broadcast. With
+    `candidates`, keys are first counted by a hash of eight bytes, and only rows whose hash occurs more than once are grouped
+    by the keys themselves: for wide keys of which few repeat. The result is exact either way.
     """
 
     keys: tuple[str, ...]
     digest: bool = False
+    candidates: bool = False
 
     @property
     def columns(self):
@@ -258,10 +261,21 @@ class Unique(GroupCheck):
             return F.sha2(scope.col(name), 256)
         return scope.col(name)
 
-    def groups(self, df: DataFrame, scope: Scope) -> DataFrame:
+    def possible(self, df: DataFrame, scope: Scope) -> DataFrame:
+        """The keys of the rows that may have an equal; with `candidates`, few others than those that have."""
         keys = self.present(scope)
         rows = df.select(*[self.key(k, scope).alias(k) for k in keys])
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        if not self.candidates:
+            return rows
+        hashed = F.xxhash64(*keys)
+        twice = rows.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").withColumn("_maybe", F.lit(True))
+        found = attach(rows, Facts(twice, ("_hash",), ("_maybe",), row_keys=(hashed,)))
+        return found.filter("_maybe").select(*keys)
+
+    def groups(self, df: DataFrame, scope: Scope) -> DataFrame:
+        """Keys with their number of rows (`_n`); with `candidates`, those that occur once may be absent."""
+        keys = self.present(scope)
+        return self.possible(df, scope).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
     def facts(self, df: DataFrame, scope: Scope) -> Facts:
         groups = self.groups(df, scope).filter("_n > 1").withColumn(self.flag, F.col("_n"))
@@ -270,9 +284,8 @@ class Unique(GroupCheck):
 
     def tally(self, df: DataFrame, scope: Scope) -> DataFrame:
         copies = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
-        return self.groups(df, scope).agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(copies, F.lit(0)).alias("failed")
-        )
+        total = F.lit(df.count()) if self.candidates else F.coalesce(F.sum("_n"), F.lit(0))
+        return self.groups(df, scope).agg(total.cast("long").alias("total"), F.coalesce(copies, F.lit(0)).alias("failed"))
 
     def tally_by(self, df: DataFrame, scope: Scope, slices: Sequence[str]) -> DataFrame:
         keys = [F.col(f"_k{i}") for i in range(len(self.present(scope)))]
@@ -453,5 +466,5 @@ def sigma_outlier(column: str, by: str, **options: Any) -> SigmaOutlier:
     return SigmaOutlier(column, by, **options)
 
 
-def unique(*keys: str, digest: bool = False) -> Unique:
-    return Unique(tuple(keys), digest)
+def unique(*keys: str, digest: bool = False, candidates: bool = False) -> Unique:
+    return Unique(tuple(keys), digest, candidates)

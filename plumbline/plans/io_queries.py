@@ -5,13 +5,14 @@ from __future__ import annotations
 import contextlib
 import json
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import contract as contracts
 from plumbline.operators import bands as ranges
-from plumbline.operators import explore, governance, scorecards, statistics
+from plumbline.operators import explore, governance, marks, scorecards, statistics
 from plumbline.operators.checks import Unique
 from plumbline.operators.lookup import attach
 from plumbline.operators.remediate import remediate
@@ -326,6 +327,31 @@ def lineage_systems(spark, sf_dir):
     return hops.join(F.broadcast(found))  # one row
 
 
+def _marked(spark: SparkSession, sf_dir: str) -> tuple[Run, DataFrame]:
+    lines = packs.with_month(tables.with_record_id(table(spark, sf_dir, "lineitem")))
+    run = Run(lines, packs.lineitem_rules(spark, sf_dir), as_of="2001-06")
+    return run, marks.marks(run)
+
+
+@query
+def lineitem_unique_failed(spark, sf_dir):
+    """Lines that fail any rule of a pack with two rules over many rows, from bitmaps of line numbers."""
+    return marks.unique_failed(*_marked(spark, sf_dir))
+
+
+@query
+def rules_failing_together(spark, sf_dir):
+    """Pairs of rules with the lines that fail both."""
+    return marks.failing_together(_marked(spark, sf_dir)[1])
+
+
+@query
+def turn_texts_unique(spark, sf_dir):
+    """The conversation pack with its wide keys counted by hash first: only texts whose hash repeats are grouped."""
+    rules = [r.with_(check=replace(r.check, candidates=True, digest=False)) if isinstance(r.check, Unique) else r for r in packs.turn_rules()]
+    return Run(table(spark, sf_dir, "conversations"), rules).scorecard()
+
+
 @query
 def contract_many_invalid(spark, sf_dir):
     """A domain that nearly all values miss: the check counts them, however many there are."""

@@ -503,6 +503,17 @@ ORACLE: dict[str, str] = {
       SELECT cde, CAST(min(hop) AS INT) AS hop, src_system, src_field, dst_system, dst_field,
         (SELECT CAST(sum(Records_Failed) AS BIGINT) FROM sc) AS Failures FROM w GROUP BY ALL""",
     "exception_page_far": f"{EX} SELECT {SHOWN} FROM ex ORDER BY record_key, _rule_id LIMIT 100 OFFSET 700",
+    "lineitem_unique_failed": f"""WITH {LINE_FLAGS}, uf AS (SELECT count(*) AS total_records,
+        count(*) FILTER (WHERE {" OR ".join(f"f{i[-3:]}" for i in LINE_FAILS)}) AS failed_records FROM lf)
+      SELECT *, {tenths("total_records - failed_records", "total_records")} AS clean_pct FROM uf""",
+    "rules_failing_together": f"WITH {LINE_FLAGS} SELECT * FROM ("
+    + union(
+        f"SELECT {q(a)} AS Rule_ID, {q(b)} AS With_Rule_ID, count(*) FILTER (WHERE f{a[-3:]} AND f{b[-3:]}) AS records FROM lf"
+        for a in LINE_FAILS
+        for b in LINE_FAILS
+        if a < b
+    )
+    + ") WHERE records > 0",
     "scorecard_by_slice": f"WITH {LINE_FLAGS} {scored_by(LINE_RULES, 'lf', ['l_returnflag', 'l_linestatus'], totals=True)}",
     "scorecard_by_area": f"WITH {FLAGS} {scored_by(RULES, 'flags', ['GEO_CODE'])}",
     "rule_scorecard": f"WITH {SCORE} {SCORECARD.format('sc')}",
@@ -713,6 +724,7 @@ ORACLE: dict[str, str] = {
 for _name, _same in (
     ("stream_uniqueness", "lineitem_scorecard"),
     ("escalation_from_file", "escalation"),
+    ("turn_texts_unique", "conversation_scorecard"),
     ("contract_from_file", "contract_checks"),
     ("steward_load_from_file", "steward_load"),
     ("outputs_remediated", "remediated"),
