@@ -204,3 +204,30 @@ def leaks(docs, items, n=10, span=12):
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((i, len(own), len(hit), len(found), digest, bool(hit), len(near)))
     return out
+
+
+def secret_spans(rows, most=(2, 4, 50)):
+    """Of (doc_id, text, owner, repo): all spans, joined."""
+    bare = re.compile("[A-Za-z0-9+/_-]{20,}")
+    found, held = [], defaultdict(lambda: (set(), set(), set()))
+    for place, (i, text, owner, repo) in enumerate(rows):
+        own = []
+        for rank, (kind, pattern, group, least) in enumerate([*PATTERNS, ("bare", bare, 0, 20)]):
+            for m in pattern.finditer(text or ""):
+                if len(m.group(group)) >= least:
+                    own.append((m.start(), rank, m.end(), kind, m.group(group)))
+                    for known, x in zip(held[m.group(group)], (owner, (owner, repo), place), strict=True):
+                        known.add(x)
+        found.append((i, own))
+
+    def live(value):
+        return re.search("[A-Za-z]", value) and re.search("[0-9]", value) and len(set(value)) >= 8 and not re.search("(?i)example|sample|dummy|placeholder|changeme|xxxx", value)
+
+    out = []
+    for i, own in found:
+        spans = {(start, rank, end, kind) for start, rank, end, kind, _ in own if rank < 3}
+        for _, _, end, _, value in own:
+            if live(value) and all(len(x) <= limit for x, limit in zip(held[value], most, strict=True)):
+                spans.add((end - len(value), 3, end, "owned"))
+        out.append((i, ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))))
+    return out
