@@ -2,8 +2,9 @@
 
 A text is a lattice: from every position lead the pieces that match there, and characters that are no piece lead on by
 their bytes. The best path has the highest sum of scores, and of equal ones the longest last piece. The encoder keeps a
-window of the longest piece's length; whenever the paths of all positions in it come from one boundary, the
-ids up to there are final and leave the window. Its memory does not grow with the text.
+window of a few times the longest piece's length; whenever the paths of all positions in it come from one boundary, the
+ids up to there are final and leave the window: at once where no path goes beyond the position that is reached, and by
+following the paths back where the window is full. Its memory does not grow with the text, and all ids come from it.
 
 Where no piece can cross a boundary all paths converge there, whatever follows. Texts are cut at such places first, before
 runs of spaces and around line ends, if the vocabulary has no piece that spans them; what lies between is remembered.
@@ -21,6 +22,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -63,97 +65,79 @@ class Lattice:
 
     def stream(self, text: Iterable[str]) -> Iterator[int]:
         """Ids of a text that comes as characters."""
-        longest = self.longest
-        window: list[str] = []  # characters from `base` on
-        base = 0
-        best: list[int | None] = [0]  # scores of the best paths to base, base + 1, ...
-        came: list[tuple[int, tuple[int, ...]] | None] = [None]  # start of the last step, its ids
-        ended = False
+        longest, tree = self.longest, self.tree
         source = iter(text)
-        done = 0  # positions before base + done have led on to all pieces that match there
+        window = list(islice(source, 2 * longest))  # characters that are not final yet
+        ended = len(window) < 2 * longest
+        n = len(window)
+        best: list = [0] + [None] * n  # scores of the best paths to the window's positions
+        came: list = [0] * (n + 1)  # where their last steps start
+        step: list = [None] * (n + 1)  # and what these are: a piece's id, or a list of the ids of bytes
+        done = 0  # positions before it have led on to all pieces that match there
+        reach = 0  # the furthest position that they have led to
         while True:
-            while not ended and len(window) - done < longest:
-                c = next(source, None)
-                if c is None:
-                    ended = True
-                    break
-                window.append(c)
-                best.append(None)
-                came.append(None)
-            if done == len(window):
-                break
-            self._lead_on(window, done, base, best, came)
-            done += 1
-            if done >= 2 * longest:
-                # positions that a path can still lead on from; their paths are followed back until one boundary is left
-                open_ = {base + i for i in range(done, len(best)) if best[i] is not None}
-                while len(open_) > 1:
-                    far = max(open_)
-                    open_.remove(far)
-                    open_.add(came[far - base][0])
-                cut = open_.pop()
-                if cut > base:
-                    yield from _path(came, base, cut)
-                    del window[: cut - base], best[: cut - base], came[: cut - base]
-                    done -= cut - base
-                    base = cut
-        yield from _path(came, base, base + len(window))
-
-    def _lead_on(self, text, here: int, base: int, best: list, came: list) -> None:
-        """Steps from a position: all pieces that start there, or its character's bytes."""
-        score, below, to = best[here], self.tree, here
-        single = False
-        while to < len(text):
-            node = below.get(text[to])
-            if node is None:
-                break
-            below, number, worth = node
-            to += 1
-            if number is not None:
-                single = single or to == here + 1
-                if best[to] is None or score + worth > best[to]:
-                    best[to], came[to] = score + worth, (base + here, (number,))
-        if not single:
-            raw = text[here].encode()
-            total, to = score + self.byte_score * len(raw), here + 1
-            if best[to] is None or total > best[to]:
-                best[to], came[to] = total, (base + here, tuple(self.byte_ids[b] for b in raw))
-
-    def short(self, text: str) -> list[int]:
-        """What `stream` gives for a text that its window holds whole, where nothing is committed before the end."""
-        n = len(text)
-        best: list = [0] + [None] * n
-        came: list = [0] * (n + 1)
-        step: list = [None] * (n + 1)
-        tree = self.tree
-        for here in range(n):
-            score, below, to = best[here], tree, here
+            if not ended and n - done < longest:
+                more = list(islice(source, longest))
+                ended = len(more) < longest
+                window += more
+                best += [None] * len(more)
+                came += [0] * len(more)
+                step += [None] * len(more)
+                n = len(window)
+            if done == n:
+                return
+            # steps from a position: all pieces that start there, or its character's bytes
+            score, below, to = best[done], tree, done
             while to < n:
-                node = below.get(text[to])
+                node = below.get(window[to])
                 if node is None:
                     break
                 below, number, worth = node
                 to += 1
                 if number is not None:
-                    total = score + worth
-                    if best[to] is None or total > best[to]:
-                        best[to], came[to], step[to] = total, here, number
-            first = tree.get(text[here])
+                    total, old = score + worth, best[to]
+                    if old is None or total > old:
+                        best[to], came[to], step[to] = total, done, number
+                    if to > reach:
+                        reach = to
+            first = tree.get(window[done])
+            done += 1
             if first is None or first[1] is None:
-                raw = text[here].encode()
-                total, to = score + self.byte_score * len(raw), here + 1
-                if best[to] is None or total > best[to]:
-                    best[to], came[to], step[to] = total, here, [self.byte_ids[b] for b in raw]
-        out = []
-        while n:
-            found = step[n]
-            if type(found) is list:
-                out.extend(reversed(found))
+                raw = window[done - 1].encode()
+                total = score + self.byte_score * len(raw)
+                if best[done] is None or total > best[done]:
+                    best[done], came[done], step[done] = total, done - 1, [self.byte_ids[b] for b in raw]
+                if done > reach:
+                    reach = done
+            if reach == done:  # no path goes beyond this boundary, so all lead through it
+                cut = done
+            elif done >= 2 * longest:
+                # positions that a path can still lead on from; their paths are followed back until one boundary is left
+                open_ = {i for i in range(done, reach + 1) if best[i] is not None}
+                while len(open_) > 1:
+                    far = max(open_)
+                    open_.remove(far)
+                    open_.add(came[far])
+                cut = open_.pop()
             else:
-                out.append(found)
-            n = came[n]
-        out.reverse()
-        return out
+                continue
+            if not cut:
+                continue
+            out, at = [], cut
+            while at:
+                found = step[at]
+                if type(found) is list:
+                    out.extend(reversed(found))
+                else:
+                    out.append(found)
+                at = came[at]
+            out.reverse()
+            yield from out
+            if cut == n and ended:
+                return  # most texts are words that end here
+            del window[:cut], best[:cut], step[:cut]
+            came = [x - cut for x in came[cut:]]
+            n, done, reach = n - cut, done - cut, reach - cut
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -176,16 +160,6 @@ class Lattice:
         return b"".join(map(self.signs.__getitem__, ids)).decode()[1:]
 
 
-def _path(came: list, base: int, to: int) -> Iterator[int]:
-    """Ids of the best path from the window's first position to another."""
-    steps = []
-    while to > base:
-        to, ids = came[to - base]
-        steps.append(ids)
-    for ids in reversed(steps):
-        yield from ids
-
-
 class _Memory(dict):
     """Ids of parts of texts, as bytes. When it is full, what was asked for since it was last full is kept."""
 
@@ -196,8 +170,7 @@ class _Memory(dict):
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
-            own = self.lattice
-            ids = array("i", own.short(part) if len(part) < 2 * own.longest else own.stream(part)).tobytes()
+            ids = array("i", self.lattice.stream(part)).tobytes()
         if len(part) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
