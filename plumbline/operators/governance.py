@@ -72,6 +72,10 @@ def escalation(scorecard: DataFrame, checked: DataFrame | None = None) -> DataFr
     return issues.select("Rule_ID", "CDE_Affected", "Records_Failed", rate, *ESCALATION_COLUMNS)
 
 
+#: So many rows of rules and assignments at most are broadcast to the exceptions.
+BROADCAST_ROUTES = 100_000
+
+
 def _tokens(column: str) -> Column:
     return F.explode(F.transform(F.split(F.col(column), "[+/]"), lambda t: F.trim(t)))
 
@@ -81,14 +85,14 @@ def routes(rule_table: DataFrame, assignments: DataFrame, keep: Sequence[str] =
     ("A + B", "A / B") match on each part; a rule reaches an assignment once."""
     rules = rule_table.select("Rule_ID", *keep, _tokens("CDE_Affected").alias("_part"))
     parts = assignments.select("*", _tokens("CDE").alias("_part"))
-    return rules.join(F.broadcast(parts), "_part").drop("_part").distinct()
+    return rules.join(parts, "_part").drop("_part").distinct()
 
 
 def route_exceptions(exceptions: DataFrame, rule_table: DataFrame, assignments: DataFrame) -> DataFrame:
     """Each exception with its owner, steward and custodian."""
-    # A row per rule and assignment: bounded by the pack.
-    by_rule = routes(rule_table, assignments).withColumnRenamed("Rule_ID", "_rule_id")
-    return exceptions.join(F.broadcast(by_rule), "_rule_id")
+    # A row per rule and assignment; assignments are handed in, so their number is looked at.
+    by_rule = materialize(routes(rule_table, assignments).withColumnRenamed("Rule_ID", "_rule_id"))
+    return exceptions.join(F.broadcast(by_rule) if by_rule.count() <= BROADCAST_ROUTES else by_rule, "_rule_id")
 
 
 def steward_load(scorecard: DataFrame, assignments: DataFrame) -> DataFrame:
@@ -267,7 +271,7 @@ def cde_coverage(scorecard: DataFrame, cdes: DataFrame) -> DataFrame:
     """Per critical data element (column `CDE`): the rules on it, those that do not pass, and their failures. Elements
     without a rule are kept with zero rules."""
     rules = scorecard.select(_tokens("CDE_Affected").alias("CDE"), "Rule_ID", "Status", "Records_Failed")
-    joined = cdes.select("CDE").join(F.broadcast(rules), "CDE", "left")
+    joined = cdes.select("CDE").join(rules, "CDE", "left")
     return joined.groupBy("CDE").agg(
         F.count("Rule_ID").alias("Rules"),
         F.count_if(F.col("Status") != "PASS").alias("Rules_Not_Passing"),
@@ -280,6 +284,6 @@ def uncovered_columns(columns: Sequence[str], rule_table: DataFrame) -> DataFram
     spark = rule_table.sparkSession
     table = spark.createDataFrame([(c,) for c in columns], "column string")
     ruled = rule_table.select(_tokens("CDE_Affected").alias("column")).distinct()
-    return table.join(F.broadcast(ruled), "column", "left_anti")
+    return table.join(ruled, "column", "left_anti")
 
 

@@ -204,11 +204,31 @@ class Run:
         return rows.select(*record, ids.alias(FAILED))
 
     def failures_per_record(self) -> DataFrame:
-        """Rows (rules_failed, records): how many records fail so many rules."""
+        """Rows (rules_failed, records): how many records fail so many rules. With one uniqueness rule, records are counted per
+        key and number of other failed rules, so repeated keys need not be joined back to the rows."""
+        unique = [r for r in self.group_rules if self._runs(r) and isinstance(r.check, Unique)]
+        alone = unique[0] if len(unique) == 1 else None
+        counted = [r for r in self.rules if r is not alone]
         failed = F.lit(0)
-        for rule in self.rules:
+        for rule in counted:
             failed = failed + self.mask(rule).cast("int")
-        return self.prepared.select(failed.alias("rules_failed")).groupBy("rules_failed").agg(F.count(F.lit(1)).alias("records"))
+        if alone is None:
+            return self.prepared.select(failed.alias("rules_failed")).groupBy("rules_failed").agg(F.count(F.lit(1)).alias("records"))
+        scope = self._scope(alone)
+        facts = [r.check.facts(self.df, self._scope(r)) for r in self.group_rules if self._runs(r) and r is not alone]
+        keys = [f"_k{i}" for i in range(len(alone.check.present(scope)))]
+        own = [alone.check.key(c, scope).alias(k) for c, k in zip(alone.check.present(scope), keys, strict=True)]
+        rows = attach_all(self.df, [*self._stat_facts(counted), *facts]).select(*own, failed.alias("_failed"))
+        shares = [F.count_if(F.col("_failed") == n).alias(f"_f{n}") for n in range(len(counted) + 1)]
+        groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *shares)
+        zero = F.lit(0).cast("long")
+        sums = []
+        for n in range(len(counted) + 2):  # records of a repeated key fail one rule more
+            here = F.col(f"_f{n}") if n <= len(counted) else zero
+            below = F.col(f"_f{n - 1}") if n else zero
+            sums.append(F.sum(F.when(F.col("_n") > 1, below).otherwise(here)).alias(f"_s{n}"))
+        pairs = ", ".join(f"{n}, _s{n}" for n in range(len(counted) + 2))
+        return groups.agg(*sums).selectExpr(f"stack({len(counted) + 2}, {pairs}) AS (rules_failed, records)").filter("records > 0")
 
     def only(self, rule_ids: Sequence[str]) -> Run:
         """The run of some of the rules, for results that need no others."""

@@ -200,3 +200,13 @@ def test_a_lenient_run_by_slices(spark):
     rules = [one(c.non_negative("HOUSING_STARTS")), one(c.unique("GEO_CODE", "NOT_THERE"), "X-002"), one(c.max_value("ABSENT", 3), "X-003")]
     rows = {(r["GEO_CODE"], r["Rule_ID"]): r["Records_Failed"] for r in Run(df, rules, lenient=True).scorecard_by("GEO_CODE").collect()}
     assert rows == {("ON", "X-001"): 1, ("QC", "X-001"): 0, ("ON", "X-002"): 2, ("QC", "X-002"): 0, ("ON", "X-003"): 0, ("QC", "X-003"): 0}
+
+
+def test_failures_per_record_equal_the_listed_ones(spark, sf_dir):
+    lines = packs.lineitem(spark, sf_dir)
+    rules = packs.lineitem_rules(spark, sf_dir)
+    for some in (rules, [r for r in rules if r.rule_id != "LI-007"], [r for r in rules if r.rule_id in ("LI-007", "LI-010")]):
+        run = Run(lines, some, as_of="2001-06")
+        wanted = {r[0]: r[1] for r in run.annotated().groupBy(F.size("_failed_rules")).count().collect()}
+        assert {r["rules_failed"]: r["records"] for r in run.failures_per_record().collect()} == wanted
+    assert Run(lines.limit(0), rules, as_of="2001-06").failures_per_record().collect() == []
