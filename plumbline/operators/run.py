@@ -265,9 +265,10 @@ class Run:
     def rule(self, rule_id: str) -> Rule:
         return next(r for r in self.rules if r.rule_id == rule_id)
 
-    def violations(self, rule_id: str, keys: Sequence[str]) -> DataFrame:
+    def violations(self, rule_id: str, keys: Sequence[str], inner: bool = False) -> DataFrame:
         """The failing rows of one rule in listing form: rule, key columns, failed value and reason. Statistical rules
-        add the group's mean, deviation and upper limit."""
+        add the group's mean, deviation and upper limit; with `inner` they list rows that have them only, so not those without a
+        group or in one without values."""
         rule, check = self.rule(rule_id), self.rule(rule_id).check
         scope = self._scope(rule)
         head = [
@@ -277,6 +278,8 @@ class Run:
             *[F.col(f"`{k}`") for k in keys],
         ]
         rows, reason = self.failing_rows(rule_id), F.lit(rule.reason or rule.description)
+        if inner and isinstance(check, SigmaOutlier):
+            rows = rows.filter(F.col(f"`{check.mean}`").isNotNull())
         if isinstance(check, SigmaOutlier):
             detail = [
                 scope.raw(check.column).alias("failed_value"),

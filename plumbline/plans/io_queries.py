@@ -23,7 +23,7 @@ from plumbline.plans import housing as pack
 from plumbline.plans import packs
 from plumbline.plans.fixture import housing, table
 from plumbline.plans.housing_contract import contract
-from plumbline.plans.queries import AS_OF, DATASET, RUN_DATE, full_housing, housing_run, query
+from plumbline.plans.queries import AS_OF, DATASET, KEY, RUN_DATE, full_housing, housing_run, query, rounded
 from plumbline.session import shared_dir
 from plumbline.sources import commits, outputs, tables
 from plumbline.streaming import keys, monitor
@@ -50,6 +50,18 @@ def column_gate(spark, sf_dir):
     return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query
+def column_gate_missing(spark, sf_dir):
+    """Which columns customer lacks of those that a hand-in must have."""
+    return tables.column_gate(table(spark, sf_dir, "customer"), ["c_custkey", "c_country", "c_acctbal", "c_email"])
+
+
+@query
+def sigma_range_inner(spark, sf_dir):
+    """The statistical listing of rows that have group statistics only."""
+    return rounded(housing_run(spark, sf_dir).violations("DQ-014", KEY, inner=True))
+
+
 @query
 def template_filled(spark, sf_dir):
     """The fixture handed in by the columns of the empty template."""

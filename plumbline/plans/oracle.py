@@ -514,6 +514,8 @@ ORACLE: dict[str, str] = {
         if a < b
     )
     + ") WHERE records > 0",
+    "column_gate_missing": """SELECT 'c_custkey' AS "Column", true AS Present, count(c_custkey) AS Filled FROM customer
+      UNION ALL SELECT 'c_country', false, NULL UNION ALL SELECT 'c_acctbal', true, count(c_acctbal) FROM customer UNION ALL SELECT 'c_email', false, NULL""",
     "scorecard_by_slice": f"WITH {LINE_FLAGS} {scored_by(LINE_RULES, 'lf', ['l_returnflag', 'l_linestatus'], totals=True)}",
     "scorecard_by_area": f"WITH {FLAGS} {scored_by(RULES, 'flags', ['GEO_CODE'])}",
     "rule_scorecard": f"WITH {SCORE} {SCORECARD.format('sc')}",
@@ -721,6 +723,8 @@ ORACLE: dict[str, str] = {
     "executive_view": f"""WITH {SCORE}, {SUMMARY}, {UNIQUE} {executive_sql()}""",
 }
 
+ORACLE["sigma_range_inner"] = f"SELECT * FROM ({ORACLE['sigma_range']}) WHERE group_mean IS NOT NULL"
+
 for _name, _same in (
     ("stream_uniqueness", "lineitem_scorecard"),
     ("escalation_from_file", "escalation"),

@@ -176,19 +176,19 @@ _violations("status_domain", "DQ-012")
 _violations("mapping_consistency", "DQ-015")
 
 
-def _rounded(listing: DataFrame) -> DataFrame:
+def rounded(listing: DataFrame) -> DataFrame:
     """Group statistics to four places, as sums of doubles depend on their order."""
     return listing.withColumns({c: F.round(c, 4) for c in ("group_mean", "group_std")})
 
 
 @query
 def sigma_starts(spark, sf_dir):
-    return _rounded(housing_run(spark, sf_dir).violations("DQ-013", KEY))
+    return rounded(housing_run(spark, sf_dir).violations("DQ-013", KEY))
 
 
 @query
 def sigma_range(spark, sf_dir):
-    return _rounded(housing_run(spark, sf_dir).violations("DQ-014", KEY))
+    return rounded(housing_run(spark, sf_dir).violations("DQ-014", KEY))
 
 
 @query
@@ -245,12 +245,12 @@ def referential_lines(spark, sf_dir):
 
 @query
 def sigma_outlier(spark, sf_dir):
-    return _rounded(Run(table(spark, sf_dir, "events"), packs.event_rules()).violations("EV-001", ["event_id"]))
+    return rounded(Run(table(spark, sf_dir, "events"), packs.event_rules()).violations("EV-001", ["event_id"]))
 
 
 @query
 def sigma_two_sided(spark, sf_dir):
-    return _rounded(Run(table(spark, sf_dir, "events"), packs.event_rules()).violations("EV-002", ["event_id"]))
+    return rounded(Run(table(spark, sf_dir, "events"), packs.event_rules()).violations("EV-002", ["event_id"]))
 
 
 @query

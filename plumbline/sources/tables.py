@@ -149,6 +149,22 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"missing required columns: {', '.join(missing)}")
 
 
+def column_gate(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """The gate as a table, for showing what is missing instead of raising: one row per required column (Column, Present,
+    Filled), `Filled` being the rows in which it is set, NULL for an absent column. One aggregate over the columns there are."""
+    have = [c for c in required if c in df.columns]
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(have)])
+    lines = [
+        F.struct(
+            F.lit(c).alias("Column"),
+            F.lit(c in have).alias("Present"),
+            (F.col(f"_n{have.index(c)}") if c in have else F.lit(None).cast("long")).alias("Filled"),
+        )
+        for c in required
+    ]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def empty_template(spark: SparkSession, columns: Sequence[str], schema: T.StructType = HOUSING_SCHEMA) -> DataFrame:
     """An empty table with the given columns, to be filled in and handed back."""
     return spark.createDataFrame([], T.StructType([schema[c] for c in columns]))
