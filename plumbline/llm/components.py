@@ -1,7 +1,8 @@
 """Connected components of a graph of links, by alternating large and small stars.
 
-Each round joins every link with the smallest neighbour of one of its ends. Minima are combined before the shuffle, and
-links meet them in joins that AQE can split, so a node with any number of links is no task of its own.
+Each round joins every link with the smallest neighbour of one of its ends. Minima are combined before the shuffle and
+written; links then meet them in joins of two tables at rest, which AQE can split, so a node with any number of links is no
+task of its own.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ def components(links: DataFrame) -> DataFrame:
         state = now
         # large star: larger neighbours of u go to the smallest node of u and its neighbours
         both = down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")), light=True)
         large = both.filter("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = settle(large.filter("u <> v").distinct(), light=True)
         # small star: u and its smaller neighbours go to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
+        least = settle(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m"), light=True)
         small = large.join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select(F.col("c").alias("u"), F.col("m").alias("v"))
         down = settle(small.union(own).filter("u <> v").distinct(), light=True)

@@ -367,10 +367,10 @@ class NearDuplicates:
         heavy = heavy.filter("common >= need").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
         heavy = heavy.select("sid", "n", "need", F.coalesce("label", "sid").alias("label"))
         rows = settle(self.marks.select("sid", "gram").join(heavy, "sid"), light=True)
-        pivots = rows.groupBy("gram").agg(F.min("sid").alias("pivot"))
+        pivots = settle(rows.groupBy("gram").agg(F.min("sid").alias("pivot")), light=True)  # so that AQE can split the join
         own = rows.join(pivots, "gram").groupBy("pivot", "sid", "n", "need", "label").agg(F.count(F.lit(1)).alias("grams"))
         own = settle(own, light=True)
-        groups = own.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        groups = settle(own.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.min("label").alias("lo"), F.max("label").alias("hi")), light=True)
         onward = Window.partitionBy("sid").orderBy("sets", "pivot").rowsBetween(0, Window.unboundedFollowing)
         own = own.join(groups, "pivot").withColumn("onward", F.sum("grams").over(onward)).filter("onward >= need and lo < hi")
         own = settle(own.select("pivot", "sid", "n", "label"), light=True)
@@ -388,7 +388,8 @@ class NearDuplicates:
         """Per row: doc_id, n_shingles, component_id, and its place in its component (0: the smallest doc_id)."""
         rows = self.members.join(self.labels, F.col("sid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "sid"))
         rows = settle(rows.select("doc_id", "key", "sid", "n", "label"), light=True)
-        least = rows.filter("sid is not null").groupBy("label").agg(F.min("doc_id").alias("least")).withColumnRenamed("label", "of")
+        least = rows.filter("sid is not null").groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("least"))
+        least = settle(least, light=True)
         rows = rows.join(least, F.col("label") == F.col("of"), "left")
         component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("least"))
         return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "key", "label")
