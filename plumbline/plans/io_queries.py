@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import contract as contracts
 from plumbline.operators import bands as ranges
-from plumbline.operators import explore, governance, marks, scorecards, statistics
+from plumbline.operators import explore, governance, marks, profile, scorecards, statistics
 from plumbline.operators.checks import Unique
 from plumbline.operators.lookup import attach
 from plumbline.operators.remediate import remediate
@@ -364,6 +364,14 @@ def turn_texts_unique(spark, sf_dir):
     return Run(table(spark, sf_dir, "conversations"), rules).scorecard()
 
 
+@query
+def profile_sketch_error(spark, sf_dir):
+    """The approximate profile of lineitem's numbers: whether its quartiles and distinct values are as near as promised."""
+    off = profile.sketch_error(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"])
+    near = (F.col("Rank_Error") <= profile.RANK_ERROR).alias("Quartiles_Hold"), (F.col("Distinct_Error") <= profile.DISTINCT_ERROR).alias("Distinct_Holds")
+    return off.select("Column", "Not_Null_Count", "Unique_Values", *near)
+
+
 @query
 def contract_many_invalid(spark, sf_dir):
     """A domain that nearly all values miss: the check counts them, however many there are."""

@@ -514,6 +514,10 @@ ORACLE: dict[str, str] = {
         if a < b
     )
     + ") WHERE records > 0",
+    "profile_sketch_error": union(
+        f"SELECT {q(c)} AS \"Column\", count({c}) AS Not_Null_Count, count(DISTINCT {c}) AS Unique_Values, true AS Quartiles_Hold, true AS Distinct_Holds FROM lineitem"
+        for c in ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount")
+    ),
     "column_gate_missing": """SELECT 'c_custkey' AS "Column", true AS Present, count(c_custkey) AS Filled FROM customer
       UNION ALL SELECT 'c_country', false, NULL UNION ALL SELECT 'c_acctbal', true, count(c_acctbal) FROM customer UNION ALL SELECT 'c_email', false, NULL""",
     "scorecard_by_slice": f"WITH {LINE_FLAGS} {scored_by(LINE_RULES, 'lf', ['l_returnflag', 'l_linestatus'], totals=True)}",

@@ -3,7 +3,7 @@ import pytest
 from helpers import by
 from pyspark.sql import functions as F
 
-from plumbline.operators.profile import column_profile, domain_validation, profile_scorecard
+from plumbline.operators.profile import DISTINCT_ERROR, RANK_ERROR, column_profile, domain_validation, profile_scorecard, sketch_error
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.plans import housing as pack
 from plumbline.plans.fixture import table
@@ -100,3 +100,15 @@ def test_long_texts_are_counted_by_digest(spark):
     rows = [(long + "a",), (long + "b",), (long + "b",), ("short",)]
     row = column_profile(spark.createDataFrame(rows, "s string")).first()
     assert (row["Top_Value"], row["Top_Value_Freq"], row["Unique_Values"]) == (long + "b", 2, 3)
+
+
+def test_sketch_error(spark):
+    rows = [(float(i % 1000), i, None, 7) for i in range(20_000)]
+    found = by(sketch_error(spark.createDataFrame(rows, "a double, b long, c int, d int").repartition(3)), "Column")
+    assert {c: (r["Not_Null_Count"], r["Unique_Values"]) for c, r in found.items()} == {"a": (20_000, 1000), "b": (20_000, 20_000), "c": (0, 0), "d": (20_000, 1)}
+    assert all(r["Rank_Error"] <= RANK_ERROR and r["Distinct_Error"] <= DISTINCT_ERROR for r in found.values())
+
+
+def test_approximate_profile_without_a_frequent_value(spark):
+    row = column_profile(spark.range(200_000), approximate=True).first()
+    assert row["Top_Value"] is None or row["Top_Value_Freq"] >= 1
