@@ -2,8 +2,9 @@
 
 Every source is to give a share of the mix in proportion to its weight, but at most `epochs` times its own size. Sources
 whose share is above that are clamped there and the rest is shared out anew by weight, until no source is above. A source
-then gives whole repetitions of all its documents, and of some, drawn by a seeded hash, one more; the last drawn gives the
-fraction of a repetition that is left, so that a source's words meet its target to half a word.
+then gives whole repetitions of all its documents, and of some, drawn by a seeded hash, one more; the last drawn is due the
+fraction of a repetition that is left, so that a source's words meet its target to half a word. In `mixed`, which hands texts
+on, that one is drawn whole or not at all.
 
 Only sums per source and per slice of the hash order are gathered: one source may hold most rows. A row's share of the mix
 follows from its own columns and one row of facts about its source, so texts are not shuffled for it.
@@ -131,23 +132,19 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, epochs: int =
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, epochs: int = 3, seed: str = SEED) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of the input. A repetition in part has the
-    words taken, joined by one space, and its n_chars is counted anew if there is such a column."""
+    """The mix itself: every document as often as it is taken, with the columns of the input. Texts stay whole: the document
+    of which part of a repetition is due is given once more or not at all, drawn by a second hash with the part as its chance.
+    So a source may miss its target by less than the size of that one document."""
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     rows = settle(work.select(F.col("doc.source").alias("source"), draw(F.col("doc.doc_id"), seed).alias("place"), word_count(F.col("doc.text")).alias("size")))
     plan = source_plan(rows, weights, epochs)
     work = work.withColumns({"source": F.col("doc.source"), "size": word_count(F.col("doc.text"))})
     work = with_taken(work, plan, "source", draw(F.col("doc.doc_id"), seed), F.col("size"))
-    work = work.withColumn("times", (F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)).cast("int")).filter("times > 0")
+    chance = F.conv(F.substring(draw(F.col("doc.doc_id"), f"{seed}-edge"), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    once_more = F.when(chance * F.col("size") < F.col("extra"), 1).otherwise(0)  # always where a whole repetition is due
+    work = work.withColumn("times", (F.col("whole") + once_more).cast("int")).filter("times > 0")
     work = work.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    part = (F.col("turn") > F.col("whole")) & (F.col("extra") < F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0)), 1, F.col("extra").cast("int")), " ")
-    columns = {c: F.col(f"doc.`{c}`") for c in docs.columns}
-    columns["text"] = F.when(part, cut).otherwise(F.col("doc.text"))
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(part, F.length(cut).cast(kind)).otherwise(F.col("doc.n_chars"))
-    return work.select(*[v.alias(c) for c, v in columns.items()])
+    return work.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def mix_sql(epochs: int = 3, cycle: int = 3, seed: str = SEED) -> str:

@@ -6,7 +6,9 @@ their features. A document's raw score is the weighted sum. The threshold is a q
 that parts the classes best. Scores are squashed so that the threshold is at 0.7.
 
 Training sees at most `MAX_LABELLED` documents of each class, the first in the order of a hash; that bound keeps what the
-driver holds to a few megabytes. Scores are computed for every document, from its whole text.
+driver holds to a few megabytes. Labelled rows are counted first, and only those whose hash lies below the share that is
+needed are looked at: their texts are found by a join with at most some ten thousand ids, and no task sorts more. Scores are
+computed for every document, from its whole text, in one pass.
 
 Defined cases: text NULL counts as empty; empty texts have a score too. Labels that are NULL, held out, or whose document
 is missing teach nothing; a document with several labels counts once for each. Unless both classes are known, nothing can
@@ -158,21 +160,52 @@ def held_out(ident: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(ident.cast("string"), F.lit("")), "utf-8")) % 4 == 2
 
 
-def train(found: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Ranker:
-    """`found` has (doc_id, features), `labels` has (doc_id, quality)."""
-    known = labels.select("doc_id", "quality").filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-    rows = found.select("doc_id", "features").join(known, "doc_id")
-    order = F.md5(F.concat(F.lit(f"{SEED}:"), F.col("doc_id").cast("string")))
-    parts = [rows.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(max_labelled).select("quality", "features") for q in (0, 1)]
-    sample = [r for p in parts for r in p.collect()]  # at most max_labelled rows of each class
-    x = np.array([r["features"] for r in sample], float).reshape(-1, len(FEATURES))
-    return fit(x, np.array([r["quality"] for r in sample], int))
+#: More labelled rows are looked at than are needed, by this share and number, as hashes do not fall evenly.
+SLACK, SPARE = 1.1, 500
+
+
+def _draw(ident: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{SEED}:"), ident.cast("string")))
+
+
+def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """Of (doc_id, text) and (doc_id, quality): text and quality of the first labelled rows of each class, by hash."""
+    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("of"), "quality")
+    there = docs.select("doc_id").join(known, F.col("doc_id") == F.col("of"))
+    there = settle(there.groupBy("of", "quality").agg(F.count(F.lit(1)).alias("n")))
+    counts = {r["quality"]: r["n"] for r in there.groupBy("quality").agg(F.sum("n").alias("n")).collect()}
+    low = F.conv(F.substring(_draw(F.col("of")), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    parts = []
+    for quality, n in sorted(counts.items()):
+        share = min(1.0, (max_labelled * SLACK + SPARE) / n)
+        while True:  # once, unless hashes fall very unevenly
+            near = there.filter((F.col("quality") == quality) & (low < F.lit(share)))
+            if share >= 1 or (near.agg(F.sum("n")).first()[0] or 0) >= max_labelled:
+                break
+            share = min(1.0, 2 * share)
+        parts.append(near)
+    if not parts:
+        return docs.select("text", F.lit(None).cast("int").alias("quality")).limit(0)
+    ids = settle((parts[0] if len(parts) == 1 else parts[0].union(parts[1])).select("of", "quality"))
+    rows = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("of"))  # twice max_labelled ids and some
+    first = [rows.filter(F.col("quality") == q).orderBy(_draw(F.col("of")), "of").limit(max_labelled) for q in sorted(counts)]
+    return (first[0] if len(first) == 1 else first[0].union(first[1])).select("text", "quality")
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Ranker:
+    """`docs` has (doc_id, text), `labels` has (doc_id, quality)."""
+    rows = sample(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), max_labelled)
+    found = rows.select("quality", feature_column(F.col("text")).alias("features")).collect()  # at most max_labelled rows of each class
+    # the order of rows must not decide: sums of doubles depend on it
+    found = sorted((tuple(r["features"]), r["quality"]) for r in found)
+    x = np.array([f for f, _ in found], float).reshape(-1, len(FEATURES))
+    return fit(x, np.array([q for _, q in found], int))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row of (doc_id, text): doc_id, held_out, score, predicted."""
-    found = settle(docs.select("doc_id", feature_column(F.col("text")).alias("features")))
-    ranker = train(found, labels, max_labelled)
+    ranker = train(docs, labels, max_labelled)
+    found = docs.select("doc_id", feature_column(F.col("text")).alias("features"))
     return found.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -187,6 +220,5 @@ def accepted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     """The documents that are not rejected, with all their columns."""
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     rows = work.select("doc", feature_column(F.col("doc.text")).alias("features"))
-    found = settle(rows.select(F.col("doc.doc_id").alias("doc_id"), "features"))
-    ranker = train(found, labels, max_labelled)
+    ranker = train(work.select("doc.doc_id", "doc.text"), labels, max_labelled)
     return rows.filter(ranker.accepts(F.col("features"))).select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

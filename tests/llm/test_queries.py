@@ -7,12 +7,11 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from plumbline.llm import mixing, ranker
-from plumbline.llm.common import settle, table
+from plumbline.llm.common import table
 from plumbline.llm.fertility import vocabulary_path
 from plumbline.llm.queries import ORACLE, QUERIES
 from plumbline.llm.viterbi import SPACE, lattice
@@ -118,8 +117,7 @@ def test_viterbi(spark, sf_dir, texts):
 def test_pipeline(spark, sf_dir):
     """Against the stages the plain way: features and weights by numpy, groups by all pairs, the mix by rounds."""
     docs = table(spark, sf_dir, "documents").collect()
-    found = settle(table(spark, sf_dir, "documents").select("doc_id", ranker.feature_column(F.col("text")).alias("features")))
-    model = ranker.train(found, table(spark, sf_dir, "labels"))
+    model = ranker.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     x = ranker.features(pa.array([d.text for d in docs]))
     z = np.clip((x - np.array(model.mean)) / np.array(model.scale), -5, 5)
     docs = [d for d, raw in zip(docs, z @ np.array(model.weight), strict=True) if raw >= model.threshold - 1e-9]
@@ -139,12 +137,13 @@ def test_pipeline(spark, sf_dir):
     for r in rows:
         taken[source[r.doc_id]] += len(brute.WORD.findall(own.decode(r.ids)))
         times[r.doc_id] = times.get(r.doc_id, 0) + 1
-    assert all(abs(taken[s] - goal[s]) <= 1 for s in sources)
+    largest = {s: max(size[d.doc_id] for d in docs if d.source == s) for s in sources}
+    assert all(abs(taken[s] - goal[s]) <= 1 + largest[s] for s in sources)  # texts stay whole
     whole = {s: int(round(goal[s]) // sums[s]) for s in sources}
     assert all(times.get(d.doc_id, 0) - whole[d.source] in (0, 1) for d in docs)
     whole_ids = {tuple(brute.viterbi(own, SPACE + d.text.replace(" ", SPACE))) for d in docs if d.text and len(d.text) < 2000}
     mine = {tuple(r.ids) for r in rows}
-    assert len(whole_ids - mine) <= sum(times.get(d.doc_id, 0) == 0 for d in docs) + len(sources)
+    assert len(whole_ids - mine) <= sum(times.get(d.doc_id, 0) == 0 for d in docs)
 
 
 def test_mix_draws_by_seed(spark, sf_dir):
