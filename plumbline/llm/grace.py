@@ -201,14 +201,15 @@ def exact_groups(docs: DataFrame, budget: int = TABLE_BYTES) -> DataFrame:
     found = groups(docs, budget).select(F.col("digest").alias("of"), "keep_id", "keep_length", "n")
     length = F.coalesce(F.char_length("text"), F.lit(0)).cast("long")
     rows = docs.select("doc_id", length.alias("length"), content_digest(F.col("text")).alias("digest"))
-    rows = rows.join(found, F.col("digest") == F.col("of"), "left")
+    # equal rows are numbered first, so that the join by digest comes last and AQE can split a large group
+    same = Window.partitionBy("digest", "doc_id", "length").orderBy("length")
+    rows = rows.withColumn("turn", F.row_number().over(same)).join(found, F.col("digest") == F.col("of"), "left")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("length") == F.col("keep_length"))
-    same = Window.partitionBy("digest", "doc_id", "length").orderBy("n")
     return rows.select(
         "doc_id",
         "keep_id",
         F.col("n").alias("group_size"),
-        (stays & (F.row_number().over(same) == 1)).alias("kept"),
+        (stays & (F.col("turn") == 1)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
