@@ -48,10 +48,11 @@ def plan_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """The rows of (page_id, payload) that are revisits: page_id, its content's hash, refers_to."""
     rows = settle(pages.select("page_id", F.sha2("payload", 256).alias("hash"), F.octet_length("payload").alias("bytes")))
     rows = rows.filter(F.col("bytes") >= least_bytes)
-    best = rows.groupBy("hash").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    both = rows.join(best.withColumnRenamed("hash", "of"), F.col("hash") == F.col("of"))
+    best = rows.groupBy(F.col("hash").alias("of")).agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # the join comes last and both its sides are at rest or dealt for it alone, so AQE can split a hot hash
+    both = rows.select("page_id", "hash").distinct().join(settle(best.drop("n")), F.col("hash") == F.col("of"))
     revisits = both.filter(~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull())
-    return settle(revisits.select(F.col("page_id").alias("revisit_id"), F.col("hash").alias("of"), "refers_to").distinct())
+    return settle(revisits.select(F.col("page_id").alias("revisit_id"), "of", "refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
