@@ -41,6 +41,8 @@ BANDS = {"chars_per_token": ((0.25, 4.0), (0.25, 4.0)), "byte_share": (None, (0.
 ENTROPY = ("entropy_bits", "entropy_share")
 MEASURED = (*BANDS, "entropy_share")
 LEAST_WORDS, MOST_REPEATED = 20, 30
+#: Measures are counted in steps of this for the quartiles.
+STEP = 1e-4
 SYMBOLS = b"#*$%&|<>"
 CACHED_WORDS = 300_000
 
@@ -191,15 +193,28 @@ def _log_tokens() -> Column:
     return F.log2(F.greatest("n_tokens", F.lit(2)))
 
 
+def _quartiles(values: DataFrame) -> DataFrame:
+    """Per (of_band, at): n and both quartiles of each measure, from the counts of every measure in steps of `STEP`. Unlike
+    those of a sketch they do not depend on the order in which tasks end."""
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m) / STEP).cast("long").alias("value")) for m in MEASURED])
+    counts = values.select("of_band", "at", F.inline(cells)).groupBy("of_band", "at", "measure", "value").agg(F.count(F.lit(1)).alias("c"))
+    group = Window.partitionBy("of_band", "at", "measure")  # as many rows as a measure has steps
+    counts = counts.withColumns({"total": F.sum("c").over(group), "upto": F.sum("c").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))})
+
+    def at(share: float) -> Column:
+        return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), F.col("value"))) * STEP
+
+    found = counts.groupBy("of_band", "at", "measure").agg(F.max("total").alias("n"), F.array(at(0.25), at(0.75)).alias("quartiles"))
+    wide = [F.max(F.when(F.col("measure") == m, F.col("quartiles"))).alias(f"{m}_quartiles") for m in MEASURED]
+    return found.groupBy("of_band", "at").agg(F.max("n").alias("n"), *wide)
+
+
 def bands(measured: DataFrame, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """Per language or script and class of length: both quartiles of each measure, for every class."""
     judged = measured.filter(F.col("n_tokens") >= least_tokens).withColumn("entropy_bits", F.col("entropy_share") * _log_tokens())
     values = judged.select("band", _length_class().alias("own"), _base_failed().alias("failed"), *MEASURED).distinct()
     of = F.when(F.col("failed"), F.array(F.lit(WHOLE))).otherwise(F.array(F.lit(WHOLE), "own"))
-    quartiles = values.withColumn("at", F.explode(of)).groupBy(F.col("band").alias("of_band"), "at").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias(f"{m}_quartiles") for m in MEASURED],
-    )
+    quartiles = _quartiles(values.select(F.col("band").alias("of_band"), F.explode(of).alias("at"), *MEASURED))
     language = Window.partitionBy("of_band")
     enough = quartiles.filter((F.col("n") >= LEAST_IN_CLASS) | (F.col("at") == WHOLE)).withColumn("last", F.max("at").over(language))
     enough = enough.filter((F.col("at") != WHOLE) | (F.col("last") == WHOLE))
