@@ -360,9 +360,9 @@ def test_windows_of_one_hash_are_told_apart_by_their_check():
         raw = [np.array(x, t).tobytes() for x, t in zip(([5, 5], [1, 2], [1, 2], [0, 0], check), substrings.KINDS, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), *(pa.array([x], pa.binary()) for x in raw)], names="bucket hashes keys ks whats checks".split())
 
-    repeats = [sum(len(b.column(4).flatten()) for b in substrings._answer(True, True, 4)([asked(check)])) for check in ([7, 7], [7, 8])]
+    repeats = [sum(len(b.column(4).flatten()) for b in substrings._answer(True, True, np.arange(4, dtype=np.int32))([asked(check)])) for check in ([7, 7], [7, 8])]
     assert repeats == [2, 0]
-    asker = substrings._Asker(by_position=True, block=100, buckets=4)
+    asker = substrings._Asker(by_position=True, block=100, buckets=np.arange(4, dtype=np.int32))
     one = np.array([1, 2], np.int64)
     list(asker.add(one, one, np.zeros(2), np.array([5, 5], np.uint64), np.array([7, 8], np.int32)))
     (batch,) = asker.flush()
