@@ -95,39 +95,52 @@ def page_after(df: DataFrame, order: Sequence[str], last: Sequence, size: int =
 #: Rows of a range of a stored order.
 RANGE_ROWS = 100_000
 RANGE = "_range"
+#: Rows of a stored part, which one task sorts and writes and which holds many ranges; about so many, as parts are cut by a sample.
+PART_ROWS = 500_000
+PART = "_part"
+#: Rows of a Parquet page at most: what a filter on the range reads at least.
+PARQUET_PAGE_ROWS = 20_000
 
 
 def store_pages(df: DataFrame, order: Sequence[str], path: str, range_rows: int = RANGE_ROWS) -> None:
-    """Keep the rows in an order, to be shown page by page at any number: cut by ranges of the order columns, a folder for each
-    range, sorted, and a table of the ranges' numbers of rows. The order columns must identify a row."""
+    """Keep the rows in an order, to be shown page by page at any number: cut into parts by the order columns, a folder for each
+    part, sorted and numbered by ranges of `range_rows` rows, and a table of the parts' numbers of rows. There are as many tasks,
+    folders and counts as parts, however short the ranges are. The order columns must identify a row."""
     taken = {c.lower() for c in df.columns}
-    if RANGE in taken:
-        raise ValueError(f"rename the column {RANGE}")
+    if clash := [c for c in (RANGE, PART) if c in taken]:
+        raise ValueError(f"rename the column {', '.join(clash)}")
     df = write_rows(df)  # it is counted, sampled and cut
     rows = df.count()
     keys = [F.col(f"`{c}`") for c in order]
-    if not rows:  # no range, so no folder that would tell the columns
-        df.withColumn(RANGE, F.lit(0)).coalesce(1).write.mode("overwrite").parquet(f"{path}/rows")
-        df.select(F.lit(0).alias(RANGE), F.lit(0).cast("long").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    length = F.lit(range_rows).alias("range_rows")
+    if not rows:  # no part, so no folder that would tell the columns
+        df.withColumns({RANGE: F.lit(0), PART: F.lit(0)}).coalesce(1).write.mode("overwrite").parquet(f"{path}/rows")
+        df.select(F.lit(0).alias(PART), F.lit(0).cast("long").alias("n"), length).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
         return
-    cut = df.repartitionByRange(-(-rows // range_rows), *keys).withColumn(RANGE, F.spark_partition_id()).sortWithinPartitions(RANGE, *keys)
-    cut.write.mode("overwrite").partitionBy(RANGE).parquet(f"{path}/rows")
-    counts = df.sparkSession.read.parquet(f"{path}/rows").groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"))
-    counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+    cut = df.repartitionByRange(-(-rows // max(range_rows, PART_ROWS)), *keys).withColumn(PART, F.spark_partition_id()).sortWithinPartitions(PART, *keys)
+    # the lower 33 bits of an id are the row's place in its partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = cut.select(*columns, PART, F.floor(place / range_rows).cast("int").alias(RANGE))
+    writer = numbered.write.mode("overwrite").option("parquet.page.row.count.limit", min(range_rows, PARQUET_PAGE_ROWS))
+    writer.partitionBy(PART).parquet(f"{path}/rows")
+    counts = df.sparkSession.read.parquet(f"{path}/rows").groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+    counts.select(PART, "n", length).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
 
 
 def stored_page(spark: SparkSession, path: str, order: Sequence[str], number: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Page `number` (from 1) of stored rows. Only the ranges that the page lies in, one or two, are read and sorted, so a far
-    page costs what the first one costs."""
-    counts = sorted((r[RANGE], r["n"]) for r in spark.read.parquet(f"{path}/ranges").collect())  # a row for each range
-    begin, end, at, wanted, skip = (number - 1) * size, number * size, 0, [], 0
-    for part, n in counts:
+    """Page `number` (from 1) of stored rows. Only the ranges that the page lies in, one or two for a page no longer than a range,
+    are read and sorted, so a far page costs what the first one costs."""
+    counts = sorted((r[PART], r["n"], r["range_rows"]) for r in spark.read.parquet(f"{path}/parts").collect())  # a row for each part
+    begin, end, at, wanted, skip = (number - 1) * size, number * size, 0, F.lit(False), None
+    for part, n, length in counts:
         if at < end and at + n > begin:
-            skip = begin - at if not wanted else skip
-            wanted.append(part)
+            first, last = max(begin - at, 0) // length, (min(end - at, n) - 1) // length
+            skip = begin - at - first * length if skip is None else skip
+            wanted = wanted | ((F.col(PART) == part) & F.col(RANGE).isin(list(range(first, last + 1))))
         at += n
-    rows = spark.read.parquet(f"{path}/rows").filter(F.col(RANGE).isin(wanted)).drop(RANGE)
-    return rows.orderBy(*[F.col(f"`{c}`") for c in order]).offset(skip).limit(size)
+    rows = spark.read.parquet(f"{path}/rows").filter(wanted).drop(RANGE, PART)
+    return rows.orderBy(*[F.col(f"`{c}`") for c in order]).offset(skip or 0).limit(size)
 
 
 def executive_view(

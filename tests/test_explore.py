@@ -2,6 +2,7 @@ import re
 
 import pytest
 from helpers import by
+from pyspark.sql import functions as F
 
 from plumbline.operators import explore, rca
 from plumbline.operators.run import Run
@@ -89,3 +90,18 @@ def test_stored_pages(spark, tmp_path):
     explore.store_pages(df.limit(0), ["a", "b"], str(tmp_path / "none"))
     assert explore.stored_page(spark, path, ["a", "b"], 99).count() == 0
     assert explore.stored_page(spark, str(tmp_path / "none"), ["a", "b"], 1).collect() == []
+
+
+def test_short_ranges_share_a_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(explore, "PART_ROWS", 1000)
+    rows = [(i % 97, f"k{i}", i) for i in range(3000)]
+    path = str(tmp_path / "pages")
+    explore.store_pages(spark.createDataFrame(rows, "a long, b string, c long").repartition(5), ["a", "b"], path, range_rows=10)
+    # 300 ranges, but a folder for each thousand rows
+    assert len(list((tmp_path / "pages" / "rows").glob("_part=*"))) == 3
+    ordered = sorted(rows)
+    for number in (1, 33, 34, 35, 66, 67, 68, 100):  # pages over the seams of ranges and parts
+        got = [tuple(r) for r in explore.stored_page(spark, path, ["a", "b"], number, size=30).collect()]
+        assert got == ordered[(number - 1) * 30 : number * 30]
+    with pytest.raises(ValueError, match="_part"):
+        explore.store_pages(spark.range(1).withColumn("_part", F.lit(1)), ["id"], path)
