@@ -173,9 +173,10 @@ def empty_template(spark: SparkSession, columns: Sequence[str], schema: T.Struct
 def with_record_id(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add `_record_id`: the key of the table, if it has one (one column as it is, several as text), which costs nothing
     and is the choice for large tables. Without keys, ids 1..n by file path and the row's place in its file. A Parquet
-    table tells a row's place, so one count per file is all that is needed beside the rows. Of other files the place is
-    the file's split and the row's place in it, and the table is written to the shared folder once, as a row must not
-    change its place between counting and numbering. A table that comes from no file is numbered as it is read."""
+    table tells a row's place, so one count per file is all that is needed beside the rows, which are not shuffled. Of
+    other files the place is the file's split and the row's place in it, and the table is written to the shared folder
+    once, as a row must not change its place between counting and numbering. A table that comes from no file is numbered
+    as it is read."""
     if keys:
         parts = [F.col(f"`{k}`") for k in keys]
         return df.withColumn(RECORD_ID, parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts)))
@@ -197,7 +198,8 @@ def with_record_id(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     before = F.sum("_rows").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1))
     first = [] if "_first" not in sizes.columns else ["_first"]
     offsets = sizes.select(*keys, *first, F.coalesce(before, F.lit(0)).alias("_before"))
-    numbered = numbered.join(offsets, keys)
+    # as few rows as files or splits are broadcast; by a shuffle all rows of a file would meet in one task
+    numbered = numbered.join(F.broadcast(offsets), keys)
     within = F.col("_place") - F.col("_first") if first else F.col("_within")
     return numbered.select(*columns, (F.col("_before") + within + 1).alias(RECORD_ID))
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +93,22 @@ def test_record_ids_follow_the_file(spark, tmp_path):
     assert sorted((r["_record_id"], r["v"]) for r in rows) == [(i + 1, f"row{i:05d}") for i in range(5000)]
 
 
+def joins(df):
+    return set(re.findall(r"\w+Join\b", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_numbering_does_not_bring_a_file_into_one_task(spark, tmp_path):
+    spark.range(50).write.parquet(str(tmp_path / "p"))
+    spark.range(50).write.csv(str(tmp_path / "c"))
+    for df in (spark.read.parquet(str(tmp_path / "p")), spark.read.csv(str(tmp_path / "c")), spark.range(50)):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            assert joins(tables.with_record_id(df)) == {"BroadcastHashJoin"}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_record_ids_from_keys(spark):
     df = spark.createDataFrame([(1, "a")], "k int, l string")
     assert tables.with_record_id(df, ["k"]).first()["_record_id"] == 1
