@@ -29,10 +29,19 @@ from plumbline.sources import commits, outputs, tables
 from plumbline.streaming import keys, monitor
 
 
+#: Rows of a file that a query writes for itself; larger tables make more files, as a file is written by one task.
+FILE_ROWS = 500_000
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _files(rows: DataFrame, least: int = 1) -> int:
+    """So many files for a table, in multiples of `least`."""
+    return least * max(1, -(-rows.count() // (least * FILE_ROWS)))
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """customer as several delimited files, and back."""
@@ -76,7 +85,8 @@ def record_ids_folder(spark, sf_dir):
     path = _folder(spark, "orders")
     orders = table(spark, sf_dir, "orders")
     for part, rows in enumerate((orders.filter("o_orderkey < 100"), orders.filter("o_orderkey >= 100"))):
-        rows.coalesce(1).sortWithinPartitions("o_orderkey").write.parquet(f"{path}/part={part}")
+        # files are named by their place in the order
+        rows.repartitionByRange(_files(rows), "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(f"{path}/part={part}")
     return tables.with_record_id(spark.read.parquet(path).drop("part"))
 
 
