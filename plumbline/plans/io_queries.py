@@ -179,11 +179,13 @@ def score_history(spark, sf_dir):
     return monitor.rate_changes(history)
 
 
-def _in_batches(spark: SparkSession, rows: DataFrame, name: str, spread: str, files: int = 6, per_batch: int = 2) -> DataFrame:
-    """The rows as a stream of files, several batches of them."""
+def _in_batches(spark: SparkSession, rows: DataFrame, name: str, *spread: str, files: int = 6, per_batch: int = 2) -> DataFrame:
+    """The rows as a stream of files, several batches of them. A larger table makes more files, and as many batches; `spread` are
+    columns with many more values than there are files."""
     path = _folder(spark, name)
-    rows.repartition(files, spread).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+    many = _files(rows, files)
+    rows.repartition(many, *spread).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch * many // files).parquet(path)
 
 
 @query
@@ -209,7 +211,7 @@ def stream_copies(spark, sf_dir):
     path = _folder(spark, "stream-copies")
     lines = packs.lineitem(spark, sf_dir)
     rule = next(r for r in packs.lineitem_rules(spark, sf_dir) if r.rule_id == "LI-007")
-    for started in keys.count_keys(_in_batches(spark, lines, "lineitem-files", "l_suppkey"), [rule], path, availableNow=True):
+    for started in keys.count_keys(_in_batches(spark, lines, "lineitem-files", "l_suppkey", "l_partkey"), [rule], path, availableNow=True):
         started.awaitTermination()
     found = attach(lines, keys.facts(spark, path, rule, Scope(lines.schema))).filter(rule.check.fails(Scope(lines.schema)))
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col(rule.check.flag).alias("duplicate_count"))

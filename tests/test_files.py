@@ -18,3 +18,11 @@ def test_a_numbered_folder_has_files_of_bounded_size(spark, sf_dir, written):
     rows = QUERIES["record_ids_folder"](spark, sf_dir).select("_record_id", "o_orderkey").collect()
     assert len(list(written.glob("orders/part=1/*.parquet"))) > 10
     assert [r["_record_id"] for r in sorted(rows, key=lambda r: r["o_orderkey"])] == list(range(1, 1501))
+
+
+def test_a_stream_has_files_of_bounded_size_and_no_more_batches(spark, sf_dir, written):
+    found = QUERIES["stream_copies"](spark, sf_dir).count()
+    assert len(list(written.glob("lineitem-files/*.parquet"))) > 50
+    assert len(list(written.glob("stream-copies/repeated_keys/LI-007/log/batch_id=*"))) == 3
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").count()
+    assert found == lines.filter("count > 1").agg({"count": "sum"}).first()[0]
