@@ -291,10 +291,12 @@ def _damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     text["o_totalprice"] = F.when(key % 7 == 0, F.lit("much")).otherwise(text["o_totalprice"])
     line = F.concat_ws(",", *[text[c] for c in columns], F.when(key % 13 == 0, F.lit("surplus")))
     # each file begins with a header
-    lines = orders.select(line.alias("value"), F.pmod(key, F.lit(3)).alias("file"))
-    head = spark.createDataFrame([(",".join(columns), n) for n in range(3)], "value string, file long")
+    files = _files(orders, 3)
+    lines = orders.select(line.alias("value"), F.pmod(key, F.lit(files)).alias("file"))
+    head = spark.range(files).select(F.lit(",".join(columns)).alias("value"), F.col("id").alias("file"))
     both = head.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
-    both.repartition(3, "file").sortWithinPartitions("file", "at").select("value", "file").write.partitionBy("file").text(path)
+    # by ranges, as hashes would put several files into one task
+    both.repartitionByRange(files, "file").sortWithinPartitions("file", "at").select("value", "file").write.partitionBy("file").text(path)
     return tables.read_csv_lenient(spark, f"{path}/file=*", orders.schema)
 
 

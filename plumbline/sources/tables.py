@@ -104,7 +104,8 @@ def read_csv_lenient(
     earlier = F.sum("_rows").over(W.partitionBy("_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1))
     splits = splits.select("_file", "_split", "_first", F.coalesce(earlier, F.lit(0)).alias("_before"))
     broken = F.col(CORRUPT).isNotNull()
-    rejects = rows.filter(rejected).join(splits, ["_file", "_split"]).select(
+    # a row for each split is broadcast, as by a shuffle the rejects of a split would meet in one task
+    rejects = rows.filter(rejected).join(F.broadcast(splits), ["_file", "_split"]).select(
         F.col("_file").alias("file"),
         (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("row"),
         F.when(broken, F.lit("cells")).otherwise(F.lit("cell")).alias("reason"),

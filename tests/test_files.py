@@ -26,3 +26,10 @@ def test_a_stream_has_files_of_bounded_size_and_no_more_batches(spark, sf_dir, w
     assert len(list(written.glob("stream-copies/repeated_keys/LI-007/log/batch_id=*"))) == 3
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").count()
     assert found == lines.filter("count > 1").agg({"count": "sum"}).first()[0]
+
+
+def test_damaged_files_are_of_bounded_size(spark, sf_dir, written):
+    good = {r["o_orderkey"] for r in QUERIES["csv_good_rows"](spark, sf_dir).collect()}
+    assert len(list(written.glob("orders-csv/file=*"))) == 15
+    assert all(len(f.read_text().splitlines()) == 101 for f in written.glob("orders-csv/file=*/*.txt"))
+    assert good == {k for k in range(1500) if k % 11 and k % 7 and k % 13}

@@ -99,12 +99,13 @@ def joins(df):
 
 def test_numbering_does_not_bring_a_file_into_one_task(spark, tmp_path):
     spark.range(50).write.parquet(str(tmp_path / "p"))
-    spark.range(50).write.csv(str(tmp_path / "c"))
-    for df in (spark.read.parquet(str(tmp_path / "p")), spark.read.csv(str(tmp_path / "c")), spark.range(50)):
+    spark.range(50).write.option("header", True).csv(str(tmp_path / "c"))
+    rejects = lambda: tables.read_csv_lenient(spark, str(tmp_path / "c"), T._parse_datatype_string("id long"))[1]
+    for df in (spark.read.parquet(str(tmp_path / "p")), spark.read.csv(str(tmp_path / "c")), spark.range(50), rejects):
         old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         try:
-            assert joins(tables.with_record_id(df)) == {"BroadcastHashJoin"}
+            assert joins(df() if df is rejects else tables.with_record_id(df)) == {"BroadcastHashJoin"}
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
